@@ -5,13 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import decontamination, pieces, quality_rules, token_tables, toxicity
+from .shared import crc_rest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the public tokenizers' package, whose path all machines share."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids under merge-dropout of every whole text, and whether they decode to it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), ["doc_id"])
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(crc_rest("doc_id", 4) != 2)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id"])
+    return scored.select("doc_id", (crc_rest("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality_rules.line_frequency(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_lines", "n_left", "kept")
@@ -52,5 +73,37 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM base
 """
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
-ORACLE_SQL = {"op3_quality_rules": OP3_SQL}
+def op5_token_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_tables.digests(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS k FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k FROM d CROSS JOIN sizes WHERE len(w) >= n)),
+hits AS (SELECT dw.doc_id, dw.k, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
+words AS (SELECT DISTINCT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM hits),
+hit_counts AS (SELECT doc_id, count(*) AS n_hit FROM words GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, (coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w)) AS contaminated
+FROM d LEFT JOIN hit_counts h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+QUERIES = {f.__name__: f for f in (op1_merge_dropout, op2_toxicity, op3_quality_rules, op5_token_tables, op8_decontamination)}
+ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op8_decontamination": OP8_SQL}

@@ -119,30 +119,62 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def space_chunks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Cut texts before each single space between other characters' runs.
+#: Two white-space characters in a row, or one at either end.
+ODD_SPACES = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}|^\s|\s$"
 
-    Returns (row offsets into codes, codes, distinct chunks). Every chunk after
-    a row's first begins with its space; texts with a run of two or more spaces,
-    or a space at either end or beside other white space, stay in one chunk, so
-    that a tokenizer gives the pieces of the whole text.
+
+def space_chunks(column: pa.Array, odd_chunks, spaced_first: bool) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Cut texts at single spaces: (row offsets into codes, codes, distinct chunks).
+
+    A chunk begins with its space; spaced_first: each row's first chunk gets one
+    too. Rows with runs of white space, or with some at an end, are cut by
+    odd_chunks(text) instead. Empty rows have no chunk.
     """
     column = column.fill_null("") if column.null_count else column
-    odd = pc.match_substring_regex(column, r"^\s|\s$|\s\s").to_numpy(zero_copy_only=False)
-    parts = pc.split_pattern(pc.if_else(pa.array(~odd), column, ""), " ")
-    counts = np.diff(parts.offsets.to_numpy())
+    odd = pc.match_substring_regex(column, ODD_SPACES).to_numpy(zero_copy_only=False)
+    parts = pc.split_pattern(pc.if_else(pa.array(odd), "", column), " ")
+    counts = np.diff(parts.offsets.to_numpy()).astype(np.int64)
     coded = parts.flatten().dictionary_encode()
     codes, values = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    row_of = np.repeat(np.arange(len(column)), counts)
+    inner = np.ones(len(codes), np.int64)
+    if not spaced_first:
+        inner[(np.cumsum(counts) - counts)[counts > 0]] = 0
+    codes = codes * 2 + inner
+    empty = pc.equal(column, "").to_numpy(zero_copy_only=False) | odd
+    if empty.any():
+        stay = ~empty[row_of]
+        codes = codes[stay]
+        counts[empty] = 0
+    seen = np.zeros(2 * len(values) + 2, bool)
+    seen[codes] = True
+    used = np.flatnonzero(seen)
+    codes = (np.cumsum(seen) - 1)[codes]
+    chunks = [" " + values[k >> 1] if k & 1 else values[k >> 1] for k in used.tolist()]
+    if odd.any():
+        known = {c: k for k, c in enumerate(chunks)}
+        rows = np.flatnonzero(odd)
+        lists = [odd_chunks(t) for t in column.take(pa.array(rows)).to_pylist()]
+        for own in lists:
+            for c in own:
+                if c not in known:
+                    known[c] = len(chunks)
+                    chunks.append(c)
+        plain, plain_counts = codes, counts.copy()
+        counts[rows] = [len(own) for own in lists]
+        codes = np.empty(int(counts.sum()), np.int64)
+        starts = np.cumsum(counts) - counts
+        codes[ragged(starts, plain_counts)] = plain
+        if sum(map(len, lists)):
+            codes[ragged(starts[rows], counts[rows])] = [known[c] for own in lists for c in own]
     offsets = np.zeros(len(column) + 1, np.int64)
     np.cumsum(counts, out=offsets[1:])
-    inner = np.ones(len(codes), bool)
-    inner[offsets[:-1]] = False
-    # codes: 2 * value for a first chunk, 2 * value + 1 for one with its space
-    used, codes = np.unique(codes * 2 + inner, return_inverse=True)
-    chunks = [" " + values[k >> 1] if k & 1 else values[k >> 1] for k in used.tolist()]
-    where = np.flatnonzero(odd)
-    if len(where):
-        whole = column.take(pa.array(where)).to_pylist()
-        codes[offsets[where]] = len(chunks) + np.arange(len(where))
-        chunks.extend(whole)
     return offsets, codes, chunks
+
+
+def gather_lists(offsets: np.ndarray, codes: np.ndarray, unit_offsets: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of chunk codes to rows of the chunks' units: (row offsets, units)."""
+    lengths = np.diff(unit_offsets)[codes]
+    total = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(lengths, out=total[1:])
+    return total[offsets], units[ragged(unit_offsets[:-1][codes], lengths)]
