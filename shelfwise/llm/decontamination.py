@@ -164,7 +164,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in named), "n_words long", "hit_runs array<int>", "items array<string>", *(["kept_text string"] if with_text else [])])
     for k in range(blocks):
         block = benchmark if blocks == 1 else benchmark.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == k)
-        rows = [(row[0], row[1]) for row in block.select(F.col(item_id).cast("string"), item_text).toLocalIterator()]
+        rows = [(row[0], row[1]) for row in block.select(F.col(item_id).cast("string"), item_text).collect()]
         windows = spark.sparkContext.broadcast(item_windows(rows, size))
         frame = frame.mapInArrow(scanner(windows, named, text, k > 0, with_text), schema)
         if blocks > 1:

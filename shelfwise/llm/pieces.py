@@ -213,7 +213,8 @@ def encode_chunks(model: Model, chunks: list[str], which: np.ndarray, variant: n
     sums = np.zeros(len(cps) + 1, U)
     np.cumsum(mix(cps.astype(U) + U(7)) * weights[places], out=sums[1:])
     text_hash = sums[starts + lengths] - sums[starts]
-    key = mix(text_hash[which] ^ mix(U(seed) * U(0x9E3779B97F4A7C15) + variant.astype(U)))
+    salt = U(seed * 0x9E3779B97F4A7C15 % (1 << 64))
+    key = mix(text_hash[which] ^ mix(variant.astype(U) + salt))
     own_lengths = lengths[which]
     out_sym, out_cp, out_row = [], [], []
     for length in np.unique(own_lengths).tolist():

@@ -267,8 +267,8 @@ def write_tables(docs: DataFrame, tokenizer_path: str, folder: str, doc_id: str
     file_system(folder)[0].create_dir(file_system(folder)[1], recursive=True)
     shards = shards or shuffle_parts(docs.sparkSession)
     ordered = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).repartitionByRange(shards, F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first())
-    manifest = ordered.mapInArrow(shard_task(tokenizer_path, folder, end_id, width), "part int, path string, docs long, ids long")
-    return sorted((r.part, r.path, r.docs, r.ids) for r in manifest.toLocalIterator())
+    manifest = ordered.mapInArrow(shard_task(tokenizer_path, folder, end_id, width), "part long, path string, docs long, ids long")
+    return sorted((r.part, r.path, r.docs, r.ids) for r in manifest.collect())
 
 
 def read_task(whole: bool):
