@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import U, flat_bytes, gather_lists, mix, ragged, space_chunks
+from .textops import U, gather_lists, mix, ragged, slices, space_chunks
 
 DROPOUT = 0.1
 SEED = 20240229
 VARIANTS = 8
+#: Bytes of text that a task encodes at once.
+TEXT_AT_ONCE = 8 << 20
 LONG = 48
 NONE = np.int32(2**31 - 1)
 MARK = 0x2581
@@ -303,13 +305,13 @@ def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None, doc_
     def run(batches):
         model = shared.value
         for batch in batches:
-            column = batch.column(text)
-            offsets, ids = encode_column(model, column, batch.column("_key").to_numpy(), seed, dropout)
-            raw, raw_offsets = flat_bytes(column)
-            same = equal_rows(*decode_arrays(model, offsets, ids), raw_offsets, raw)
-            out = {c: batch.column(c) for c in keep}
-            out |= {"ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)), "n_ids": pa.array(np.diff(offsets)), "lossless": pa.array(same)}
-            yield pa.RecordBatch.from_pydict(out)
+            for first, raw, raw_offsets in slices(batch.column(text), TEXT_AT_ONCE):
+                part = batch.slice(first, len(raw_offsets) - 1)
+                offsets, ids = encode_column(model, part.column(text), part.column("_key").to_numpy(), seed, dropout)
+                same = equal_rows(*decode_arrays(model, offsets, ids), raw_offsets, raw)
+                out = {c: part.column(c) for c in keep}
+                out |= {"ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)), "n_ids": pa.array(np.diff(offsets)), "lossless": pa.array(same)}
+                yield pa.RecordBatch.from_pydict(out)
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>, n_ids long, lossless boolean"])

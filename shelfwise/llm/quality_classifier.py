@@ -10,7 +10,7 @@ with the sigmoid loss; where the second term would fall below zero, the step goe
 up its gradient instead, so the fit can't profit from memorising positives. The
 class prior is estimated first: a logistic model of positive against unlabelled
 ranks both, and the prior is the smallest ratio of the unlabelled's to the
-positives' share above any rank, with a margin for the samples' size.
+positives' share above any rank that a tenth of the positives reaches.
 
 Features are shares of bytes, words and lines, none of them labels, language,
 source or identifier. Scores are mapped to [0, 1] so that 0.5 is the fit's border.
@@ -96,12 +96,11 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 40, ridge: float = 1e-3)
 
 
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Smallest share ratio above any rank, with a margin against small samples."""
+    """Smallest share ratio above any rank that a tenth of the positives reaches."""
     cuts = np.quantile(positive, np.linspace(0.0, 0.9, 91))
     up = np.array([(positive >= c).mean() for c in cuts])
     uu = np.array([(unlabelled >= c).mean() for c in cuts])
-    margin = np.sqrt(np.log(20) / 2) * (1 / np.sqrt(len(positive)) + 1 / np.sqrt(len(unlabelled)))
-    return float(np.clip(((uu + margin) / np.maximum(up, 1e-9)).min(), 0.05, 0.99))
+    return float(np.clip((uu / np.maximum(up, 1e-9)).min(), 0.05, 0.99))
 
 
 class Classifier:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, pieces, quality_rules, token_tables, toxicity
+from . import decontamination, html_text, ngram_join, pieces, quality_classifier, quality_rules, token_tables, toxicity
 from .shared import crc_rest
 
 
@@ -73,11 +73,39 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM base
 """
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnable = crc_rest("doc_id", 3) != 1
+    positives = table(spark, sf_dir, "labels").where(learnable & (F.col("quality") == 1))
+    classifier = quality_classifier.fit(docs, positives, docs.where(learnable).select("doc_id"))
+    return quality_classifier.score(docs, classifier, ["doc_id"]).select("doc_id", (~learnable).alias("held_out"), "score", "predicted")
+
+
 def op5_token_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_tables.digests(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS k FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 85 * (a.n + b.n - i)),
+reach AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT links.y, reach.root FROM reach JOIN links ON links.x = reach.doc_id),
+lowest AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(lowest.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
@@ -105,5 +133,9 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
 FROM d LEFT JOIN hit_counts h USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_merge_dropout, op2_toxicity, op3_quality_rules, op5_token_tables, op8_decontamination)}
-ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op8_decontamination": OP8_SQL}
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+QUERIES = {f.__name__: f for f in (op1_merge_dropout, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_token_tables, op7_ngram_join, op8_decontamination, op9_main_text)}
+ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op7_ngram_join": OP7_SQL, "op8_decontamination": OP8_SQL}

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import fresh_dir, shuffle_parts
-from .textops import gather_lists, space_chunks
+from .textops import gather_lists, slices, space_chunks
 
 BLOCK_BYTES = 256 << 10
 BITS_PER_KEY = 10
@@ -41,8 +41,9 @@ HASHES = 7
 MAGIC = b"SSTIDS01"
 FOOTER = "<QQQQIII8s"
 FOOTER_SIZE = struct.calcsize(FOOTER)
-#: Text bytes that one shard should hold, as they are stored compressed.
-SHARD_TEXT_BYTES = 64 << 20
+#: Bytes of text, and distinct chunks of it, that a task encodes at once.
+TEXT_AT_ONCE = 8 << 20
+CHUNKS_AT_ONCE = 10_000
 
 
 def varint(n: int) -> bytes:
@@ -217,10 +218,13 @@ def encode_column(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray,
     another character, so each distinct chunk is encoded once per batch.
     """
     offsets, codes, chunks = space_chunks(column, safe_cuts, False)
-    encoded = [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)] if chunks else []
-    lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-    unit_offsets = np.concatenate([[0], np.cumsum(lengths)])
-    units = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(unit_offsets[-1]))
+    lengths, parts = [], [np.zeros(0, np.uint32)]
+    for at in range(0, len(chunks), CHUNKS_AT_ONCE):  # an encoding takes many times its chunk's memory
+        encoded = [e.ids for e in tokenizer.encode_batch_fast(chunks[at : at + CHUNKS_AT_ONCE], add_special_tokens=False)]
+        lengths += map(len, encoded)
+        parts.append(np.array([i for ids in encoded for i in ids], np.uint32))
+    unit_offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))])
+    units = np.concatenate(parts)
     inner, ids = gather_lists(offsets, codes, unit_offsets, units)
     n = len(column)
     out = np.full(len(ids) + n, end_id, np.uint32)
@@ -248,10 +252,12 @@ def shard_task(tokenizer_path: str, folder: str, end_id: int, width: int):
             if not batch.num_rows:
                 continue
             writer = writer or ShardWriter(uri, width)
-            offsets, ids = encode_column(tokenizer, batch.column(1), end_id)
-            raw, cuts = ids.astype(f"<u{width}").tobytes(), (offsets * width).tolist()
-            for key, a, b in zip(batch.column(0).to_pylist(), cuts, cuts[1:]):
-                writer.add(key_bytes(key), raw[a:b])
+            for first, _, rows in slices(batch.column(1), TEXT_AT_ONCE):
+                n = len(rows) - 1
+                offsets, ids = encode_column(tokenizer, batch.column(1).slice(first, n), end_id)
+                raw, cuts = ids.astype(f"<u{width}").tobytes(), (offsets * width).tolist()
+                for key, a, b in zip(batch.column(0).slice(first, n).to_pylist(), cuts, cuts[1:]):
+                    writer.add(key_bytes(key), raw[a:b])
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [uri], "docs": [writer.entries], "ids": [writer.ids]})
