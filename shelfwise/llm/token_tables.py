@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import fresh_dir, shuffle_parts
-from .textops import gather_lists, slices, space_chunks
+from .textops import gather_lists, ragged, slices, space_chunks
 
 BLOCK_BYTES = 256 << 10
 BITS_PER_KEY = 10
@@ -42,8 +42,9 @@ MAGIC = b"SSTIDS01"
 FOOTER = "<QQQQIII8s"
 FOOTER_SIZE = struct.calcsize(FOOTER)
 #: Bytes of text, and distinct chunks of it, that a task encodes at once.
-TEXT_AT_ONCE = 8 << 20
-CHUNKS_AT_ONCE = 10_000
+TEXT_AT_ONCE = 12 << 20
+CHUNKS_AT_ONCE = 50_000
+JOINED = 500
 
 
 def varint(n: int) -> bytes:
@@ -211,20 +212,54 @@ def safe_cuts(text: str) -> list[str]:
     return re.split(r"(?<=\S)(?= \S)", text) if text else []
 
 
-def encode_column(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+class ChunkEncoder:
+    """Ids of distinct chunks. Chunks that begin with their space and end without one are encoded
+    many in one string, and told apart by their tokens' bytes: an encoding costs as much as its text."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        sizes = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(sizes.values()) + 1, np.int64)
+        for token, k in sizes.items():
+            self.bytes_of[k] = len(token)  # one character stands for one byte
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of the chunks, in order."""
+        joins = np.fromiter((c[:1] == " " and len(c) > 1 and not (c[1].isspace() or c[-1].isspace()) for c in chunks), bool, len(chunks))
+        lengths, found = np.zeros(len(chunks), np.int64), []
+        together, alone = np.flatnonzero(joins), np.flatnonzero(~joins)
+        for lo in range(0, len(together), CHUNKS_AT_ONCE):
+            own = [chunks[k] for k in together[lo : lo + CHUNKS_AT_ONCE].tolist()]
+            texts = ["".join(own[k : k + JOINED]) for k in range(0, len(own), JOINED)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.cumsum(np.fromiter((len(c.encode()) for c in own), np.int64, len(own)))
+            at = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "left") + 1
+            lengths[together[lo : lo + CHUNKS_AT_ONCE]] = np.diff(at, prepend=0)
+            found.append(ids)
+        first = np.concatenate([*found, np.zeros(0, np.uint32)])
+        found = []
+        for lo in range(0, len(alone), CHUNKS_AT_ONCE):
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast([chunks[k] for k in alone[lo : lo + CHUNKS_AT_ONCE].tolist()], add_special_tokens=False)]
+            lengths[alone[lo : lo + CHUNKS_AT_ONCE]] = list(map(len, encoded))
+            found += [np.array([i for ids in encoded for i in ids], np.uint32)]
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        ids = np.empty(int(offsets[-1]), np.uint32)
+        for which, part in ((together, first), (alone, np.concatenate([*found, np.zeros(0, np.uint32)]))):
+            ids[ragged(offsets[which], lengths[which])] = part
+        return offsets, ids
+
+
+def encode_column(encoder: ChunkEncoder, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, ids) of a column's texts, each followed by the end id.
 
     The byte-level pattern never joins characters across a space that follows
     another character, so each distinct chunk is encoded once per batch.
     """
     offsets, codes, chunks = space_chunks(column, safe_cuts, False)
-    lengths, parts = [], [np.zeros(0, np.uint32)]
-    for at in range(0, len(chunks), CHUNKS_AT_ONCE):  # an encoding takes many times its chunk's memory
-        encoded = [e.ids for e in tokenizer.encode_batch_fast(chunks[at : at + CHUNKS_AT_ONCE], add_special_tokens=False)]
-        lengths += map(len, encoded)
-        parts.append(np.array([i for ids in encoded for i in ids], np.uint32))
-    unit_offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))])
-    units = np.concatenate(parts)
+    unit_offsets, units = encoder(chunks)
     inner, ids = gather_lists(offsets, codes, unit_offsets, units)
     n = len(column)
     out = np.full(len(ids) + n, end_id, np.uint32)
@@ -241,11 +276,9 @@ def shard_task(tokenizer_path: str, folder: str, end_id: int, width: int):
         import os
 
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
+        encoder = ChunkEncoder(tokenizer_path)
         part, writer = TaskContext.get().partitionId(), None
         uri = f"{folder}/shard-{part:06d}.sst"
         for batch in batches:
@@ -254,7 +287,7 @@ def shard_task(tokenizer_path: str, folder: str, end_id: int, width: int):
             writer = writer or ShardWriter(uri, width)
             for first, _, rows in slices(batch.column(1), TEXT_AT_ONCE):
                 n = len(rows) - 1
-                offsets, ids = encode_column(tokenizer, batch.column(1).slice(first, n), end_id)
+                offsets, ids = encode_column(encoder, batch.column(1).slice(first, n), end_id)
                 raw, cuts = ids.astype(f"<u{width}").tobytes(), (offsets * width).tolist()
                 for key, a, b in zip(batch.column(0).slice(first, n).to_pylist(), cuts, cuts[1:]):
                     writer.add(key_bytes(key), raw[a:b])
