@@ -32,8 +32,8 @@ from .textops import LOWER, U, flat_bytes, ragged
 
 ORDER = 7
 DISCOUNT = 0.9
-TRAIN_ROWS = 12_000
-TRAIN_BYTES = 24 << 20
+TRAIN_ROWS = 5_000
+TRAIN_BYTES = 10 << 20
 THRESHOLD = 0.3
 SEED = 11
 PAD, END = 1, 2
@@ -77,6 +77,7 @@ class Models:
         grams, word = packed_windows(raw, offsets)
         keys, at = np.unique(grams, return_inverse=True)
         own = np.stack([np.bincount(at, counts[word, c], len(keys)) for c in (0, 1)], 1)
+        del grams, word, at
         shared = self.shared(keys)
         context, group = np.unique(keys >> U(8), return_inverse=True)
         self.keys, self.contexts = keys, context
