@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, ngram_join, pieces, quality_classifier, quality_rules, token_tables, toxicity
+from . import attention_lm, decontamination, html_text, ngram_join, pieces, quality_classifier, quality_rules, repeated_spans, token_tables, toxicity
 from .shared import crc_rest
 
 
@@ -86,13 +86,18 @@ def op5_token_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_tables.digests(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
+def op6_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 OP7_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS s
   FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS k FROM w WHERE len(w) > 0)),
@@ -137,5 +142,14 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
-QUERIES = {f.__name__: f for f in (op1_merge_dropout, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_token_tables, op7_ngram_join, op8_decontamination, op9_main_text)}
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_rest("doc_id", 7) != 2).alias("train"))
+    scored = attention_lm.score(docs, "train", tokenizer_file("piece_bpe_32k.model"), ["doc_id"])
+    return scored.select("doc_id", (crc_rest("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_merge_dropout, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_token_tables, op6_repeated_spans, op7_ngram_join, op8_decontamination, op9_main_text, op10_attention_lm)
+}
 ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op7_ngram_join": OP7_SQL, "op8_decontamination": OP8_SQL}
