@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import fresh_dir, shuffle_parts
-from .textops import gather_lists, ragged, slices, space_chunks
+from .textops import ragged, slices, space_chunks
 
 BLOCK_BYTES = 256 << 10
 BITS_PER_KEY = 10
@@ -42,9 +42,11 @@ MAGIC = b"SSTIDS01"
 FOOTER = "<QQQQIII8s"
 FOOTER_SIZE = struct.calcsize(FOOTER)
 #: Bytes of text, and distinct chunks of it, that a task encodes at once.
-TEXT_AT_ONCE = 12 << 20
+TEXT_AT_ONCE = 4 << 20
 CHUNKS_AT_ONCE = 50_000
 JOINED = 500
+#: Chunks whose ids a process keeps.
+REMEMBERED = 400_000
 
 
 def varint(n: int) -> bytes:
@@ -226,6 +228,23 @@ class ChunkEncoder:
         for token, k in sizes.items():
             self.bytes_of[k] = len(token)  # one character stands for one byte
 
+        self.places: dict[str, int] = {}
+        self.starts, self.lengths, self.units = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def known(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, lengths, ids): where each chunk's ids stand; up to REMEMBERED chunks are kept for the next texts."""
+        at = np.fromiter((self.places.get(c, -1) for c in chunks), np.int64, len(chunks))
+        new = np.flatnonzero(at < 0)
+        fresh = [chunks[k] for k in new.tolist()]
+        offsets, ids = self(fresh)
+        at[new] = len(self.starts) + np.arange(len(new))
+        starts = np.concatenate([self.starts, len(self.units) + offsets[:-1]])
+        lengths, units = np.concatenate([self.lengths, np.diff(offsets)]), np.concatenate([self.units, ids])
+        if len(starts) <= REMEMBERED:
+            self.places.update(zip(fresh, at[new].tolist()))
+            self.starts, self.lengths, self.units = starts, lengths, units
+        return starts[at], lengths[at], units
+
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the chunks, in order."""
         joins = np.fromiter((c[:1] == " " and len(c) > 1 and not (c[1].isspace() or c[-1].isspace()) for c in chunks), bool, len(chunks))
@@ -252,6 +271,17 @@ class ChunkEncoder:
         return offsets, ids
 
 
+def process_encoder(path: str) -> ChunkEncoder:
+    """This Python process's encoder for a vocabulary: tasks that follow in it find its frequent chunks known."""
+    import sys
+    from types import ModuleType
+
+    held = sys.modules.setdefault("_token_table_encoders", ModuleType("_token_table_encoders"))
+    if path not in vars(held):
+        setattr(held, path, ChunkEncoder(path))
+    return getattr(held, path)
+
+
 def encode_column(encoder: ChunkEncoder, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, ids) of a column's texts, each followed by the end id.
 
@@ -259,8 +289,9 @@ def encode_column(encoder: ChunkEncoder, column: pa.Array, end_id: int) -> tuple
     another character, so each distinct chunk is encoded once per batch.
     """
     offsets, codes, chunks = space_chunks(column, safe_cuts, False)
-    unit_offsets, units = encoder(chunks)
-    inner, ids = gather_lists(offsets, codes, unit_offsets, units)
+    starts, lengths, units = encoder.known(chunks)
+    total = np.concatenate([[0], np.cumsum(lengths[codes])])
+    inner, ids = total[offsets], units[ragged(starts[codes], lengths[codes])]
     n = len(column)
     out = np.full(len(ids) + n, end_id, np.uint32)
     keep = np.ones(len(out), bool)
@@ -278,7 +309,7 @@ def shard_task(tokenizer_path: str, folder: str, end_id: int, width: int):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = ChunkEncoder(tokenizer_path)
+        encoder = process_encoder(tokenizer_path)
         part, writer = TaskContext.get().partitionId(), None
         uri = f"{folder}/shard-{part:06d}.sst"
         for batch in batches:
