@@ -10,14 +10,23 @@ Subtrees' sets that already are in the looked-up set's component are skipped, so
 a group of copies gives a spanning tree, not all of its pairs.
 
 Blocks come from an exact condition. Two linked sets differ in at most
-(1 - t) / t * (smaller size) elements; if the hash range is cut into more segments
-than that, some segments are equal. Sizes fall into levels with ratio 1 / t; a set
-gives the signatures of its segments at its own level and at the one below, so
-partners of any two sizes meet at the smaller one's level. Each task joins equal
-signatures of its own sets first and passes one of them on, so a signature shared
-by a third of all documents passes as many rows as there are tasks. Connected
-groups of equal signatures are the blocks. A block of over BLOCK_TOKENS n-grams is
-cut into parts, and each pair of parts is one task's trie join.
+d = (1 - t) / t * (smaller size) elements; if the hash range is cut into d + s
+segments, at least s of them are equal. Sizes fall into levels with ratio 1 / t; a
+set gives the signatures of its segments at its own level and at the one below, so
+partners of any two sizes meet at the smaller one's level.
+
+1. A set that shares fewer than s of a level's signatures with others, whoever
+   they are, has no partner there. This leaves near duplicates and little else;
+   texts that only quote the same passage go.
+2. Of the sets left, equal signatures join sets in a star. A signature of over HOT
+   sets joins only those with s such signatures: a partner with whom all shared
+   signatures are that frequent has as many. Connected stars are the blocks.
+3. A block of over BLOCK_TOKENS n-grams is cut into parts, and each pair of parts
+   is one task's trie join.
+
+Equal signatures travel packed as numbers. A task keeps at most HOT + 1 sets of a
+signature for the exchange and settles the others itself, so a signature shared by
+a third of all documents passes a bounded number of rows from each batch.
 
 Edge cases: null, empty and wordless texts have an empty set, no links and their
 own identifier as component; a text of fewer words than n is one n-gram; repeated
@@ -42,7 +51,10 @@ PERCENT = 85
 BLOCK_TOKENS = 4_000_000
 #: Candidates are looked up by broadcast up to so many rows, by shuffle beyond.
 BROADCAST_ROWS = 1_000_000
-SLACK = 4
+#: A signature of more sets is hot.
+HOT = 64
+#: Low bits of a signature that hold its level.
+LEVEL_BITS = 12
 PAIR = np.dtype([("sig", "<u8"), ("node", "<u8")])
 
 
@@ -79,9 +91,9 @@ def sums_of(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def digests_of(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit digests of each row's set; the first is its node number."""
+    """Two independent digests of each row's set; the first, with its lowest bit free, is its node number."""
     n = np.diff(bounds).astype(U)
-    return mix(sums_of(mix(tokens), bounds) + n), mix(sums_of(mix(tokens ^ U(0x5851F42D4C957F2D)), bounds) * U(3) + n)
+    return mix(sums_of(mix(tokens), bounds) + n) & ~U(1), mix(sums_of(mix(tokens ^ U(0x5851F42D4C957F2D)), bounds) * U(3) + n)
 
 
 def level_bounds(percent: int) -> np.ndarray:
@@ -92,23 +104,31 @@ def level_bounds(percent: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def signatures(tokens: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, percent: int) -> np.ndarray:
-    """(signature, node) pairs of all sets at both of their levels."""
+def level_parts(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each level: most elements in which a pair differs, equal segments then left, empty segments allowed."""
+    limits = level_bounds(percent)
+    most = ((100 - percent) * (np.append(limits[1:], limits[-1]) - 1)) // percent
+    equal = np.maximum(4, most // 4)
+    return most, equal, np.maximum(1, equal // 4)
+
+
+def signatures(tokens: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, node) pairs of all sets at both of their levels, and (nodes, levels) of sets with many empty segments."""
     sizes = np.diff(bounds)
     limits = level_bounds(percent)
+    all_most, all_equal, all_empty = level_parts(percent)
     own = np.searchsorted(limits, sizes, "right") - 1
     summed = np.zeros(len(tokens) + 1, U)
     np.cumsum(mix(tokens + U(0x9E6C63D0876A9A47)), out=summed[1:])
-    out = []
+    out, bare_nodes, bare_levels = [np.empty(0, PAIR)], [np.empty(0, U)], [np.empty(0, np.int64)]
     for down in (0, 1):
         level = own - down
         rows = np.flatnonzero((sizes > 0) & (level >= 0))
-        # most elements in which a pair differs whose smaller set is of this level
-        most = ((100 - percent) * (limits[np.minimum(level[rows] + 1, len(limits) - 1)] - 1)) // percent
-        rows, most = rows[most > 0], most[most > 0]
+        rows = rows[all_most[level[rows]] > 0]
         if not len(rows):
             continue
-        parts = most + SLACK
+        levels = level[rows]
+        parts = all_most[levels] + all_equal[levels]
         lengths = sizes[rows]
         flat = ragged(bounds[rows], lengths)
         owner = np.repeat(np.arange(len(rows)), lengths)
@@ -116,81 +136,164 @@ def signatures(tokens: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, percen
         first = np.cumsum(parts) - parts
         counts = np.bincount(first[owner] + segment, minlength=int(parts.sum()))
         cuts = np.concatenate([[0], np.cumsum(counts)])
-        # positions of the segments' elements: rows are not adjacent in tokens, so sums are taken per row
+        # sums are taken over tokens, in which the chosen rows need not be adjacent
         base = np.repeat(bounds[rows] - (np.cumsum(lengths) - lengths), parts)
         value = summed[base + cuts[1:]] - summed[base + cuts[:-1]]
         set_of = np.repeat(np.arange(len(rows)), parts)
         number = ragged(np.zeros(len(rows), np.int64), parts)
         empty = counts == 0
-        # as many segments as may be equal without an element in them
-        bare = np.bincount(set_of, empty, len(rows)) >= SLACK
+        bare = np.bincount(set_of, empty, len(rows)) > all_empty[levels]
         use = ~empty | bare[set_of]
-        key = mix(value[use] ^ mix(level[rows][set_of[use]].astype(U) * U(1 << 40) + number[use].astype(U) * U(4) + empty[use].astype(U)))
+        key = mix(value[use] ^ mix(levels[set_of[use]].astype(U) * U(1 << 40) + number[use].astype(U) * U(4) + empty[use].astype(U)))
         pairs = np.empty(len(key), PAIR)
-        pairs["sig"], pairs["node"] = key, nodes[rows][set_of[use]]
+        pairs["sig"] = (key >> U(LEVEL_BITS) << U(LEVEL_BITS)) | levels[set_of[use]].astype(U)
+        pairs["node"] = nodes[rows][set_of[use]]
         out.append(pairs)
-    return np.concatenate(out) if out else np.empty(0, PAIR)
+        bare_nodes.append(nodes[rows][bare])
+        bare_levels.append(levels[bare])
+    return np.concatenate(out), np.concatenate(bare_nodes), np.concatenate(bare_levels)
 
 
-def stars(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first pair of each signature, edges from the others' nodes to its node)."""
+def grouped(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs by signature, the group number of each, and each group's first place and size."""
     pairs = pairs[np.lexsort((pairs["node"], pairs["sig"]))]
+    fresh = np.ones(len(pairs), bool)
+    fresh[1:] = (pairs["sig"][1:] != pairs["sig"][:-1]) | (pairs["node"][1:] != pairs["node"][:-1])
+    pairs = pairs[fresh]
     new = np.ones(len(pairs), bool)
     new[1:] = pairs["sig"][1:] != pairs["sig"][:-1]
-    first = pairs[new]
-    hub = first["node"][np.cumsum(new) - 1]
-    other = pairs["node"] != hub
-    edges = np.unique(np.stack([pairs["node"][other], hub[other]], 1), axis=0) if other.any() else np.zeros((0, 2), U)
-    return first, edges
+    first = np.flatnonzero(new)
+    return pairs, np.cumsum(new) - 1, first, np.diff(np.append(first, len(pairs)))
+
+
+def packed(pairs: np.ndarray, buckets: int, extra: int) -> pa.RecordBatch:
+    """Pairs as one binary value for each bucket, beside `extra` columns of nulls."""
+    bucket = (pairs["sig"] >> U(LEVEL_BITS)) % U(buckets)
+    order = np.argsort(bucket, kind="stable")
+    used, at = np.unique(bucket[order], return_index=True)
+    blobs = [x.tobytes() for x in np.split(pairs[order], at[1:])] if len(used) else []
+    n = len(used)
+    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(blobs, pa.binary()), *[pa.nulls(n, pa.int64()) for _ in range(extra)]], names=["bucket", "pairs", *NUMBERS[:extra]])
+
+
+NUMBERS = ("x0", "x1", "x2", "x3")
+
+
+def number_batch(columns: list[np.ndarray]) -> pa.RecordBatch:
+    n = len(columns[0])
+    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *[pa.array(np.ascontiguousarray(c).view(np.int64) if c.dtype == U else c.astype(np.int64)) for c in columns]], names=["bucket", "pairs", *NUMBERS[: len(columns)]])
+
+
+def numbers_of(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
+    return [batch.column(2 + k).drop_null().to_numpy() for k in range(n)]
 
 
-def edge_batch(edges: np.ndarray, names: tuple[str, str, str, str]) -> pa.RecordBatch:
-    n = len(edges)
-    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(edges[:, 0].astype(np.int64)), pa.array(edges[:, 1].astype(np.int64))], names=list(names))
+def tally(nodes: np.ndarray, levels: np.ndarray, k: np.ndarray, hot: np.ndarray) -> list[np.ndarray]:
+    """Sums of k and hot by node and level."""
+    order = np.lexsort((levels, nodes))
+    nodes, levels = nodes[order], levels[order]
+    new = np.ones(len(nodes), bool)
+    new[1:] = (nodes[1:] != nodes[:-1]) | (levels[1:] != levels[:-1])
+    at, n = np.cumsum(new) - 1, int(new.sum())
+    return [nodes[new], levels[new], np.bincount(at, k[order], n).astype(np.int64), np.bincount(at, hot[order], n).astype(np.int64)]
 
 
-CARRIED = ("bucket", "pairs", "a", "b")
+def distinct_sets(column: pa.Array, size: int):
+    """(tokens, offsets, nodes, row of each) of each slice's different sets."""
+    for first, tokens, bounds in sets_of(column, size):
+        nodes, _ = digests_of(tokens, bounds)
+        nodes, at = np.unique(nodes, return_index=True)
+        lengths = np.diff(bounds)[at]
+        yield tokens[ragged(bounds[at], lengths)], np.concatenate([[0], np.cumsum(lengths)]), nodes, first + at
 
 
-def signature_task(size: int, percent: int, buckets: int):
+def count_task(size: int, percent: int, buckets: int):
+    """Packed signatures, and (node, level, shared, hot shared) of what a task settles itself."""
+    huge = 1 << 40
+
     def run(batches):
         for batch in batches:
-            found = []
-            for _, tokens, bounds in sets_of(batch.column(0), size):
-                nodes, _ = digests_of(tokens, bounds)
-                nodes, at = np.unique(nodes, return_index=True)  # equal sets once
-                lengths = np.diff(bounds)[at]
-                own = np.concatenate([[0], np.cumsum(lengths)])
-                found.append(signatures(tokens[ragged(bounds[at], lengths)], own, nodes, percent))
+            found, bare = [], []
+            for tokens, bounds, nodes, _ in distinct_sets(batch.column(0), size):
+                pairs, *lone = signatures(tokens, bounds, nodes, percent)
+                found.append(pairs)
+                bare.append(lone)
             if not found:
                 continue
-            first, edges = stars(np.concatenate(found))
-            if len(edges):
-                yield edge_batch(edges, CARRIED)
-            bucket = (first["sig"] % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            first, bucket = first[order], bucket[order]
-            used, at = np.unique(bucket, return_index=True)
-            blobs = [part.tobytes() for part in np.split(first, at[1:])] if len(used) else []
-            none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary()), none, none], names=list(CARRIED))
+            pairs, group, first, sizes = grouped(np.concatenate(found))
+            rank = np.arange(len(pairs)) - first[group]
+            stays = rank > HOT
+            level = (pairs["sig"] & U((1 << LEVEL_BITS) - 1)).astype(np.int64)
+            ones = np.ones(int(stays.sum()))
+            lone = [np.concatenate(x) for x in zip(*bare)]
+            own = tally(np.concatenate([pairs["node"][stays], lone[0]]), np.concatenate([level[stays], lone[1]]), np.concatenate([ones, np.full(len(lone[0]), huge)]), np.concatenate([ones, np.zeros(len(lone[0]))]))
+            if len(own[0]):
+                yield number_batch(own)
+            yield packed(pairs[~stays], buckets, 4)
+
+    return run
+
+
+def tally_task(batches):
+    """(node, level, shared, hot shared) of the signatures that several sets have."""
+    kept, found = [np.empty(0, PAIR)], []
+    for batch in batches:
+        kept += [np.frombuffer(x, PAIR) for x in batch.column(1).to_pylist() if x is not None]
+        own = numbers_of(batch, 4)
+        if len(own[0]):
+            found.append([own[0].view(U), *own[1:]])
+    pairs, group, _, sizes = grouped(np.concatenate(kept))
+    several = sizes[group] > 1
+    pairs, hot = pairs[several], (sizes[group] > HOT)[several]
+    found.append([pairs["node"], (pairs["sig"] & U((1 << LEVEL_BITS) - 1)).astype(np.int64), np.ones(len(pairs)), hot.astype(float)])
+    nodes, levels, k, hot = tally(*[np.concatenate(x) for x in zip(*found)])
+    if len(nodes):
+        yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(levels), pa.array(k), pa.array(hot)], names=["node", "level", "k", "hot"])
+
+
+def star_edges(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of pairs to pass on, edges): groups as stars; hot ones only of nodes with the mark in their lowest bit."""
+    pairs, group, first, sizes = grouped(pairs)
+    hot = sizes[group] > HOT
+    marked = (pairs["node"] & U(1)).astype(bool)
+    joins = ~hot | marked
+    hub = np.full(len(sizes), -1)
+    places = np.flatnonzero(joins)[::-1]
+    hub[group[places]] = places  # the first that joins
+    other = np.flatnonzero(joins & (hub[group] != np.arange(len(pairs))))
+    ends = np.stack([pairs["node"][other] & ~U(1), pairs["node"][hub[group[other]]] & ~U(1)], 1)
+    # of a hot group its hub and HOT more are enough to be hot again
+    passed = ~hot | (np.arange(len(pairs)) - first[group] < HOT) | (hub[group] == np.arange(len(pairs)))
+    return pairs[passed], np.unique(ends, axis=0) if len(ends) else np.zeros((0, 2), U)
+
+
+def star_task(size: int, percent: int, buckets: int):
+    """Packed signatures of the candidates, and the edges a task finds itself."""
+
+    def run(batches):
+        for batch in batches:
+            mark, found = batch.column(1).to_numpy(zero_copy_only=False).astype(U), []
+            for tokens, bounds, nodes, rows in distinct_sets(batch.column(0), size):
+                found.append(signatures(tokens, bounds, nodes | mark[rows], percent)[0])
+            if found:
+                pairs, edges = star_edges(np.concatenate(found))
+                if len(edges):
+                    yield number_batch([edges[:, 0], edges[:, 1]])
+                yield packed(pairs, buckets, 2)
 
     return run
 
 
 def meet_task(batches):
-    """Edges between nodes of equal signatures in this partition."""
-    kept, edges = [], []
+    """Edges of the stars of this partition's signatures."""
+    kept, edges = [np.empty(0, PAIR)], [np.zeros((0, 2), U)]
     for batch in batches:
         kept += [np.frombuffer(x, PAIR) for x in batch.column(1).to_pylist() if x is not None]
-        a, b = batch.column(2).drop_null(), batch.column(3).drop_null()
-        if len(a):
-            edges.append(np.stack([a.to_numpy().astype(U), b.to_numpy().astype(U)], 1))
-    if kept:
-        edges.append(stars(np.concatenate(kept))[1])
-    if edges:
-        both = np.unique(np.concatenate(edges), axis=0).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+        edges.append(np.stack([x.view(U) for x in numbers_of(batch, 2)], 1))
+    edges.append(star_edges(np.concatenate(kept))[1])
+    both = np.unique(np.concatenate(edges), axis=0)
+    if len(both):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k]).view(np.int64)) for k in (0, 1)], names=["a", "b"])
 
 
 class Trie:
@@ -338,8 +441,12 @@ def set_task(size: int):
     def run(batches):
         for batch in batches:
             for first, tokens, bounds in sets_of(batch.column(1), size):
-                blobs = [tokens[x:y].astype("<u8").tobytes() for x, y in zip(bounds.tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(blobs)), batch.column(2).slice(first, len(blobs)), batch.column(3).slice(first, len(blobs)), pa.array(blobs, pa.binary())], names=["doc_id", "block", "cuts", "tokens"])
+                part = batch.slice(first, len(bounds) - 1)
+                # a row with the identifier of another set's representative is not meant
+                own = np.flatnonzero(digests_of(tokens, bounds)[0].view(np.int64) == part.column(4).to_numpy())
+                blobs = [tokens[bounds[k] : bounds[k + 1]].astype("<u8").tobytes() for k in own.tolist()]
+                part = part.take(pa.array(own))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(blobs, pa.binary())], names=["doc_id", "block", "cuts", "tokens"])
 
     return run
 
@@ -352,19 +459,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = stored(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "classes")
 
     buckets = shuffle_parts(spark)
-    carried = named.select("text").mapInArrow(signature_task(size, percent, buckets), "bucket int, pairs binary, a long, b long")
-    dealt = carried.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("a"), F.lit(buckets)).cast("int")))
+    place = F.coalesce("bucket", F.pmod(F.xxhash64("x0"), F.lit(buckets)).cast("int"))
+    carried = named.select("text").mapInArrow(count_task(size, percent, buckets), "bucket int, pairs binary, x0 long, x1 long, x2 long, x3 long")
+    shared = carried.repartition(buckets, place).mapInArrow(tally_task, "node long, level long, k long, hot long")
+    _, equal, empty = level_parts(percent)
+    needed = F.element_at(F.array(*[F.lit(int(x)) for x in equal - empty]), (F.col("level") + 1).cast("int"))
+    summed = shared.groupBy("node", "level").agg(F.sum("k").alias("k"), F.sum("hot").alias("hot")).where(F.col("k") >= needed)
+    near = stored(summed.groupBy("node").agg(F.max((F.col("hot") >= needed).cast("int")).alias("mark")), "candidates")
+    wanted = classes.join(near, F.col("a") == F.col("node")).select("rep", "n", "node", "mark")
+    few = near.count() <= BROADCAST_ROWS
+    chosen = named.where(F.col("doc_id").isNotNull()).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("rep"))
+    chosen = stored(chosen.select("doc_id", "text", "n", "node", "mark").dropDuplicates(["doc_id", "node"]), "chosen")
+
+    dealt = chosen.select("text", "mark").mapInArrow(star_task(size, percent, buckets), "bucket int, pairs binary, x0 long, x1 long").repartition(buckets, place)
     edges = stored(dealt.mapInArrow(meet_task, "a long, b long").distinct(), "signatures")
-
-    near = components(edges).select(F.col("node").alias("a"), F.col("label").alias("block"))
-    members = stored(classes.join(near, "a").select("rep", "block", "n"), "members")
+    labelled = components(edges).select(F.col("node").alias("_node"), F.col("label").alias("block"))
+    members = chosen.join(labelled, F.col("node") == F.col("_node")).select("doc_id", "text", "block", "n", "node")
     blocks = members.groupBy("block").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("many")).where("many > 1")
     cuts = F.ceil(F.col("total") / block_tokens).cast("int")
-    wanted = members.join(blocks, "block").select("rep", "block", cuts.alias("cuts"))
-    n_wanted = wanted.count()
-    many_cuts = wanted.where("cuts > 1").limit(1).count() > 0
-    chosen = named.where(F.col("doc_id").isNotNull()).join(F.broadcast(wanted) if n_wanted <= BROADCAST_ROWS else wanted, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "block", "cuts")
-    rows = chosen.mapInArrow(set_task(size), "doc_id long, block long, cuts int, tokens binary")
+    blocks = stored(blocks.select("block", cuts.alias("cuts")), "blocks")
+    many_cuts = blocks.where("cuts > 1").limit(1).count() > 0
+    rows = members.join(blocks, "block").select("doc_id", "text", "block", "cuts", "node").mapInArrow(set_task(size), "doc_id long, block long, cuts int, tokens binary")
     if many_cuts:
         part = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
         spread = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))

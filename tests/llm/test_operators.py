@@ -347,8 +347,9 @@ def brute_groups(rows, size, percent):
     return collections.Counter((d, len(s), lowest.get(find(k)) if s else d) for k, (d, s) in enumerate(sets))
 
 
-@pytest.mark.parametrize("size,percent,block", [(4, 85, 4_000_000), (5, 80, 4_000_000), (3, 50, 60)])
-def test_ngram_join(spark, size, percent, block):
+@pytest.mark.parametrize("size,percent,block,hot", [(4, 85, 4_000_000, 64), (5, 80, 4_000_000, 2), (3, 50, 60, 4)])
+def test_ngram_join(spark, monkeypatch, size, percent, block, hot):
+    monkeypatch.setattr(ngram_join, "HOT", hot)
     rng = random.Random(8)
     rows = corpus(9, 90)
     base = rng_words(rng, 150)
@@ -376,8 +377,11 @@ def test_signatures_meet_for_every_linked_pair():
         both = len(np.intersect1d(one, other))
         if np.array_equal(one, other) or 100 * both < 85 * (len(one) + len(other) - both):
             continue
-        pairs = ngram_join.signatures(np.concatenate([one, other]), np.array([0, len(one), len(one) + len(other)]), np.array([1, 2], np.uint64), 85)
-        assert len(np.intersect1d(pairs["sig"][pairs["node"] == 1], pairs["sig"][pairs["node"] == 2]))
+        pairs, bare, _ = ngram_join.signatures(np.concatenate([one, other]), np.array([0, len(one), len(one) + len(other)]), np.array([2, 4], np.uint64), 85)
+        met = np.intersect1d(pairs["sig"][pairs["node"] == 2], pairs["sig"][pairs["node"] == 4])
+        levels, counts = np.unique(met & np.uint64((1 << ngram_join.LEVEL_BITS) - 1), return_counts=True)
+        _, equal, empty = ngram_join.level_parts(85)
+        assert any(n >= (equal - empty)[int(k)] for k, n in zip(levels, counts)) or (len(met) and len(bare))
 
 
 def test_components(spark):
