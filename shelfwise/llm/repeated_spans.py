@@ -43,7 +43,6 @@ HOT = 2_000
 SORT_BYTES = 2 << 20
 #: A longer text is cut into overlapping pieces for naming.
 PIECE = 4 << 20
-BROADCAST_ROWS = 1_000_000
 NO_ID = -(1 << 63)
 
 
@@ -414,8 +413,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     wanted = mixed.join(many, F.col("name") == F.col("_n"), "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = wanted.groupBy("_d", "_h").agg(F.collect_list(F.struct("name", "start", "windows", "place", (F.col("n") == 1).alias("once"), "hot")).alias("wanted"))
     wanted = stored(wanted.select(F.col("_d").alias("_wd"), F.col("_h").alias("_wh"), "wanted"), "wanted")
-    small = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_ROWS
-    holders = keyed.join(F.broadcast(wanted) if small else wanted, (F.col("_d") == F.col("_wd")) & (F.col("_h") == F.col("_wh")))
+    holders = keyed.join(wanted.hint("shuffle_merge"), (F.col("_d") == F.col("_wd")) & (F.col("_h") == F.col("_wh")))
     pieces = stored(holders.select("_d", "_h", "_text", "wanted").mapInArrow(fetch_task(length), FETCHED), "pieces")
     parts = shuffle_parts(spark)
     cool = pieces.where(~F.col("hot")).repartition(parts, "name").sortWithinPartitions("name")
@@ -438,8 +436,7 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, doc_id: str =
     spans = repeated_spans(keyed.select("_d", "_h", "_text"), length, hot)
     own = stored(spans.groupBy("_d", "_h").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
     own = own.select(F.col("_d").alias("_sd"), F.col("_h").alias("_sh"), "spans")
-    small = (own.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_ROWS
-    joined = keyed.join(F.broadcast(own) if small else own, (F.col("_d") == F.col("_sd")) & (F.col("_h") == F.col("_sh")), "left")
+    joined = keyed.join(own.hint("shuffle_merge"), (F.col("_d") == F.col("_sd")) & (F.col("_h") == F.col("_sh")), "left")
     kinds = dict(docs.dtypes)
     columns = [c for c in keep if c != text or not with_text]
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *([f"`{text}` string"] if with_text else [])])
