@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dated(df: DataFrame) -> DataFrame:
+    """Dates as ISO text, the form in which results leave the engine."""
+    return df.withColumns({name: F.col(name).cast("string") for name, kind in df.dtypes if kind == "date"})
+
+
 def canonical_id(sku: Column) -> Column:
     """A prefix and the SKU, padded to seven digits but never cut."""
     return F.concat(F.lit("ACT"), F.when(F.length(sku) >= 7, sku).otherwise(F.lpad(sku, 7, "0")))
@@ -40,7 +45,7 @@ def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sku, observed_at, seq keys, old_price, new_price, change_type): consecutive observed prices of a SKU."""
     seen = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").cast("string").alias("sku"), F.col("l_shipdate").alias("observed_at"), F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"), F.col("l_extendedprice").alias("k3"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("new_price"),
+        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 10000 + 0.5) / 10000).alias("new_price"),
     )
     lagged = previous(seen, ["sku"], ["observed_at", "k1", "k2", "k3"], {"old_price": "new_price"})
     return lagged.withColumns(compare_price("old_price", "new_price"))
@@ -50,8 +55,8 @@ HISTORY = """history AS (
   SELECT *, CASE WHEN old_price IS NULL THEN 'NEW' WHEN abs(new_price - old_price) <= 1e-9 THEN 'UNCHANGED' WHEN new_price > old_price THEN 'UP' ELSE 'DOWN' END AS change_type
   FROM (
     SELECT l_partkey::VARCHAR AS sku, l_shipdate AS observed_at, l_orderkey AS k1, l_linenumber AS k2, l_extendedprice AS k3,
-           round(l_extendedprice / l_quantity, 4) AS new_price,
-           lag(round(l_extendedprice / l_quantity, 4)) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS old_price
+           floor(l_extendedprice / l_quantity * 10000 + 0.5) / 10000 AS new_price,
+           lag(floor(l_extendedprice / l_quantity * 10000 + 0.5) / 10000) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS old_price
     FROM lineitem))"""
 
 SOURCES = {"sitemap": "view", "listing": "click", "nuevo": "signup", "promo": "purchase"}
