@@ -127,4 +127,4 @@ def presence_history(members: DataFrame, days: DataFrame, facts: DataFrame) -> D
 
 def presence_matrix(history: DataFrame, days: list[str]) -> DataFrame:
     """Wide form for export: one column for each named day."""
-    return history.groupBy("sku").pivot(F.col("day").cast("string").alias("day"), days).agg(F.max("presence"))
+    return history.withColumn("day", F.col("day").cast("string")).groupBy("sku").pivot("day", days).agg(F.max("presence"))
