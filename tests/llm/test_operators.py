@@ -503,11 +503,32 @@ def test_windows_score_each_token_once():
     inputs, targets, row = attention_lm.windows_of(classes, offsets, classes.of[ids])
     assert [(targets[row == k] >= 0).sum() for k in range(3)] == [1, 6, 101]
     net = attention_lm.Attention(classes)
-    logits = net.forward(inputs)
-    # a later token changes no earlier score
+    hidden = net.hidden(inputs)[0]
+    # a later token changes no earlier place
     changed = inputs.copy()
     changed[-1, -1] = 5
-    assert np.allclose(net.forward(changed).reshape(len(inputs), -1, logits.shape[1])[:, :-1], logits.reshape(len(inputs), -1, logits.shape[1])[:, :-1])
-    p = np.exp(logits - logits.max(1, keepdims=True))
-    assert np.allclose((p / p.sum(1, keepdims=True)).sum(1), 1, atol=1e-5)
-    assert np.abs(net.fast(inputs, net.ready()) - logits)[targets.ravel() >= 0].max() < 1e-4
+    assert np.allclose(net.hidden(changed)[0][:, :-1], hidden[:, :-1])
+    assert np.abs(net.fast_hidden(inputs, net.ready()) - hidden.reshape(-1, attention_lm.WIDTH))[targets.ravel() >= 0].max() < 1e-4
+    # probabilities of all classes add up to one
+    one, last = hidden.reshape(-1, attention_lm.WIDTH)[26:27], inputs[:, attention_lm.OVERLAP :].ravel()[26:27]
+    every = net.groups * net.members
+    assert np.exp(net.log_probs(np.repeat(one, every, 0), np.repeat(last, every), np.arange(every))).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_attention_gradient():
+    model = pieces.Model(pieces_file("piece_bpe_32k.model"))
+    offsets, ids = np.array([0, 70, 100]), np.arange(100) ** 2 % 11 + 300
+    classes = attention_lm.Classes(offsets, ids, model.size)
+    inputs, targets, _ = attention_lm.windows_of(classes, offsets, classes.of[ids])
+    net = attention_lm.Attention(classes)
+    net.w = {k: x.astype(np.float64) for k, x in net.w.items()}
+    _, g = net.gradient(inputs, targets)
+    for name, x in net.w.items():
+        at = np.unravel_index(np.abs(g[name]).argmax(), x.shape)
+        was, step = x[at], 1e-3
+        x[at] = was + step
+        up, _ = net.gradient(inputs, targets)
+        x[at] = was - step
+        down, _ = net.gradient(inputs, targets)
+        x[at] = was
+        assert g[name][at] == pytest.approx((up - down) / (2 * step), rel=2e-2, abs=1e-5), name
