@@ -24,7 +24,8 @@ partners of any two sizes meet at the smaller one's level.
 3. A block of over BLOCK_TOKENS n-grams is cut into parts, and each pair of parts
    is one task's trie join.
 
-Equal signatures travel packed as numbers. A task keeps at most HOT + 1 sets of a
+Equal signatures travel packed as numbers, and so do the counts of shared ones, which
+are no more than a set's signatures. A task keeps at most HOT + 1 sets of a
 signature for the exchange and settles the others itself, so a signature shared by
 a third of all documents passes a bounded number of rows from each batch.
 
@@ -56,6 +57,7 @@ HOT = 64
 #: Low bits of a signature that hold its level.
 LEVEL_BITS = 12
 PAIR = np.dtype([("sig", "<u8"), ("node", "<u8")])
+TALLY = np.dtype([("node", "<u8"), ("level", "<i8"), ("k", "<i8"), ("hot", "<i8")])
 
 
 def sets_of(column: pa.Array, size: int):
@@ -234,21 +236,52 @@ def count_task(size: int, percent: int, buckets: int):
     return run
 
 
-def tally_task(batches):
-    """(node, level, shared, hot shared) of the signatures that several sets have."""
-    kept, found = [np.empty(0, PAIR)], []
-    for batch in batches:
-        kept += [np.frombuffer(x, PAIR) for x in batch.column(1).to_pylist() if x is not None]
-        own = numbers_of(batch, 4)
-        if len(own[0]):
-            found.append([own[0].view(U), *own[1:]])
-    pairs, group, _, sizes = grouped(np.concatenate(kept))
-    several = sizes[group] > 1
-    pairs, hot = pairs[several], (sizes[group] > HOT)[several]
-    found.append([pairs["node"], (pairs["sig"] & U((1 << LEVEL_BITS) - 1)).astype(np.int64), np.ones(len(pairs)), hot.astype(float)])
-    nodes, levels, k, hot = tally(*[np.concatenate(x) for x in zip(*found)])
-    if len(nodes):
-        yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(levels), pa.array(k), pa.array(hot)], names=["node", "level", "k", "hot"])
+def tally_task(buckets: int):
+    """(node, level, shared, hot shared) of the signatures that several sets have, packed by the node's bucket."""
+
+    def run(batches):
+        kept, found = [np.empty(0, PAIR)], []
+        for batch in batches:
+            kept += [np.frombuffer(x, PAIR) for x in batch.column(1).to_pylist() if x is not None]
+            own = numbers_of(batch, 4)
+            if len(own[0]):
+                found.append([own[0].view(U), *own[1:]])
+        pairs, group, _, sizes = grouped(np.concatenate(kept))
+        several = sizes[group] > 1
+        pairs, hot = pairs[several], (sizes[group] > HOT)[several]
+        found.append([pairs["node"], (pairs["sig"] & U((1 << LEVEL_BITS) - 1)).astype(np.int64), np.ones(len(pairs)), hot.astype(float)])
+        columns = tally(*[np.concatenate(x) for x in zip(*found)])
+        rows = np.empty(len(columns[0]), TALLY)
+        for name, column in zip(TALLY.names, columns):
+            rows[name] = column
+        bucket = (rows["node"] >> U(1)) % U(buckets)
+        order = np.argsort(bucket, kind="stable")
+        used, at = np.unique(bucket[order], return_index=True)
+        if len(used):
+            blobs = [x.tobytes() for x in np.split(rows[order], at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "tallies"])
+
+    return run
+
+
+def candidate_task(needed: list[int]):
+    """(node, mark) of the sets that share enough signatures at a level; mark: enough of them hot."""
+    least = np.array(needed, np.int64)
+
+    def run(batches):
+        found = [np.frombuffer(x, TALLY) for batch in batches for x in batch.column(1).to_pylist()]
+        if not found:
+            return
+        rows = np.concatenate(found)
+        nodes, levels, k, hot = tally(*[rows[name] for name in TALLY.names])
+        enough = k >= least[levels]
+        nodes, at = np.unique(nodes[enough], return_inverse=True)
+        mark = np.zeros(len(nodes), bool)
+        np.logical_or.at(mark, at, (hot >= least[levels])[enough])
+        if len(nodes):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(mark.astype(np.int32))], names=["node", "mark"])
+
+    return run
 
 
 def star_edges(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -461,11 +494,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = shuffle_parts(spark)
     place = F.coalesce("bucket", F.pmod(F.xxhash64("x0"), F.lit(buckets)).cast("int"))
     carried = named.select("text").mapInArrow(count_task(size, percent, buckets), "bucket int, pairs binary, x0 long, x1 long, x2 long, x3 long")
-    shared = carried.repartition(buckets, place).mapInArrow(tally_task, "node long, level long, k long, hot long")
+    shared = carried.repartition(buckets, place).mapInArrow(tally_task(buckets), "bucket int, tallies binary")
     _, equal, empty = level_parts(percent)
-    needed = F.element_at(F.array(*[F.lit(int(x)) for x in equal - empty]), (F.col("level") + 1).cast("int"))
-    summed = shared.groupBy("node", "level").agg(F.sum("k").alias("k"), F.sum("hot").alias("hot")).where(F.col("k") >= needed)
-    near = stored(summed.groupBy("node").agg(F.max((F.col("hot") >= needed).cast("int")).alias("mark")), "candidates")
+    near = stored(shared.repartition(buckets, "bucket").mapInArrow(candidate_task([int(x) for x in equal - empty]), "node long, mark int"), "candidates")
     wanted = classes.join(near, F.col("a") == F.col("node")).select("rep", "n", "node", "mark")
     few = near.count() <= BROADCAST_ROWS
     chosen = named.where(F.col("doc_id").isNotNull()).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("rep"))
