@@ -6,8 +6,9 @@ stands for it. Sets that may link are brought together in blocks; in a block the
 are stored in a trie in global order, and each set is looked up by one traversal
 that carries the overlap so far along shared prefixes and leaves a subtree when
 the remaining lengths can't reach the overlap that the threshold asks for.
-Subtrees' sets that already are in the looked-up set's component are skipped, so
-a group of copies gives a spanning tree, not all of its pairs.
+A subtree whose sets are all known to be in one component is left as soon as the
+looked-up set is in it too, and a set on the path that it shares is tried first: a
+group of near copies gives a spanning tree, not all of its pairs.
 
 Blocks come from an exact condition. Two linked sets differ in at most
 d = (1 - t) / t * (smaller size) elements; if the hash range is cut into d + s
@@ -38,6 +39,8 @@ not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -336,13 +339,18 @@ class Trie:
 
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.sets, self.percent = sets, percent
-        self.root = [{}, [], 1 << 60, 0]  # children, leaves (set, depth), shortest, longest
+        # children, leaves (set, depth), shortest, longest, a set if all below are known to be in its component, any set below
+        self.root = [{}, [], 1 << 60, 0, None, None]
 
-    def insert(self, k: int) -> None:
+    def insert(self, k: int, same) -> None:
         own, node, depth = self.sets[k], self.root, 0
         n = len(own)
+        if node[5] is None:
+            node[4] = k
         while True:
-            node[2], node[3] = min(node[2], n), max(node[3], n)
+            node[2], node[3], node[5] = min(node[2], n), max(node[3], n), k
+            if node[4] is not None and not same.skip(k, node[4]):
+                node[4] = None
             if depth == n:
                 node[1].append((k, depth))
                 return
@@ -353,7 +361,7 @@ class Trie:
                 return
             if isinstance(child, tuple):
                 other, at = child
-                fresh = [{}, [], len(self.sets[other]), len(self.sets[other])]
+                fresh = [{}, [], len(self.sets[other]), len(self.sets[other]), other, other]
                 if at == len(self.sets[other]):
                     fresh[1].append((other, at))
                 else:
@@ -364,17 +372,49 @@ class Trie:
     def needed(self, n: int, m: int) -> int:
         return -(-self.percent * (n + m) // (100 + self.percent))
 
+    def nearest(self, listed: list[int]) -> int | None:
+        """A set below the end of the longest path that a set shares from the root."""
+        node = self.root
+        for token in listed:
+            child = node[0].get(token)
+            if child is None:
+                break
+            if isinstance(child, tuple):
+                return child[0]
+            node = child
+        return node[5]
+
+    def one_group(self, node: list, same) -> int | None:
+        """A set of the node's subtree if all of its sets are known to be in one component."""
+        first = None
+        for other in [*(x[0] for x in node[1]), *(x[0] if isinstance(x, tuple) else x[4] for x in node[0].values())]:
+            if other is None or first is not None and same.find(other) != same.find(first):
+                return None
+            first = other
+        return first
+
     def partners(self, k: int, own: np.ndarray, same) -> None:
-        """Calls same(k, other) for each linked set; same.skip(k, other) tells which need no look."""
-        n, stack = len(own), [(self.root, 0, 0, 0)]
+        """Calls same.join(k, other) for linked sets, until each component with a partner is joined."""
+        n, stack = len(own), [(self.root, 0, 0, 0, False)]
         listed = own.tolist()
-        from bisect import bisect_left
-
+        near = self.nearest(listed)
+        if near is not None:
+            both = len(np.intersect1d(own, self.sets[near], True))
+            if both >= self.needed(n, len(self.sets[near])):
+                same.join(k, near)
         while stack:
-            node, depth, at, overlap = stack.pop()
+            node, depth, at, overlap, left = stack.pop()
+            if left:
+                node[4] = self.one_group(node, same)
+                continue
+            if node[4] is not None and same.skip(k, node[4]):
+                continue
             for other, end in node[1]:
                 if not same.skip(k, other) and overlap >= self.needed(n, end):
                     same.join(k, other)
+            if node[4] is None:
+                stack.append((node, 0, 0, 0, True))
+            shared = []
             for token, child in node[0].items():
                 p = bisect_left(listed, token, at)
                 hit = p < n and listed[p] == token
@@ -393,7 +433,8 @@ class Trie:
                     if here >= need:
                         same.join(k, other)
                 elif here + min(n - then, child[3] - depth - 1) >= self.needed(n, child[2]):
-                    stack.append((child, depth + 1, then, here))
+                    (shared if hit else stack).append((child, depth + 1, then, here, False))
+            stack += shared  # the path that the set shares comes first: it links soonest
 
 
 class Groups:
@@ -424,9 +465,9 @@ def join_block(ids: list[int], sets: list[np.ndarray], parts: list[int], crossed
     for k, own in enumerate(sets):
         if not crossed:
             trie.partners(k, own, groups)
-            trie.insert(k)
+            trie.insert(k, groups)
         elif parts[k] == parts[0]:
-            trie.insert(k)
+            trie.insert(k, groups)
         else:
             trie.partners(k, own, groups)
     return [(ids[k], ids[groups.find(k)]) for k in range(len(ids)) if groups.find(k) != k]
