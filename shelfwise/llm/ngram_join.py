@@ -7,8 +7,10 @@ are stored in a trie in global order, and each set is looked up by one traversal
 that carries the overlap so far along shared prefixes and leaves a subtree when
 the remaining lengths can't reach the overlap that the threshold asks for.
 A subtree whose sets are all known to be in one component is left as soon as the
-looked-up set is in it too, and a set on the path that it shares is tried first: a
-group of near copies gives a spanning tree, not all of its pairs.
+looked-up set is in it too: a group of near copies gives a spanning tree, not all of
+its pairs. Elements are ordered by their number of sets in the block, rarest first,
+and a lookup enters only branches of sets with which it shares one of the first
+(1 - t) * size + 1 elements, as each linked pair does.
 
 Blocks come from an exact condition. Two linked sets differ in at most
 d = (1 - t) / t * (smaller size) elements; if the hash range is cut into d + s
@@ -335,20 +337,21 @@ def meet_task(batches):
 class Trie:
     """Sets in global order; a leaf keeps its set's tail until another set shares its path."""
 
-    __slots__ = ("root", "sets", "percent")
+    __slots__ = ("root", "sets", "percent", "index")
 
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.sets, self.percent = sets, percent
-        # children, leaves (set, depth), shortest, longest, a set if all below are known to be in its component, any set below
-        self.root = [{}, [], 1 << 60, 0, None, None]
+        # children, leaves (set, depth), shortest, longest, a set if all below are known to be in its component
+        self.root = [{}, [], 1 << 60, 0, None]
+        self.index: dict[int, dict[int, list[int]]] = {}  # of prefix elements, the sets by component
 
     def insert(self, k: int, same) -> None:
         own, node, depth = self.sets[k], self.root, 0
-        n = len(own)
-        if node[5] is None:
-            node[4] = k
+        n, group = len(own), same.find(k)
+        for token in self.prefix(k):
+            self.index.setdefault(token, {}).setdefault(group, []).append(k)
         while True:
-            node[2], node[3], node[5] = min(node[2], n), max(node[3], n), k
+            node[2], node[3] = min(node[2], n), max(node[3], n)
             if node[4] is not None and not same.skip(k, node[4]):
                 node[4] = None
             if depth == n:
@@ -361,7 +364,7 @@ class Trie:
                 return
             if isinstance(child, tuple):
                 other, at = child
-                fresh = [{}, [], len(self.sets[other]), len(self.sets[other]), other, other]
+                fresh = [{}, [], len(self.sets[other]), len(self.sets[other]), other]
                 if at == len(self.sets[other]):
                     fresh[1].append((other, at))
                 else:
@@ -372,18 +375,6 @@ class Trie:
     def needed(self, n: int, m: int) -> int:
         return -(-self.percent * (n + m) // (100 + self.percent))
 
-    def nearest(self, listed: list[int]) -> int | None:
-        """A set below the end of the longest path that a set shares from the root."""
-        node = self.root
-        for token in listed:
-            child = node[0].get(token)
-            if child is None:
-                break
-            if isinstance(child, tuple):
-                return child[0]
-            node = child
-        return node[5]
-
     def one_group(self, node: list, same) -> int | None:
         """A set of the node's subtree if all of its sets are known to be in one component."""
         first = None
@@ -393,15 +384,43 @@ class Trie:
             first = other
         return first
 
+    def prefix(self, k: int) -> list[int]:
+        """A linked pair has one of these, the rarest of a set, in common."""
+        own = self.sets[k]
+        return own[: len(own) - -(-self.percent * len(own) // 100) + 1].tolist()
+
+    def linked(self, k: int, other: int) -> bool:
+        a, b = self.sets[k], self.sets[other]
+        return len(np.intersect1d(a, b, True)) >= self.needed(len(a), len(b))
+
+    def branches(self, k: int, same) -> set[int]:
+        """First elements of the sets that share a prefix element with k and may link it with another component."""
+        out: set[int] = set()
+        for token in self.prefix(k):
+            groups = self.index.get(token)
+            if groups is None:
+                continue
+            for root in [r for r in groups if same.find(r) != r]:
+                members = groups.pop(root)
+                into = groups.setdefault(same.find(root), members)
+                if into is not members:
+                    into += members
+            for root, members in groups.items():
+                if same.skip(k, root):
+                    continue
+                if self.linked(k, members[-1]):
+                    same.join(k, members[-1])
+                else:
+                    out.update(int(self.sets[m][0]) for m in members)
+        return out
+
     def partners(self, k: int, own: np.ndarray, same) -> None:
         """Calls same.join(k, other) for linked sets, until each component with a partner is joined."""
         n, stack = len(own), [(self.root, 0, 0, 0, False)]
         listed = own.tolist()
-        near = self.nearest(listed)
-        if near is not None:
-            both = len(np.intersect1d(own, self.sets[near], True))
-            if both >= self.needed(n, len(self.sets[near])):
-                same.join(k, near)
+        branches = self.branches(k, same)
+        if not branches:
+            return
         while stack:
             node, depth, at, overlap, left = stack.pop()
             if left:
@@ -412,10 +431,11 @@ class Trie:
             for other, end in node[1]:
                 if not same.skip(k, other) and overlap >= self.needed(n, end):
                     same.join(k, other)
-            if node[4] is None:
+            if node[4] is None and node is not self.root:
                 stack.append((node, 0, 0, 0, True))
             shared = []
-            for token, child in node[0].items():
+            children = node[0].items() if node is not self.root else [(t, node[0][t]) for t in branches]
+            for token, child in children:
                 p = bisect_left(listed, token, at)
                 hit = p < n and listed[p] == token
                 here, then = overlap + hit, p + hit
@@ -437,6 +457,15 @@ class Trie:
             stack += shared  # the path that the set shares comes first: it links soonest
 
 
+def by_rarity(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets with their elements numbered from the block's rarest on."""
+    found, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(found), np.int32)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(found), dtype=np.int32)
+    cuts = np.cumsum([len(x) for x in sets])[:-1]
+    return [np.sort(x) for x in np.split(rank[at], cuts)]
+
+
 class Groups:
     """Union-find over a block's sets."""
 
@@ -461,6 +490,7 @@ def join_block(ids: list[int], sets: list[np.ndarray], parts: list[int], crossed
     """Spanning links (identifier, identifier) of a block; crossed: only those between its two parts matter."""
     order = sorted(range(len(ids)), key=lambda k: (parts[k], len(sets[k]), ids[k]))
     ids, sets, parts = [ids[k] for k in order], [sets[k] for k in order], [parts[k] for k in order]
+    sets = by_rarity(sets)
     trie, groups = Trie(sets, percent), Groups(len(sets))
     for k, own in enumerate(sets):
         if not crossed:
