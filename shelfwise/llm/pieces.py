@@ -35,7 +35,7 @@ DROPOUT = 0.1
 SEED = 20240229
 VARIANTS = 8
 #: Bytes of text that a task encodes at once.
-TEXT_AT_ONCE = 8 << 20
+TEXT_AT_ONCE = 4 << 20
 LONG = 48
 NONE = np.int32(2**31 - 1)
 MARK = 0x2581
@@ -221,7 +221,7 @@ def encode_chunks(model: Model, chunks: list[str], which: np.ndarray, variant: n
     out_sym, out_cp, out_row = [], [], []
     for length in np.unique(own_lengths).tolist():
         rows = np.flatnonzero(own_lengths == length)
-        for part in np.array_split(rows, max(1, -(-len(rows) * max(length, 1) // 2_000_000))):
+        for part in np.array_split(rows, max(1, -(-len(rows) * max(length, 1) // 500_000))):
             at = starts[which[part]]
             if length <= LONG:
                 grid = cps[at[:, None] + np.arange(length)]
