@@ -459,11 +459,10 @@ class Trie:
 
 def by_rarity(sets: list[np.ndarray]) -> list[np.ndarray]:
     """The sets with their elements numbered from the block's rarest on."""
-    found, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    found, counts = np.unique(np.concatenate(sets), return_counts=True)
     rank = np.empty(len(found), np.int32)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(found), dtype=np.int32)
-    cuts = np.cumsum([len(x) for x in sets])[:-1]
-    return [np.sort(x) for x in np.split(rank[at], cuts)]
+    rank[np.argsort(counts.astype(np.int32), kind="stable")] = np.arange(len(found), dtype=np.int32)
+    return [np.sort(rank[np.searchsorted(found, x)]) for x in sets]
 
 
 class Groups:
