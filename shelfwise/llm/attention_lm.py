@@ -5,9 +5,12 @@ vocabulary. The HEAD most frequent ids are classes of their own; the others are
 clustered by what stands before them, and an id's probability inside its class
 comes from counts over the whole training part of the corpus. The model reads
 class numbers: embeddings, a causal attention head with learnt distance
-biases, a hidden layer, and a table from each class to the next. It is trained
-in numpy on a seeded sample of TRAIN_ROWS texts and TRAIN_BYTES of the training
-part at most. A text is scored in overlapping windows: each window scores STRIDE
+biases, a hidden layer, and a table from each class to the next. Classes come
+from counts over all training texts. The weights start from a seeded sample of
+TRAIN_ROWS texts and TRAIN_BYTES at most, and are then trained on every window of
+every training text, of any length: in each of the rounds of RATES, one share of
+the texts by hash, each task trains on its own texts, and the tasks' weights are
+averaged by their windows. A text is scored in overlapping windows: each window scores STRIDE
 tokens and sees OVERLAP more before them, so each token counts once; windows of a
 batch go through masked attention together.
 
@@ -23,12 +26,14 @@ ones are kept unless a result column has the name.
 
 from __future__ import annotations
 
+import copy
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +44,15 @@ from .textops import LOWER, U, Powers, flat_bytes, gather_lists, mix, ragged, sl
 HEAD = 253
 TAIL = 32
 WIDTH, HEADS, KEY = 48, 1, 16
-STRIDE, OVERLAP = 24, 8
+STRIDE, OVERLAP = 32, 16
 TRAIN_ROWS = 4_000
 TRAIN_BYTES = 6 << 20
 STEPS, BATCH = 1_500, 128
+#: Highest learning rate of each round over the training texts, and windows that a step takes there.
+RATES, ROUND_BATCH = (0.006, 0.0015), 128
+TRAIN_TEXT_AT_ONCE = 4 << 20
+#: Weights of tasks are summed in so many groups before they reach the driver.
+GROUPS = 16
 SEED = 7
 BROADCAST_WORDS = 8_000_000
 TEXT_AT_ONCE = 12 << 20
@@ -109,26 +119,49 @@ def pieces_of(model: Subwords, words: pa.Array) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([[0], np.cumsum(np.concatenate(counts))]), np.concatenate(ids)
 
 
-class Classes:
-    """Class of each id, and the logarithm of its share in its class."""
+class Heads:
+    """The ids that are classes of their own, and the others with what stands before them."""
 
-    def __init__(self, offsets: np.ndarray, ids: np.ndarray, size: int):
-        counts = np.bincount(ids, minlength=size)
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts
         order = np.argsort(-counts, kind="stable")
-        self.of = np.full(size, -1, np.int64)
+        self.of = np.full(len(counts), -1, np.int64)
         self.of[order[:HEAD]] = np.arange(HEAD)
-        self.end, self.bos, self.pad, self.outputs = HEAD + TAIL, HEAD + TAIL + 1, HEAD + TAIL + 2, HEAD + TAIL + 1
-        rest = order[HEAD:]
-        # what stands before a tail id, as shares of head ids (one more for any other, one for a text's start)
+        self.rest = order[HEAD:]
+        self.row = np.full(len(counts), -1)
+        self.row[self.rest] = np.arange(len(self.rest))
+
+    def table(self, kind: type) -> np.ndarray:
+        return np.zeros((len(self.rest), HEAD + 2), kind)
+
+    def add(self, table: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> None:
+        """Counts what stands before a tail id: head ids, one more for any other, one for a text's start."""
         before = np.full(len(ids), HEAD)
         before[1:] = np.where(self.of[ids[:-1]] >= 0, self.of[ids[:-1]], HEAD)
         before[offsets[:-1][np.diff(offsets) > 0]] = HEAD + 1
-        row = np.full(size, -1)
-        row[rest] = np.arange(len(rest))
         tail = self.of[ids] < 0
-        table = np.zeros((len(rest), HEAD + 2), np.float32)
-        np.add.at(table, (row[ids[tail]], before[tail]), 1)
-        self.of[rest] = HEAD + cluster(table, counts[rest])
+        np.add.at(table, (self.row[ids[tail]], before[tail]), 1)
+
+
+class Classes:
+    """Class of each id, and the logarithm of its share in its class."""
+
+    def __init__(self, offsets: np.ndarray, ids: np.ndarray, size: int):
+        heads = Heads(np.bincount(ids, minlength=size))
+        table = heads.table(np.float32)
+        heads.add(table, offsets, ids)
+        self.build(heads, table)
+
+    @classmethod
+    def counted(cls, heads: Heads, table: np.ndarray) -> Classes:
+        made = cls.__new__(cls)
+        made.build(heads, table)
+        return made
+
+    def build(self, heads: Heads, table: np.ndarray) -> None:
+        self.end, self.bos, self.pad, self.outputs = HEAD + TAIL, HEAD + TAIL + 1, HEAD + TAIL + 2, HEAD + TAIL + 1
+        self.of = heads.of.copy()
+        self.of[heads.rest] = HEAD + cluster(table, heads.counts[heads.rest])
         self.of = self.of.astype(np.int16)
 
     def shares(self, counts: np.ndarray) -> None:
@@ -167,6 +200,21 @@ def sums_by(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+class Adam:
+    """Steps on weights, in place."""
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        self.w, self.t = w, 0
+        self.first, self.second = {k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}
+
+    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
+        self.t += 1
+        for k, x in self.w.items():
+            self.first[k] += 0.1 * (g[k] - self.first[k])
+            self.second[k] += 0.01 * (g[k] ** 2 - self.second[k])
+            x -= (rate * (self.first[k] / (1 - 0.9**self.t)) / (np.sqrt(self.second[k] / (1 - 0.99**self.t)) + 1e-8)).astype(np.float32)
+
+
 class Attention:
     """The model's weights, its gradient and its scores.
 
@@ -291,29 +339,37 @@ class Attention:
         g["emb"] = sums_by(inputs.ravel(), dx.reshape(-1, WIDTH), len(w["emb"]))
         return loss, g
 
+    def prior(self, shown: np.ndarray) -> None:
+        """Constants from the counts of all classes."""
+        full = np.full(self.groups * self.members, 1e-9)
+        full[: self.c.outputs] = shown + 0.5
+        full = full.reshape(self.groups, self.members)
+        self.w["group_const"] = np.log(full.sum(1) / full.sum()).astype(np.float32)
+        self.w["const"] = np.log(full / full.sum(1, keepdims=True)).astype(np.float32)
+
     def train(self, offsets: np.ndarray, tokens: np.ndarray, steps: int = STEPS, batch: int = BATCH) -> float:
         """Adam over random windows; returns the mean loss of the last tenth of the steps."""
         inputs, targets, _ = windows_of(self.c, offsets, tokens)
         if not len(inputs):
             return 0.0
-        shown = np.full(self.groups * self.members, 1e-9)
-        shown[: self.c.outputs] = np.bincount(targets[targets >= 0], minlength=self.c.outputs) + 0.5
-        shown = shown.reshape(self.groups, self.members)
-        self.w["group_const"] = np.log(shown.sum(1) / shown.sum()).astype(np.float32)
-        self.w["const"] = np.log(shown / shown.sum(1, keepdims=True)).astype(np.float32)
         rng = np.random.default_rng(SEED + 1)
-        first, second, losses = {k: np.zeros_like(x) for k, x in self.w.items()}, {k: np.zeros_like(x) for k, x in self.w.items()}, []
+        adam, losses = Adam(self.w), []
         for t in range(1, steps + 1):
             pick = rng.integers(0, len(inputs), batch)
             loss, g = self.gradient(inputs[pick], targets[pick])
             losses.append(loss)
             rate = 0.012 * min(1, t / 30) * (0.5 * (1 + np.cos(np.pi * t / steps)) + 0.02)
-            for k, x in self.w.items():
-                first[k] += 0.1 * (g[k] - first[k])
-                second[k] += 0.01 * (g[k] ** 2 - second[k])
-                x -= (rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+            adam.step(g, rate)
         return float(np.mean(losses[-max(1, steps // 10) :]))
 
+    def rounds(self, offsets: np.ndarray, tokens: np.ndarray, rng: np.random.Generator, batch: int):
+        """(inputs, targets) of all windows, each once, in random order."""
+        inputs, targets, _ = windows_of(self.c, offsets, tokens)
+        order = rng.permutation(len(inputs))
+        for at in range(0, len(order), batch):
+            pick = order[at : at + batch]
+            yield inputs[pick], targets[pick]
+
     def ready(self) -> dict[str, np.ndarray]:
         """Weights as scoring uses them: scaled queries, and the distances as factors that are 0 for later places."""
         w = self.w
@@ -378,19 +434,21 @@ def windows_of(c: Classes, offsets: np.ndarray, tokens: np.ndarray) -> tuple[np.
     return inputs, targets, row
 
 
+def ids_of(model: Subwords, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, subword ids) of texts."""
+    offsets, codes, words = word_codes(lower_column(column))
+    return gather_lists(offsets, codes, *pieces_of(model, words))
+
+
 class Scorer:
     """Subword model, classes and attention weights: what a task needs."""
 
-    def __init__(self, model: Subwords, texts: list[str]):
-        self.model = model
-        offsets, ids = self.ids(lower_column(pa.array(texts, pa.large_string())))
-        self.classes = Classes(offsets, ids, model.size)
-        self.attention = Attention(self.classes)
-        self.loss = self.attention.train(offsets, self.classes.of[ids])
-
-    def ids(self, lowered: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        offsets, codes, words = word_codes(lowered)
-        return gather_lists(offsets, codes, *pieces_of(self.model, words))
+    def __init__(self, model: Subwords, classes: Classes, counts: np.ndarray, ends: int, texts: list[str]):
+        self.model, self.classes, self.attention = model, classes, Attention(classes)
+        classes.shares(counts)
+        self.attention.prior(np.append(np.bincount(classes.of, counts, HEAD + TAIL), ends))
+        offsets, ids = ids_of(model, pa.array(texts, pa.large_string()))
+        self.loss = self.attention.train(offsets, classes.of[ids])
 
     def log10(self, offsets: np.ndarray, codes: np.ndarray, units: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         bounds, ids = gather_lists(offsets, codes, *units)
@@ -402,7 +460,7 @@ def count_task(shared):
     """(word hash, count) of a batch's distinct words in training texts; at the end (null, id, count) of the task's subword ids."""
 
     def run(batches):
-        model, powers = shared.value.model, Powers()
+        model, powers = shared.value, Powers()
         total, texts = np.zeros(model.size, np.int64), 0
         for batch in batches:
             for first, _, own in slices(batch.column(0), TEXT_AT_ONCE):
@@ -424,6 +482,49 @@ def count_task(shared):
     return run
 
 
+def before_task(shared):
+    """(tail row, what stands before, count) of a task's training texts."""
+
+    def run(batches):
+        model, heads = shared.value
+        table = heads.table(np.int32)
+        for batch in batches:
+            for first, _, own in slices(batch.column(0), TEXT_AT_ONCE):
+                heads.add(table, *ids_of(model, batch.column(0).slice(first, len(own) - 1)))
+        row, before = np.nonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(before.astype(np.int16)), pa.array(table[row, before].astype(np.int64))], names=["row", "before", "n"])
+
+    return run
+
+
+def train_task(shared, rate: float, at_once: int):
+    """(group, windows, weights times windows) after a task's steps over all windows of its texts."""
+
+    def run(batches):
+        scorer, task = shared.value, TaskContext.get().partitionId()
+        net = copy.copy(scorer.attention)
+        net.w = {k: x.copy() for k, x in net.w.items()}
+        adam, rng, many = Adam(net.w), np.random.default_rng((SEED, task)), 0
+        for batch in batches:
+            for first, _, own in slices(batch.column(0), TRAIN_TEXT_AT_ONCE):
+                offsets, ids = ids_of(scorer.model, batch.column(0).slice(first, len(own) - 1))
+                for inputs, targets in net.rounds(offsets, scorer.classes.of[ids], rng, at_once):
+                    adam.step(net.gradient(inputs, targets)[1], rate * min(1, (adam.t + 1) / 10))
+                    many += len(inputs)
+        if many:
+            flat = np.concatenate([x.ravel() for x in net.w.values()]).astype(np.float64) * many
+            yield pa.RecordBatch.from_arrays([pa.array([task % GROUPS], pa.int32()), pa.array([task], pa.int32()), pa.array([many], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["part", "task", "many", "weights"])
+
+    return run
+
+
+def summed_weights(rows: pa.Table) -> pa.Table:
+    """One row of several, added in the order of tasks."""
+    rows = rows.sort_by("task")
+    total = sum(np.frombuffer(x.as_py(), np.float64) for x in rows.column("weights"))
+    return pa.table({"part": rows.column("part").slice(0, 1), "many": pa.array([pc.sum(rows.column("many")).as_py()], pa.int64()), "weights": pa.array([total.tobytes()], pa.binary())})
+
+
 class Table:
     """Word counts as sorted arrays."""
 
@@ -456,29 +557,45 @@ def score_rows(scorer: Scorer, column: pa.Array, counts_of, ends: int, powers: P
     return [pa.array(np.concatenate(x)) for x in zip(*out)]
 
 
-def fit(docs: DataFrame, train: str, model_path: str, doc_id: str = "doc_id", text: str = "text") -> Scorer:
-    """docs: with a boolean column that tells what may be learnt from."""
+def fit(docs: DataFrame, train: str, model: Subwords, counts: np.ndarray, ends: int, doc_id: str = "doc_id", text: str = "text") -> Scorer:
+    """docs: with a boolean column that tells what may be learnt from; counts: of ids in all of that, with ends texts."""
     part = docs.where(train)
+    send = docs.sparkSession.sparkContext.broadcast
+    heads = Heads(counts)
+    before = part.select(text).mapInArrow(before_task(send((model, heads))), "row int, before short, n long").groupBy("row", "before").agg(F.sum("n").alias("n")).toArrow()
+    table = heads.table(np.float32)
+    table[before["row"].to_numpy(), before["before"].to_numpy()] = before["n"].to_numpy()
+    classes = Classes.counted(heads, table)
     strata = part.where(F.col(doc_id).isNotNull()).select(doc_id).dropDuplicates().withColumn("stratum", F.lit(0))
     texts = sampled(part, strata, doc_id, text, TRAIN_ROWS, TRAIN_BYTES, SEED).select(text).toArrow()[text].to_pylist()
-    return Scorer(Subwords(model_path), sorted(texts))
+    scorer = Scorer(model, classes, counts, ends, sorted(texts))
+    for k, rate in enumerate(RATES):
+        share = part.where(F.pmod(F.xxhash64(F.lit(SEED), text), F.lit(len(RATES))) == k).select(text)
+        tasks = share.mapInArrow(train_task(send(scorer), rate, ROUND_BATCH), "part int, task int, many long, weights binary")
+        rows = sorted(tasks.groupBy("part").applyInArrow(summed_weights, "part int, many long, weights binary").collect())
+        if rows:
+            flat = sum(np.frombuffer(r.weights, np.float64) for r in rows) / sum(r.many for r in rows)
+            w = scorer.attention.w
+            cuts = np.cumsum([x.size for x in w.values()])[:-1]
+            scorer.attention.w = {key: own.reshape(x.shape).astype(np.float32) for (key, x), own in zip(w.items(), np.split(flat, cuts))}
+    return scorer
 
 
 def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text", broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """Kept columns, n_tokens, n_known, train_tokens, base_score, score. train: name of a boolean column of docs."""
     spark = docs.sparkSession
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    scorer = fit(docs, train, model_path, doc_id, text)
-    shared = spark.sparkContext.broadcast(scorer)
+    model = Subwords(model_path)
+    shared = spark.sparkContext.broadcast(model)
     counted = stored(docs.where(train).select(text).mapInArrow(count_task(shared), "word long, piece int, n long").groupBy("word", "piece").agg(F.sum("n").alias("n")), "counts")
     pieces = counted.where("word IS NULL").select("piece", "n").toArrow().to_pydict()
     totals = counted.where("word IS NOT NULL").agg(F.count(F.lit(1)), F.sum("n")).first()
     by_piece = dict(zip(pieces["piece"], pieces["n"]))
     ends = int(by_piece.pop(-1, 0))
     n_words, n_all, n_kinds = int(totals[0]), int(totals[1] or 0) + ends, int(totals[0]) + (ends > 0)
-    counts = np.zeros(scorer.model.size)
+    counts = np.zeros(model.size)
     counts[list(by_piece)] = list(by_piece.values())
-    scorer.classes.shares(counts)
+    scorer = fit(docs, train, model, counts, ends, doc_id, text)
     final = spark.sparkContext.broadcast(scorer)
     kinds = dict(docs.dtypes)
     kept = ", ".join(f"`{c}` {kinds[c]}" for c in keep)

@@ -499,6 +499,20 @@ def test_attention_lm(spark, monkeypatch):
         assert results[1][k] == pytest.approx(v, rel=1e-4)
 
 
+def test_attention_lm_learns_from_every_text(spark, monkeypatch):
+    """Texts that the first sample bars, as they are longer than a tenth of its bytes, are learnt from."""
+    monkeypatch.setattr(attention_lm, "TRAIN_BYTES", 10_000)
+    monkeypatch.setattr(attention_lm, "ROUND_BATCH", 4)
+    rng = random.Random(4)
+    cycle = "red green blue black white brown grey pink"
+    rows = [(k, " ".join([cycle] * 300), True) for k in range(40)]
+    rows += [(100, " ".join([cycle] * 5), False), (101, " ".join(rng.sample(cycle.split() * 5, 40)), False)]
+    docs = frame(spark, rows, "doc_id long, text string, train boolean")
+    out = {r.doc_id: r.score for r in attention_lm.score(docs, "train", pieces_file("piece_bpe_32k.model"), ["doc_id"]).where("doc_id >= 100").collect()}
+    # the order of words, which no count of single ids has, is known
+    assert out[100] > 0.7 * out[101], out
+
+
 def test_windows_score_each_token_once():
     model = pieces.Model(pieces_file("piece_bpe_32k.model"))
     offsets, ids = np.array([0, 0, 5, 105]), np.arange(105) % 7 + 300
