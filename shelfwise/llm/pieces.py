@@ -3,13 +3,16 @@
 A byte-pair model's merges are applied from an agenda: the pair with the best
 score first, the leftmost of equals. Each candidate merge is skipped with
 probability `dropout`, decided by a hash keyed by the seed, the chunk's text, the
-candidate's place in the chunk and a variant number, which in turn is a hash of
-the document's key and the chunk's position. The same seed gives the same ids on
+candidate's place in the chunk and the occurrence, a 64-bit hash of the
+document's key and the chunk's position. The same seed gives the same ids on
 any cluster; other seeds, and other places of the same word, give others; every
 one decodes to the text.
 
-The agenda is processed for all distinct chunks of an Arrow batch at once: in
-each round every chunk's best remaining candidate is applied. A chunk is a run
+Every occurrence decides its own candidates. The library's segmentation of each
+distinct chunk and the candidates met on the way are computed once per batch; an
+occurrence that skips none of them has that segmentation, any other takes the
+agenda itself. The agenda is processed for all such chunks at once: in each
+round every chunk's best remaining candidate is applied. A chunk is a run
 of spaces with what follows up to the next space; no piece reaches across such
 a boundary. Chunks of over LONG characters take a heap instead.
 
@@ -33,7 +36,6 @@ from .textops import U, gather_lists, mix, ragged, slices, space_chunks
 
 DROPOUT = 0.1
 SEED = 20240229
-VARIANTS = 8
 #: Bytes of text that a task encodes at once.
 TEXT_AT_ONCE = 4 << 20
 LONG = 48
@@ -120,8 +122,8 @@ def skipped(key: np.ndarray, a, b, c, threshold: int) -> np.ndarray:
     return mix(mix(key ^ (place * U(0x2545F4914F6CDD1D))) + U(0x632BE59BD9B4E019)) < U(threshold)
 
 
-def merged(model: Model, cps: np.ndarray, key: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Agenda for chunks of one length: (symbols, which places still begin a symbol)."""
+def merged(model: Model, cps: np.ndarray, key: np.ndarray, threshold: int, met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Agenda for chunks of one length: (symbols, which places still begin a symbol). met: takes the candidates as (row, a, b, c)."""
     n, length = cps.shape
     sym = model.chars[cps]
     alive = np.ones((n, length), bool)
@@ -136,6 +138,9 @@ def merged(model: Model, cps: np.ndarray, key: np.ndarray, threshold: int) -> tu
         at = np.nonzero(first != NONE)
         gone = skipped(key[at[0]], at[1], at[1] + 1, at[1] + 2, threshold)
         first[at[0][gone], at[1][gone]] = NONE
+    if met is not None:
+        r, a = np.nonzero(first != NONE)
+        met.append((r, a, a + 1, a + 2))
     prio[:, :-1] = first
     rows = np.arange(n)
     while True:
@@ -165,6 +170,9 @@ def merged(model: Model, cps: np.ndarray, key: np.ndarray, threshold: int) -> tu
                 at = np.flatnonzero(rank != NONE)
                 gone = skipped(key[r[at]], a[at], b[at], nxt[r[at], b[at]], threshold)
                 rank[at[gone]] = NONE
+            if met is not None:
+                at = np.flatnonzero(rank != NONE)
+                met.append((r[at], a[at], b[at], nxt[r[at], b[at]]))
             prio[r, a] = rank
     return sym, alive
 
@@ -201,22 +209,30 @@ def merged_long(model: Model, cps: np.ndarray, key: int, threshold: int) -> tupl
     return np.array(sym), np.array(alive)
 
 
-def encode_chunks(model: Model, chunks: list[str], which: np.ndarray, variant: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, ids) of chunks[which] under each one's variant."""
-    if not len(which):
-        return np.zeros(1, np.int64), np.zeros(0, np.int32)
+def laid_out(chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(characters, starts, lengths, hashes) of chunks."""
     lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
     cps = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
     starts = np.cumsum(lengths) - lengths
     cps = np.where(cps == 0x20, MARK, np.where(cps == MARK, 0x110000 - 1, cps))  # a literal mark is spelt in bytes below
-    threshold = int(dropout * 2**64) if dropout else 0
     weights = mix(np.arange(1, int(lengths.max(initial=1)) + 1, dtype=np.uint64))
     places = ragged(np.zeros(len(lengths), np.int64), lengths)
     sums = np.zeros(len(cps) + 1, U)
     np.cumsum(mix(cps.astype(U) + U(7)) * weights[places], out=sums[1:])
-    text_hash = sums[starts + lengths] - sums[starts]
-    salt = U(seed * 0x9E3779B97F4A7C15 % (1 << 64))
-    key = mix(text_hash[which] ^ mix(variant.astype(U) + salt))
+    return cps, starts, lengths, sums[starts + lengths] - sums[starts]
+
+
+def keys_of(text_hash: np.ndarray, variant: np.ndarray, seed: int) -> np.ndarray:
+    return mix(text_hash ^ mix(variant.astype(U) + U(seed * 0x9E3779B97F4A7C15 % (1 << 64))))
+
+
+def encode_chunks(model: Model, chunks: list[str], which: np.ndarray, variant: np.ndarray, seed: int, dropout: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids) of chunks[which] under each one's variant. met: takes the candidates of chunks of up to LONG characters."""
+    if not len(which):
+        return np.zeros(1, np.int64), np.zeros(0, np.int32)
+    cps, starts, lengths, text_hash = laid_out(chunks)
+    threshold = int(dropout * 2**64) if dropout else 0
+    key = keys_of(text_hash[which], variant, seed)
     own_lengths = lengths[which]
     out_sym, out_cp, out_row = [], [], []
     for length in np.unique(own_lengths).tolist():
@@ -225,7 +241,10 @@ def encode_chunks(model: Model, chunks: list[str], which: np.ndarray, variant: n
             at = starts[which[part]]
             if length <= LONG:
                 grid = cps[at[:, None] + np.arange(length)]
-                sym, alive = merged(model, grid, key[part], threshold)
+                own_met = None if met is None else []
+                sym, alive = merged(model, grid, key[part], threshold, own_met)
+                if own_met:
+                    met += [(part[r], a, b, c) for r, a, b, c in own_met]
                 r, c = np.nonzero(alive)
                 out_sym.append(sym[r, c].astype(np.int64))
                 out_cp.append(grid[r, c])
@@ -258,22 +277,43 @@ def space_runs(text: str) -> list[str]:
     return re.findall(r" *[^ ]+| +", " " + text) if text else []
 
 
-def encode_column(model: Model, column: pa.Array, doc_keys: np.ndarray, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+def skips_any(chunks: list[str], codes: np.ndarray, variant: np.ndarray, met: list, seed: int, dropout: float) -> np.ndarray:
+    """Whether an occurrence skips a candidate that its chunk meets without dropout; always True for chunks of over LONG characters."""
+    _, _, lengths, text_hash = laid_out(chunks)
+    out = lengths[codes] > LONG
+    if not met:
+        return out
+    row, a, b, c = (np.concatenate(x) for x in zip(*met))
+    order = np.argsort(row, kind="stable")
+    a, b, c = a[order], b[order], c[order]
+    counts = np.bincount(row, minlength=len(chunks))
+    starts = np.cumsum(counts) - counts
+    key = keys_of(text_hash[codes], variant, seed)
+    for lo in range(0, len(codes), 100_000):
+        own = codes[lo : lo + 100_000]
+        at = ragged(starts[own], counts[own])
+        who = np.repeat(np.arange(lo, lo + len(own)), counts[own])
+        out[who[skipped(key[who], a[at], b[at], c[at], int(dropout * 2**64))]] = True
+    return out
+
+
+def encode_column(model: Model, column: pa.Array, doc_keys: np.ndarray, seed: int = SEED, dropout: float = DROPOUT) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, ids) of a column's texts."""
     offsets, codes, chunks = space_chunks(column, space_runs, True)
     if not len(codes):
         return offsets, np.zeros(0, np.int32)
-    if dropout:
-        place = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
-        variant = mix(np.repeat(doc_keys.astype(U), np.diff(offsets)) + place.astype(U) * U(0xD1342543DE82EF95)) % U(variants)
-        codes = codes * variants + variant.astype(np.int64)
-    else:
-        variants = 1
-    seen = np.zeros(len(chunks) * variants, bool)
-    seen[codes] = True
-    used = np.flatnonzero(seen)
-    unit_offsets, units = encode_chunks(model, chunks, used // variants, used % variants, seed, dropout)
-    return gather_lists(offsets, (np.cumsum(seen) - 1)[codes], unit_offsets, units)
+    met: list | None = [] if dropout else None
+    every = np.arange(len(chunks))
+    unit_offsets, units = encode_chunks(model, chunks, every, np.zeros(len(chunks), U), seed, 0, met)
+    if not dropout:
+        return gather_lists(offsets, codes, unit_offsets, units)
+    place = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
+    variant = mix(np.repeat(doc_keys.astype(U), np.diff(offsets)) + place.astype(U) * U(0xD1342543DE82EF95))
+    own = np.flatnonzero(skips_any(chunks, codes, variant, met, seed, dropout))
+    own_offsets, own_units = encode_chunks(model, chunks, codes[own], variant[own], seed, dropout)
+    codes = codes.copy()
+    codes[own] = len(chunks) + np.arange(len(own))
+    return gather_lists(offsets, codes, np.concatenate([unit_offsets, unit_offsets[-1] + own_offsets[1:]]), np.concatenate([units, own_units]))
 
 
 def decode_arrays(model: Model, offsets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

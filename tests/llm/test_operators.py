@@ -120,6 +120,23 @@ def test_dropout_varies_and_decodes(spark):
     assert pieces.encode(docs.limit(0), path).count() == 0
 
 
+def test_each_occurrence_has_its_own_dropout():
+    """A word has more segmentations than any small number of variants, and each is that of its own key's agenda."""
+    model = pieces.Model(pieces_file("piece_bpe_32k.model"))
+    n, keys = 400, np.array([5, 6])
+    offsets, ids = pieces.encode_column(model, pa.array(["internationalization of " * n + "aaaa" * 20] * 2), keys, 9, 0.3)
+    assert pieces.decode_arrays(model, offsets, ids)[1].tobytes().decode() == ("internationalization of " * n + "aaaa" * 20) * 2
+    found, expected = set(), []
+    for key in keys.tolist():
+        for place, chunk in enumerate([" internationalization", " of"] * n + [" " + "aaaa" * 20]):
+            variant = pieces.mix(np.array([key], np.uint64) + np.array([place], np.uint64) * np.uint64(0xD1342543DE82EF95))
+            _, own = pieces.encode_chunks(model, [chunk], np.array([0]), variant, 9, 0.3)
+            expected += own.tolist()
+            found.add((chunk, tuple(own.tolist())))
+    assert ids.tolist() == expected
+    assert sum(chunk == " internationalization" for chunk, _ in found) > 8
+
+
 # 2 and 4 -----------------------------------------------------------------------------------
 
 
