@@ -15,6 +15,8 @@ from shelfwise.llm.queries import table, tokenizer_file
 from shelfwise.llm.shared import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A line goes if more of its host's documents than this hold it, however large the host is.
+LINE_MOST = quality_rules.LINE_LEAST
 #: Near duplicates share 80 per cent of their five-word shingles.
 WORDS, PERCENT = 5, 80
 
@@ -25,7 +27,7 @@ def as_documents(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go, and lines above their host's limit go from the others."""
-    judged = quality_rules.line_frequency(docs.select(*COLUMNS), with_text=True).where("kept")
+    judged = quality_rules.line_frequency(docs.select(*COLUMNS), with_text=True, most=LINE_MOST).where("kept")
     return as_documents(judged.drop("text").withColumnRenamed("clean_text", "text"))
 
 

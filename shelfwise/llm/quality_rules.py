@@ -25,8 +25,10 @@ LINE_SHARE = 0.1
 LINE_LEAST = 25
 #: A document is depleted if less than this share of its words is left.
 LEAST_LEFT = 0.35
-#: The table of lines above limits is broadcast up to so many rows, and joined by shuffle beyond.
+#: The table of lines above limits is broadcast up to so many rows, and joined by shuffle on host and line beyond.
 BROADCAST_ROWS = 200_000
+#: Up to so many lines of a host travel as one array, which every line of its documents is searched in.
+ARRAY_LINES = 64
 
 
 def word_list(text: Column) -> Column:
@@ -74,29 +76,47 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", share: float = LINE_SHARE, least: int = LINE_LEAST) -> DataFrame:
-    """(host, bad): for each host the hashes of the lines that stand in too many of its documents.
+def line_hashes(text: str) -> Column:
+    """The distinct hashes of a text's normalised lines."""
+    return F.array_distinct(F.transform(F.filter(F.split(F.col(text), "\n"), lambda x: has_word(x)), lambda x: F.xxhash64(normal_line(x))))
 
-    A line above the limit stands in over `share` of a host's documents, so a
-    host has at most (its mean lines per document) / share of them: the arrays
-    are bounded whatever the input.
-    """
-    lines = F.array_distinct(F.transform(F.filter(F.split(F.col(text), "\n"), lambda x: has_word(x)), lambda x: F.xxhash64(normal_line(x))))
-    seen = docs.select(F.col(host).alias("_host"), F.explode(lines).alias("_line")).groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_docs"))
-    sizes = docs.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("_all"))
-    often = seen.where(F.col("_docs") > least)
-    above = often.alias("a").join(sizes.alias("b"), F.col("a._host").eqNullSafe(F.col("b._host"))).where(F.col("_docs") > F.greatest(F.lit(least), share * F.col("_all")))
-    return above.select(F.col("a._host").alias("_host"), "_line").groupBy("_host").agg(F.collect_list("_line").alias("_bad"))
 
+def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", share: float = LINE_SHARE, least: int = LINE_LEAST, most: int | None = None) -> DataFrame:
+    """(host, line): the hashes of the lines that stand in too many of a host's documents.
 
-def line_frequency(docs: DataFrame, text: str = "text", host: str = "source", share: float = LINE_SHARE, least: int = LINE_LEAST, least_left: float = LEAST_LEFT, with_text: bool = False) -> DataFrame:
+    The limit is `share` of the host's documents, `least` at the lowest and
+    `most` at the highest; without `most` it rises with the host.
+    """
+    seen = docs.select(F.col(host).alias("_host"), F.explode(line_hashes(text)).alias("_line")).groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_docs"))
+    sizes = docs.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("_all"))
+    often = seen.where(F.col("_docs") > (least if most is None else min(least, most)))
+    limit = F.greatest(F.lit(least), share * F.col("_all"))
+    limit = limit if most is None else F.least(limit, F.lit(most))
+    above = often.alias("a").join(sizes.alias("b"), F.col("a._host").eqNullSafe(F.col("b._host"))).where(F.col("_docs") > limit)
+    return above.select(F.col("a._host").alias("_bad_host"), "_line")
+
+
+def with_bad_lines(docs: DataFrame, bad: DataFrame, text: str, host: str) -> DataFrame:
+    """docs with _bad, the hashes of lines to remove: those of the host if they are few, those of the document itself otherwise."""
+    sizes = bad.groupBy("_bad_host").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    fits = sizes[0] + (sizes[1] or 0) <= BROADCAST_ROWS
+    if fits and (sizes[2] or 0) <= ARRAY_LINES:
+        arrays = bad.groupBy("_bad_host").agg(F.collect_list("_line").alias("_bad"))
+        return docs.join(F.broadcast(arrays), F.col(host).eqNullSafe(F.col("_bad_host")), "left").drop("_bad_host")
+    # what a document loses follows from its host and text, so equal rows share one key
+    key = F.struct(F.col(host).alias("h"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("t"))
+    lines = docs.select(key.alias("_of"), F.explode(line_hashes(text)).alias("_own"))
+    met = lines.join(F.broadcast(bad) if fits else bad, F.col("_of.h").eqNullSafe(F.col("_bad_host")) & (F.col("_own") == F.col("_line")))
+    found = met.groupBy("_of").agg(F.collect_set("_line").alias("_bad")).select(F.col("_of.h").alias("_bad_host"), F.col("_of.t").alias("_bad_text"), "_bad")
+    return docs.withColumn("_text", key["t"]).join(found, F.col(host).eqNullSafe(F.col("_bad_host")) & (F.col("_text") == F.col("_bad_text")), "left").drop("_text", "_bad_host", "_bad_text")
+
+
+def line_frequency(docs: DataFrame, text: str = "text", host: str = "source", share: float = LINE_SHARE, least: int = LINE_LEAST, least_left: float = LEAST_LEFT, with_text: bool = False, most: int | None = None) -> DataFrame:
     """All columns of docs, the base rules, and n_removed_lines, n_left (words), kept; with_text: also clean_text."""
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_lines", "n_left", "kept", "clean_text", "_host", "_bad", "_bad_host"]
+    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_lines", "n_left", "kept", "clean_text", "_host", "_bad", "_bad_host", "_text", "_bad_text"]
     docs = docs.drop(*[c for c in added if c not in (text, host)])
-    # checkpoint: few rows, computed once and of known size
-    bad = frequent_lines(docs, text, host, share, least).select(F.col("_host").alias("_bad_host"), "_bad").checkpoint()
-    fits = bad.agg(F.sum(F.size("_bad") + 1)).first()[0] or 0
-    joined = docs.join(F.broadcast(bad) if fits <= BROADCAST_ROWS else bad, F.col(host).eqNullSafe(F.col("_bad_host")), "left")
+    # checkpoint: computed once and of known size
+    joined = with_bad_lines(docs, frequent_lines(docs, text, host, share, least, most).checkpoint(), text, host)
     whole = F.coalesce(F.col(text), F.lit(""))
     is_bad = lambda x: F.array_contains(F.col("_bad"), F.xxhash64(normal_line(x))) & (has_word(x))
     removed = F.when(F.col("_bad").isNull(), F.array().cast("array<string>")).otherwise(F.filter(F.split(whole, "\n"), is_bad))
@@ -107,4 +127,4 @@ def line_frequency(docs: DataFrame, text: str = "text", host: str = "source", sh
     if with_text:
         left = F.array_join(F.filter(F.split(whole, "\n"), lambda x: ~is_bad(x)), "\n")
         out = out.withColumn("clean_text", F.when(F.col("n_removed_lines") == 0, F.col(text)).otherwise(left))
-    return out.drop("_lost", "_bad", "_bad_host")
+    return out.drop("_lost", "_bad")

@@ -246,6 +246,22 @@ def test_quality_rules(spark):
     assert quality_rules.line_frequency(frame(spark, [], "doc_id long, text string, source string")).count() == 0
 
 
+@pytest.mark.parametrize("arrays, rows_at_once", [(64, 200_000), (0, 200_000), (0, 0)])
+def test_a_line_of_a_large_host_goes(spark, monkeypatch, arrays, rows_at_once):
+    """Shared lines under a tenth of a host go with an absolute limit, by arrays, by broadcast and by shuffle."""
+    monkeypatch.setattr(quality_rules, "ARRAY_LINES", arrays)
+    monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", rows_at_once)
+    rows = [(k, f"own line {k} of it\n" + ("Shared  line" if k % 20 == 0 else f"other {k}"), "big" if k < 600 else None) for k in range(640)] + [(0, "own line 0 of it\nShared  line", "big"), (700, None, "big")]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    out = quality_rules.line_frequency(docs, with_text=True, most=25).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        gone = r.source == "big" and "Shared" in (r.text or "")
+        assert r.n_removed_lines == gone and r.clean_text == (r.text.split("\n")[0] if gone else r.text)
+    assert sum(r.n_removed_lines for r in out) == 31
+    assert quality_rules.line_frequency(docs).where("n_removed_lines > 0").count() == 0
+
+
 # 5 -----------------------------------------------------------------------------------------
 
 
