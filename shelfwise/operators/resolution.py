@@ -38,20 +38,22 @@ def scoped_rules(rows: DataFrame, rules: DataFrame, scopes: list[str], term: str
     return out.select(*rows.columns, F.when(~conflict, F.col("_lo")).alias("target"), conflict.alias("conflict"))
 
 
-def term_matches(rows: DataFrame, terms: DataFrame, key: str, text: str, most_words: int = 4) -> DataFrame:
-    """(key, term, target): terms of up to most_words words that stand in a text, at word boundaries.
+def term_matches(rows: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, target): terms of any number of words that stand in a text, at word boundaries.
 
-    Texts give their word n-grams and meet terms by equality; no row is compared with every term.
+    Texts give their word n-grams of the lengths that terms have and meet terms
+    by equality; no row is compared with every term.
     """
 
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     def spans_of(n: int) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda k: F.array_join(F.slice("_w", k, n), " "))
 
-    spans = [spans_of(n) for n in range(1, most_words + 1)]
-    grams = F.array_distinct(F.flatten(F.array(*[F.when(F.size("_w") >= n, span).otherwise(F.array().cast("array<string>")) for n, span in enumerate(spans, 1)])))
-    exploded = rows.select(key, words.alias("_w")).select(key, F.explode(grams).alias("_g"))
     normal = terms.select(F.array_join(F.filter(F.split(F.lower("term"), r"[^\p{L}\p{N}]+"), lambda x: x != ""), " ").alias("_g"), "term", "target").where("_g <> ''")
+    lengths = sorted(r[0] for r in normal.select(F.size(F.split("_g", " "))).distinct().collect())
+    none = F.array().cast("array<string>")
+    grams = F.array_distinct(F.flatten(F.array(none, *[F.when(F.size("_w") >= n, spans_of(n)).otherwise(none) for n in lengths])))
+    exploded = rows.select(key, words.alias("_w")).select(key, F.explode(grams).alias("_g"))
     return exploded.join(normal, "_g").select(key, "term", "target").distinct()
 
 

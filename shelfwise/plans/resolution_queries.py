@@ -64,6 +64,12 @@ def longest_terms(spark, sf_dir):
     return longest_match(one, "doc_id")
 
 
+@query(f"WITH {GRAMS.replace('SELECT item_id AS doc_id, list_filter', 'SELECT doc_id, list_filter', 1).replace('FROM benchmark),', 'FROM documents),', 1)} SELECT * FROM hits")
+def document_terms(spark, sf_dir):
+    """The benchmark's terms that stand in whole documents."""
+    return term_matches(table(spark, sf_dir, "documents"), benchmark_terms(spark, sf_dir), "doc_id", "text")
+
+
 @query("""WITH m AS (SELECT o_orderpriority AS a, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS b, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS target FROM orders GROUP BY 1, 2),
 r AS (SELECT DISTINCT o_orderpriority AS a, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderstatus END AS b FROM orders)
 SELECT r.a, r.b, m.target FROM r LEFT JOIN m ON r.a IS NOT DISTINCT FROM m.a AND r.b IS NOT DISTINCT FROM m.b""")

@@ -130,6 +130,13 @@ def test_resolution(spark):
     assert tuple(resolution.longest_match(hits, "id").first()) == (1, "big red", "t1")
 
 
+def test_terms_of_any_length(spark):
+    text = spark.createDataFrame([(1, "a very big old red lamp, lit"), (2, "big old"), (3, None)], "id int, text string")
+    terms = spark.createDataFrame([("Very big old red lamp lit", "t6"), ("big old", "t2"), ("very old red lamp lit too", "t0")], "term string, target string")
+    assert sorted(tuple(r) for r in resolution.term_matches(text, terms, "id", "text").collect()) == [(1, "Very big old red lamp lit", "t6"), (1, "big old", "t2"), (2, "big old", "t2")]
+    assert resolution.term_matches(text, terms.limit(0), "id", "text").count() == 0
+
+
 def test_windows(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, None)], "k string, t int, v string")
     assert {tuple(r) for r in windows.latest(df, ["k"], ["t", "v"], ["v"]).collect()} == {("a", "z"), ("b", None)}
