@@ -137,6 +137,14 @@ def test_terms_of_any_length(spark):
     assert resolution.term_matches(text, terms.limit(0), "id", "text").count() == 0
 
 
+def test_term_counts_keep_rare_terms(spark):
+    from shelfwise.plans import text_queries
+
+    docs = spark.createDataFrame([(1, "en", "red lamp lamp"), (2, "es", "Red one"), (3, "es", None)], "doc_id long, lang string, text string")
+    assert [tuple(r) for r in text_queries.term_counts(docs).collect()] == [("red", 2, 2, 2)]
+    assert text_queries.term_counts(docs, 1).count() == 3
+
+
 def test_windows(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, None)], "k string, t int, v string")
     assert {tuple(r) for r in windows.latest(df, ["k"], ["t", "v"], ["v"]).collect()} == {("a", "z"), ("b", None)}
