@@ -71,3 +71,10 @@ def test_details_and_badges(spark):
 def test_fidelity(spark, source, target, expected):
     row = spark.createDataFrame([(source, target)], "s string, t string").select(texts.fidelity_findings(F.col("s"), F.col("t")).alias("v")).first()
     assert row.v == expected
+
+
+def test_bench_names_what_it_leaves_out():
+    import __spark_entry__
+    import bench
+
+    assert bench.left_out(__spark_entry__.queries()) == ["op6_repeated_spans", "op7_ngram_join", "op10_attention_lm", "pipeline"]
