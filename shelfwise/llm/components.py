@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import discard, stored
 
 
 def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
     Alternates large stars (each node hands its larger neighbours its smallest
     one) and small stars (its smaller ones) until nothing changes: a number of
     rounds that grows with the logarithm of the longest path. Edges are stored
-    after each round; nothing is collected but a count and a checksum. Null
+    after each round, and the round before is deleted; nothing is collected but a count and a checksum. Null
     ends are left out, loops count as edges of their node; no edges, no rows.
     """
     ends = edges.select(F.greatest(first, second).alias("u"), F.least(first, second).alias("v")).where(F.col(first).isNotNull() & F.col(second).isNotNull())
@@ -29,7 +29,9 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
         lowest = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
         paired = large.join(lowest, F.col("u") == F.col("c"))
         small = paired.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(lowest.select(F.col("c").alias("u"), F.col("m").alias("v")))
-        now = stored(small.where("u <> v").distinct(), "edges")
+        before, now = now, stored(small.where("u <> v").distinct(), "edges")
+        if before is not every:
+            discard(before)
         after = now.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 30)))).first()
         if tuple(after) == state:
             break

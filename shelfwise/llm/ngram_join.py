@@ -18,14 +18,22 @@ segments, at least s of them are equal. Sizes fall into levels with ratio 1 / t;
 set gives the signatures of its segments at its own level and at the one below, so
 partners of any two sizes meet at the smaller one's level.
 
-1. A set that shares fewer than s of a level's signatures with others, whoever
-   they are, has no partner there. This leaves near duplicates and little else;
-   texts that only quote the same passage go.
-2. Of the sets left, equal signatures join sets in a star. A signature of over HOT
-   sets joins only those with s such signatures: a partner with whom all shared
-   signatures are that frequent has as many. Connected stars are the blocks.
-3. A block of over BLOCK_TOKENS n-grams is cut into parts, and each pair of parts
-   is one task's trie join.
+Three filters come first; each counts what a set shares with others, whoever they are.
+
+1. Of two linked sets, the first (1 - t) * size + l elements in the global order have l
+   in common, for each l up to the overlap. With l a tenth of the smallest partner's
+   size, sets that share fewer of their first elements have no partner. Only these
+   elements of all sets travel.
+2. Of the sets left, all elements are counted: at least t * size are shared by a set
+   with a partner. Texts that only quote the same passages go.
+3. A set that shares fewer than s of a level's signatures has no partner there. Equal
+   signatures join sets in a star. A signature of over HOT sets joins only those with s
+   such signatures: a partner with whom all shared signatures are that frequent has as
+   many. Connected stars are the blocks.
+
+A block of over BLOCK_TOKENS n-grams is cut into parts. Each part is one task's trie
+join; then the sets outside the block's largest component meet the other parts as well.
+A group of near copies is one component early, so its sets are not copied.
 
 Equal signatures travel packed as numbers, and so do the counts of shared ones, which
 are no more than a set's signatures. A task keeps at most HOT + 1 sets of a
@@ -49,13 +57,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import shuffle_parts, stored
+from .shared import discard, shuffle_parts, stored
 from .textops import LOWER, NON_SPACE, U, Powers, mix, ragged, slices, span_hashes, window_hashes, word_spans
 
 SIZE = 4
 PERCENT = 85
 BLOCK_TOKENS = 4_000_000
-#: Candidates are looked up by broadcast up to so many rows, by shuffle beyond.
+#: Candidates are looked up by broadcast up to so many rows, by shuffle beyond; both give the same rows.
 BROADCAST_ROWS = 1_000_000
 #: A signature of more sets is hot.
 HOT = 64
@@ -161,6 +169,22 @@ def signatures(tokens: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, percen
     return np.concatenate(out), np.concatenate(bare_nodes), np.concatenate(bare_levels)
 
 
+def element_pairs(tokens: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, percent: int, whole: bool) -> np.ndarray:
+    """(element, node) pairs of each set's first elements, or of all."""
+    sizes = np.diff(bounds)
+    lengths = sizes if whole else np.minimum(sizes, sizes - -(-percent * sizes // 100) + np.maximum(1, sizes // 10))
+    pairs = np.empty(int(lengths.sum()), PAIR)
+    pairs["sig"] = mix(tokens[ragged(bounds[:-1], lengths)]) >> U(LEVEL_BITS) << U(LEVEL_BITS)
+    pairs["node"] = np.repeat(nodes, lengths)
+    return pairs
+
+
+def elements_needed(percent: int, whole: bool) -> str:
+    """SQL of the shared elements without which a set of n has no partner."""
+    least = f"(({percent} * n + 99) div 100)"
+    return least if whole else f"greatest(1, {least} div 10)"
+
+
 def grouped(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs by signature, the group number of each, and each group's first place and size."""
     pairs = pairs[np.lexsort((pairs["node"], pairs["sig"]))]
@@ -214,15 +238,20 @@ def distinct_sets(column: pa.Array, size: int):
         yield tokens[ragged(bounds[at], lengths)], np.concatenate([[0], np.cumsum(lengths)]), nodes, first + at
 
 
-def count_task(size: int, percent: int, buckets: int):
-    """Packed signatures, and (node, level, shared, hot shared) of what a task settles itself."""
+def count_task(size: int, percent: int, buckets: int, kind: str):
+    """Packed signatures or elements, and (node, level, shared, hot shared) of what a task settles itself."""
     huge = 1 << 40
 
+    def keys(tokens, bounds, nodes):
+        if kind == "signatures":
+            return signatures(tokens, bounds, nodes, percent)
+        return element_pairs(tokens, bounds, nodes, percent, kind == "all"), np.empty(0, U), np.empty(0, np.int64)
+
     def run(batches):
         for batch in batches:
             found, bare = [], []
             for tokens, bounds, nodes, _ in distinct_sets(batch.column(0), size):
-                pairs, *lone = signatures(tokens, bounds, nodes, percent)
+                pairs, *lone = keys(tokens, bounds, nodes)
                 found.append(pairs)
                 bare.append(lone)
             if not found:
@@ -270,7 +299,7 @@ def tally_task(buckets: int):
 
 
 def candidate_task(needed: list[int]):
-    """(node, mark) of the sets that share enough signatures at a level; mark: enough of them hot."""
+    """(node, mark, k) of the sets that share enough signatures at a level; mark: enough of them hot; k: the most at a level."""
     least = np.array(needed, np.int64)
 
     def run(batches):
@@ -283,8 +312,10 @@ def candidate_task(needed: list[int]):
         nodes, at = np.unique(nodes[enough], return_inverse=True)
         mark = np.zeros(len(nodes), bool)
         np.logical_or.at(mark, at, (hot >= least[levels])[enough])
+        most = np.zeros(len(nodes), np.int64)
+        np.maximum.at(most, at, k[enough])
         if len(nodes):
-            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(mark.astype(np.int32))], names=["node", "mark"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(mark.astype(np.int32)), pa.array(most)], names=["node", "mark", "k"])
 
     return run
 
@@ -485,44 +516,45 @@ class Groups:
         self.parent[max(a, b)] = min(a, b)
 
 
-def join_block(ids: list[int], sets: list[np.ndarray], parts: list[int], crossed: bool, percent: int) -> list[tuple[int, int]]:
-    """Spanning links (identifier, identifier) of a block; crossed: only those between its two parts matter."""
-    order = sorted(range(len(ids)), key=lambda k: (parts[k], len(sets[k]), ids[k]))
-    ids, sets, parts = [ids[k] for k in order], [sets[k] for k in order], [parts[k] for k in order]
+def join_block(ids: list[int], sets: list[np.ndarray], guests: list[bool], percent: int) -> list[tuple[int, int]]:
+    """Each linked set's identifier and its component's smallest; with guests, only their links with the part's own sets are looked for."""
+    order = sorted(range(len(ids)), key=lambda k: (guests[k], len(sets[k]), ids[k]))
+    ids, sets, guests = [ids[k] for k in order], [sets[k] for k in order], [guests[k] for k in order]
     sets = by_rarity(sets)
-    trie, groups = Trie(sets, percent), Groups(len(sets))
+    trie, groups, alone = Trie(sets, percent), Groups(len(sets)), not any(guests)
     for k, own in enumerate(sets):
-        if not crossed:
+        if alone or guests[k]:
             trie.partners(k, own, groups)
+        if not guests[k]:
             trie.insert(k, groups)
-        elif parts[k] == parts[0]:
-            trie.insert(k, groups)
-        else:
-            trie.partners(k, own, groups)
-    return [(ids[k], ids[groups.find(k)]) for k in range(len(ids)) if groups.find(k) != k]
+    lowest: dict[int, int] = {}
+    for k, own in enumerate(ids):
+        root = groups.find(k)
+        lowest[root] = min(own, lowest.get(root, own))
+    return [(own, lowest[groups.find(k)]) for k, own in enumerate(ids) if own != lowest[groups.find(k)]]
 
 
 def block_task(percent: int):
-    """Rows come sorted by block; each block is joined when its last row is in."""
+    """Rows come sorted by block and part; each part is joined when its last row is in."""
 
     def run(batches):
-        key, ids, sets, parts = None, [], [], []
+        key, ids, sets, guests = None, [], [], []
 
         def finish():
-            links = join_block(ids, sets, parts, key[1] != key[2], percent) if len(ids) > 1 else []
+            links = join_block(ids, sets, guests, percent) if len(ids) > 1 else []
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-            for block, i, j, part, doc, blob in zip(*columns):
-                if (block, i, j) != key:
+            for block, part, guest, doc, blob in zip(*columns):
+                if (block, part) != key:
                     if key is not None:
                         yield from finish()
-                    key, ids, sets, parts = (block, i, j), [], [], []
+                    key, ids, sets, guests = (block, part), [], [], []
                 ids.append(doc)
                 sets.append(np.frombuffer(blob, "<u8"))
-                parts.append(part)
+                guests.append(guest)
         if key is not None:
             yield from finish()
 
@@ -554,6 +586,55 @@ def set_task(size: int):
     return run
 
 
+def shared_counts(texts: DataFrame, task, needed: list[int]) -> DataFrame:
+    """(node, mark, k) of the texts' sets that share enough with others."""
+    buckets = shuffle_parts(texts.sparkSession)
+    place = F.coalesce("bucket", F.pmod(F.xxhash64("x0"), F.lit(buckets)).cast("int"))
+    carried = texts.mapInArrow(task, "bucket int, pairs binary, x0 long, x1 long, x2 long, x3 long")
+    shared = carried.repartition(buckets, place).mapInArrow(tally_task(buckets), "bucket int, tallies binary")
+    return shared.repartition(buckets, "bucket").mapInArrow(candidate_task(needed), "node long, mark int, k long")
+
+
+def picked(docs: DataFrame, classes: DataFrame, counted: DataFrame, needed: str) -> DataFrame:
+    """doc_id, text, n, node, mark of one document for each class that shares as much as is needed."""
+    wanted = classes.join(counted, F.col("a") == F.col("node")).where(f"k >= {needed}").select("rep", "n", "node", "mark")
+    wanted = stored(wanted, "candidates")
+    few = wanted.count() <= BROADCAST_ROWS
+    chosen = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("rep"))
+    chosen = stored(chosen.select("doc_id", "text", "n", "node", "mark").dropDuplicates(["doc_id", "node"]), "chosen")
+    discard(wanted)
+    return chosen
+
+
+def part_links(rows: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """(a, b) of each part of each block: b is the smallest identifier that a is linked to there; rows may have a column guest."""
+    guest = F.col("guest") if "guest" in rows.columns else F.lit(False).alias("guest")
+    dealt = rows.select("block", "part", guest, "doc_id", "tokens").repartition(buckets, "block", "part")
+    return dealt.sortWithinPartitions("block", "part").mapInArrow(block_task(percent), "a long, b long")
+
+
+def across_parts(rows: DataFrame, linked: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """(node, label) once the parts of cut blocks are joined with each other as well.
+
+    First one set of each part's largest component meets those of the other parts; then
+    the sets outside the block's largest component meet all sets of all other parts.
+    A pair inside the largest component needs no look: it is connected already.
+    """
+    cut = rows.where("cuts > 1").join(linked.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left").withColumn("group", F.coalesce("label", "doc_id")).drop("_node", "label")
+    local = cut.groupBy("block", "part", "group").agg(F.count(F.lit(1)).alias("many")).groupBy("block", "part").agg(F.max_by("group", F.struct("many", "group")).alias("_head"))
+    heads = cut.join(local.select("_head"), F.col("doc_id") == F.col("_head"), "left_semi")
+    found = stored(part_links(heads.withColumn("part", F.lit(0)), buckets, percent), "links")
+    ends = linked.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    now = stored(components(ends.unionAll(found)), "links")
+    cut = cut.join(now, F.col("doc_id") == F.col("node"), "left").withColumn("group", F.coalesce("label", "doc_id")).drop("node", "label")
+    sizes = cut.groupBy("block", "group").agg(F.count(F.lit(1)).alias("many"))
+    largest = sizes.groupBy("block").agg(F.max_by("group", F.struct("many", "group")).alias("largest"))
+    outside = cut.join(largest, "block").where("group <> largest")
+    guests = outside.withColumn("_to", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("_to <> part")
+    met = cut.select("block", "part", F.lit(False).alias("guest"), "doc_id", "tokens").unionAll(guests.select("block", F.col("_to").alias("part"), F.lit(True).alias("guest"), "doc_id", "tokens"))
+    return components(ends.unionAll(found).unionAll(part_links(met, buckets, percent)))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """doc_id, n_shingles, component_id of each document; identifiers are integers."""
     spark = docs.sparkSession
@@ -562,37 +643,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = stored(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "classes")
 
     buckets = shuffle_parts(spark)
-    place = F.coalesce("bucket", F.pmod(F.xxhash64("x0"), F.lit(buckets)).cast("int"))
-    carried = named.select("text").mapInArrow(count_task(size, percent, buckets), "bucket int, pairs binary, x0 long, x1 long, x2 long, x3 long")
-    shared = carried.repartition(buckets, place).mapInArrow(tally_task(buckets), "bucket int, tallies binary")
+    by_elements = [1]
+    first = shared_counts(named.select("text"), count_task(size, percent, buckets, "first"), by_elements)
+    chosen = picked(named.where(F.col("doc_id").isNotNull()), classes, first.where("k > 0"), elements_needed(percent, False))
     _, equal, empty = level_parts(percent)
-    near = stored(shared.repartition(buckets, "bucket").mapInArrow(candidate_task([int(x) for x in equal - empty]), "node long, mark int"), "candidates")
-    wanted = classes.join(near, F.col("a") == F.col("node")).select("rep", "n", "node", "mark")
-    few = near.count() <= BROADCAST_ROWS
-    chosen = named.where(F.col("doc_id").isNotNull()).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("rep"))
-    chosen = stored(chosen.select("doc_id", "text", "n", "node", "mark").dropDuplicates(["doc_id", "node"]), "chosen")
+    for kind, least, needed in (("all", by_elements, elements_needed(percent, True)), ("signatures", [int(x) for x in equal - empty], "0")):
+        before, counted = chosen, shared_counts(chosen.select("text"), count_task(size, percent, buckets, kind), least)
+        chosen = picked(before, classes, counted, needed)
+        discard(before)
 
+    place = F.coalesce("bucket", F.pmod(F.xxhash64("x0"), F.lit(buckets)).cast("int"))
     dealt = chosen.select("text", "mark").mapInArrow(star_task(size, percent, buckets), "bucket int, pairs binary, x0 long, x1 long").repartition(buckets, place)
     edges = stored(dealt.mapInArrow(meet_task, "a long, b long").distinct(), "signatures")
     labelled = components(edges).select(F.col("node").alias("_node"), F.col("label").alias("block"))
     members = chosen.join(labelled, F.col("node") == F.col("_node")).select("doc_id", "text", "block", "n", "node")
     blocks = members.groupBy("block").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("many")).where("many > 1")
     cuts = F.ceil(F.col("total") / block_tokens).cast("int")
-    blocks = stored(blocks.select("block", cuts.alias("cuts")), "blocks")
-    many_cuts = blocks.where("cuts > 1").limit(1).count() > 0
-    rows = members.join(blocks, "block").select("doc_id", "text", "block", "cuts", "node").mapInArrow(set_task(size), "doc_id long, block long, cuts int, tokens binary")
-    if many_cuts:
-        part = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
-        spread = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-        rows = spread.select("block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "tokens")
-    else:
-        rows = rows.select("block", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("part"), "doc_id", "tokens")
-    joined = rows.repartition(buckets, "block", "i", "j").sortWithinPartitions("block", "i", "j").mapInArrow(block_task(percent), "a long, b long")
-    linked = stored(components(joined) if many_cuts else joined.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "links")
-    if not many_cuts:
-        # roots of a block's groups stand for themselves; labels are the smallest identifier of the group
-        lowest = linked.groupBy(F.col("label").alias("root")).agg(F.least(F.min("node"), F.col("root")).alias("lowest"))
-        linked = linked.select("node", F.col("label").alias("root")).unionAll(linked.select(F.col("label").alias("node"), F.col("label").alias("root")).distinct()).join(lowest, "root").select("node", F.col("lowest").alias("label"))
+    rows = members.join(blocks.select("block", cuts.alias("cuts")), "block").select("doc_id", "text", "block", "cuts", "node").mapInArrow(set_task(size), "doc_id long, block long, cuts int, tokens binary")
+    rows = stored(rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")), "blocks")
+    linked = stored(part_links(rows, buckets, percent).select(F.col("a").alias("node"), F.col("b").alias("label")), "links")
+    if rows.where("cuts > 1").limit(1).count():
+        linked = stored(across_parts(rows, linked, buckets, percent), "links")
     labels = classes.join(linked, F.col("rep") == F.col("node"), "left").select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.coalesce("label", "rep").alias("label"))
     out = sets.join(labels, (F.col("a") == F.col("ca")) & (F.col("b") == F.col("cb")) & (F.col("n_shingles") > 0), "left")
     return out.select(F.col("doc_id").alias(doc_id), "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))

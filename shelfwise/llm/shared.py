@@ -11,13 +11,14 @@ LOCAL_DEFAULT = "file:///tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one is set only where none is."""
+    """The cluster's checkpoint folder; a local one is set only where none is and all tasks run in the driver's process."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(LOCAL_DEFAULT)
+    if sc.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(LOCAL_DEFAULT)
     return LOCAL_DEFAULT
 
 
@@ -33,6 +34,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing will read again."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    sc = df.sparkSession.sparkContext
+    for folder in folders:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """Bind a value once for use inside lambdas, which would compute it again for each element."""
     return F.transform(F.array(value), body)[0]
