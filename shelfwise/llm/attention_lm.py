@@ -27,6 +27,7 @@ ones are kept unless a result column has the name.
 from __future__ import annotations
 
 import copy
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -38,16 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .samples import sampled
-from .shared import shuffle_parts, stored
+from .shared import Sent, shuffle_parts, stored
 from .textops import LOWER, U, Powers, flat_bytes, gather_lists, mix, ragged, slices
 
 HEAD = 253
 TAIL = 32
-WIDTH, HEADS, KEY = 48, 1, 16
+WIDTH, HEADS, KEY = 16, 1, 8
 STRIDE, OVERLAP = 32, 16
 TRAIN_ROWS = 4_000
 TRAIN_BYTES = 6 << 20
-STEPS, BATCH = 1_500, 128
+STEPS, BATCH = 600, 128
 #: Highest learning rate of each round over the training texts, and windows that a step takes there.
 RATES, ROUND_BATCH = (0.006, 0.0015), 128
 TRAIN_TEXT_AT_ONCE = 4 << 20
@@ -56,6 +57,8 @@ GROUPS = 16
 SEED = 7
 BROADCAST_WORDS = 8_000_000
 TEXT_AT_ONCE = 12 << 20
+#: Text in a bucket of documents that meets the counts of its words, about.
+BUCKET_BYTES = 32 << 20
 #: Texts meet the model in groups of about so many subwords.
 TOKENS_AT_ONCE = 1_000_000
 WORDS_AT_ONCE = 50_000
@@ -290,14 +293,14 @@ class Attention:
             out[rows] += chosen - top - np.log(np.exp(logits - top[:, None]).sum(1))
         return out
 
-    def gradient(self, inputs: np.ndarray, targets: np.ndarray):
-        """Mean loss in nats per counted token, and the gradient; targets of -1 don't count."""
+    def gradient(self, inputs: np.ndarray, targets: np.ndarray, with_loss: bool = True):
+        """Mean loss in nats per counted token (or 0 if it isn't asked for), and the gradient; targets of -1 don't count."""
         w, n = self.w, len(inputs)
         hidden, (x, q, k, v, att, seen) = self.hidden(inputs)
         flat, use, last = hidden.reshape(-1, WIDTH), np.flatnonzero(targets.ravel() >= 0), inputs[:, OVERLAP:].ravel()
         want, last, h = targets.ravel()[use], last[use], flat[use]
         many = np.float32(max(1, len(use)))
-        loss = -float(self.log_probs(h, last, want).sum() / many)
+        loss = -float(self.log_probs(h, last, want).sum() / many) if with_loss else 0.0
         groups, parts = self.steps(h, last, want)
 
         def error(logits, chosen):
@@ -509,7 +512,7 @@ def train_task(shared, rate: float, at_once: int):
             for first, _, own in slices(batch.column(0), TRAIN_TEXT_AT_ONCE):
                 offsets, ids = ids_of(scorer.model, batch.column(0).slice(first, len(own) - 1))
                 for inputs, targets in net.rounds(offsets, scorer.classes.of[ids], rng, at_once):
-                    adam.step(net.gradient(inputs, targets)[1], rate * min(1, (adam.t + 1) / 10))
+                    adam.step(net.gradient(inputs, targets, False)[1], rate * min(1, (adam.t + 1) / 10))
                     many += len(inputs)
         if many:
             flat = np.concatenate([x.ravel() for x in net.w.values()]).astype(np.float64) * many
@@ -529,8 +532,12 @@ class Table:
     """Word counts as sorted arrays."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray):
+        self.words, self.counts = words, counts
+
+    @staticmethod
+    def sorted(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order].astype(np.int32)
+        return words[order], counts[order].astype(np.int32)
 
     def get(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -560,7 +567,7 @@ def score_rows(scorer: Scorer, column: pa.Array, counts_of, ends: int, powers: P
 def fit(docs: DataFrame, train: str, model: Subwords, counts: np.ndarray, ends: int, doc_id: str = "doc_id", text: str = "text") -> Scorer:
     """docs: with a boolean column that tells what may be learnt from; counts: of ids in all of that, with ends texts."""
     part = docs.where(train)
-    send = docs.sparkSession.sparkContext.broadcast
+    send = partial(Sent, docs.sparkSession)
     heads = Heads(counts)
     before = part.select(text).mapInArrow(before_task(send((model, heads))), "row int, before short, n long").groupBy("row", "before").agg(F.sum("n").alias("n")).toArrow()
     table = heads.table(np.float32)
@@ -586,7 +593,7 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
     spark = docs.sparkSession
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
     model = Subwords(model_path)
-    shared = spark.sparkContext.broadcast(model)
+    shared = Sent(spark, model)
     counted = stored(docs.where(train).select(text).mapInArrow(count_task(shared), "word long, piece int, n long").groupBy("word", "piece").agg(F.sum("n").alias("n")), "counts")
     pieces = counted.where("word IS NULL").select("piece", "n").toArrow().to_pydict()
     totals = counted.where("word IS NOT NULL").agg(F.count(F.lit(1)), F.sum("n")).first()
@@ -596,7 +603,7 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
     counts = np.zeros(model.size)
     counts[list(by_piece)] = list(by_piece.values())
     scorer = fit(docs, train, model, counts, ends, doc_id, text)
-    final = spark.sparkContext.broadcast(scorer)
+    final = Sent(spark, scorer)
     kinds = dict(docs.dtypes)
     kept = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     schema = f"{kept}, {RESULT}" if kept else RESULT
@@ -604,12 +611,12 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
     frame = docs.select(*dict.fromkeys([*keep, text]))
     if n_words <= broadcast_words:
         found = words.toArrow()
-        table = spark.sparkContext.broadcast(Table(found["word"].to_numpy().view(U), found["n"].to_numpy()))
+        table = spark.sparkContext.broadcast(Table.sorted(found["word"].to_numpy().view(U), found["n"].to_numpy()))
 
         def run(batches):
-            powers = Powers()
+            powers, counts = Powers(), Table(*table.value)
             for batch in batches:
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *score_rows(final.value, batch.column(text), table.value.get, ends, powers)], names=[*keep, "n_tokens", "n_known", "base_sum", "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *score_rows(final.value, batch.column(text), counts.get, ends, powers)], names=[*keep, "n_tokens", "n_known", "base_sum", "score"])
 
         out = frame.mapInArrow(run, schema)
     else:
@@ -620,7 +627,8 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
 
 def by_bucket(frame: DataFrame, words: DataFrame, shared, keep: list[str], text: str, ends: int, schema: str) -> DataFrame:
     """Documents meet the counts of their words bucket by bucket: for vocabularies too large to broadcast."""
-    buckets = 4 * shuffle_parts(frame.sparkSession)
+    size = frame.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(4 * shuffle_parts(frame.sparkSession), size // BUCKET_BYTES)
     dealt = frame.withColumn("_bucket", F.pmod(F.xxhash64(text, *keep), F.lit(buckets)).cast("int"))
 
     def ask(batches):
@@ -637,7 +645,7 @@ def by_bucket(frame: DataFrame, words: DataFrame, shared, keep: list[str], text:
 
     def meet(left, right):
         powers = Powers()
-        table = Table(right.column("word").to_numpy().view(U), right.column("n").to_numpy())
+        table = Table(*Table.sorted(right.column("word").to_numpy().view(U), right.column("n").to_numpy()))
         for batch in left.to_batches():
             arrays = [*(batch.column(c) for c in keep), *score_rows(shared.value, batch.column(text), table.get, ends, powers)]
             yield pa.RecordBatch.from_arrays(arrays, names=[x.split("`")[1] if "`" in x else x.split()[0] for x in schema.split(", ")])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import Sent, stored
 from .textops import ITEM_WORD, LOWER, U, Powers, slices, span_hashes, window_hashes, word_spans
 
 SIZE = 13
@@ -163,9 +163,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     kinds = dict(frame.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in named), "n_words long", "hit_runs array<int>", "items array<string>", *(["kept_text string"] if with_text else [])])
     for k in range(blocks):
-        block = benchmark if blocks == 1 else benchmark.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == k)
+        block = benchmark if blocks == 1 else benchmark.where(F.pmod(F.xxhash64(item_id, item_text), F.lit(blocks)) == k)
         rows = [(row[0], row[1]) for row in block.select(F.col(item_id).cast("string"), item_text).collect()]
-        windows = spark.sparkContext.broadcast(item_windows(rows, size))
+        windows = Sent(spark, item_windows(rows, size))
         frame = frame.mapInArrow(scanner(windows, named, text, k > 0, with_text), schema)
         if blocks > 1:
             frame = stored(frame, "decontamination")

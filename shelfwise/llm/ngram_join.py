@@ -38,7 +38,7 @@ A group of near copies is one component early, so its sets are not copied.
 Equal signatures travel packed as numbers, and so do the counts of shared ones, which
 are no more than a set's signatures. A task keeps at most HOT + 1 sets of a
 signature for the exchange and settles the others itself, so a signature shared by
-a third of all documents passes a bounded number of rows from each batch.
+a third of all documents passes a bounded number of rows from each run of pairs.
 
 Edge cases: null, empty and wordless texts have an empty set, no links and their
 own identifier as component; a text of fewer words than n is one n-gram; repeated
@@ -67,6 +67,8 @@ BLOCK_TOKENS = 4_000_000
 BROADCAST_ROWS = 1_000_000
 #: A signature of more sets is hot.
 HOT = 64
+#: Pairs of a task's sets are grouped in runs of about so many before they travel.
+PAIRS_AT_ONCE = 300_000
 #: Low bits of a signature that hold its level.
 LEVEL_BITS = 12
 PAIR = np.dtype([("sig", "<u8"), ("node", "<u8")])
@@ -247,25 +249,29 @@ def count_task(size: int, percent: int, buckets: int, kind: str):
             return signatures(tokens, bounds, nodes, percent)
         return element_pairs(tokens, bounds, nodes, percent, kind == "all"), np.empty(0, U), np.empty(0, np.int64)
 
+    def settled(found, bare):
+        pairs, group, first, sizes = grouped(np.concatenate(found))
+        stays = np.arange(len(pairs)) - first[group] > HOT
+        level = (pairs["sig"] & U((1 << LEVEL_BITS) - 1)).astype(np.int64)
+        ones = np.ones(int(stays.sum()))
+        lone = [np.concatenate(x) for x in zip(*bare)]
+        own = tally(np.concatenate([pairs["node"][stays], lone[0]]), np.concatenate([level[stays], lone[1]]), np.concatenate([ones, np.full(len(lone[0]), huge)]), np.concatenate([ones, np.zeros(len(lone[0]))]))
+        if len(own[0]):
+            yield number_batch(own)
+        yield packed(pairs[~stays], buckets, 4)
+
     def run(batches):
+        found, bare = [], []
         for batch in batches:
-            found, bare = [], []
             for tokens, bounds, nodes, _ in distinct_sets(batch.column(0), size):
                 pairs, *lone = keys(tokens, bounds, nodes)
                 found.append(pairs)
                 bare.append(lone)
-            if not found:
-                continue
-            pairs, group, first, sizes = grouped(np.concatenate(found))
-            rank = np.arange(len(pairs)) - first[group]
-            stays = rank > HOT
-            level = (pairs["sig"] & U((1 << LEVEL_BITS) - 1)).astype(np.int64)
-            ones = np.ones(int(stays.sum()))
-            lone = [np.concatenate(x) for x in zip(*bare)]
-            own = tally(np.concatenate([pairs["node"][stays], lone[0]]), np.concatenate([level[stays], lone[1]]), np.concatenate([ones, np.full(len(lone[0]), huge)]), np.concatenate([ones, np.zeros(len(lone[0]))]))
-            if len(own[0]):
-                yield number_batch(own)
-            yield packed(pairs[~stays], buckets, 4)
+                if sum(map(len, found)) > PAIRS_AT_ONCE:
+                    yield from settled(found, bare)
+                    found, bare = [], []
+        if found:
+            yield from settled(found, bare)
 
     return run
 
@@ -339,16 +345,23 @@ def star_edges(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def star_task(size: int, percent: int, buckets: int):
     """Packed signatures of the candidates, and the edges a task finds itself."""
 
+    def met(found):
+        pairs, edges = star_edges(np.concatenate(found))
+        if len(edges):
+            yield number_batch([edges[:, 0], edges[:, 1]])
+        yield packed(pairs, buckets, 2)
+
     def run(batches):
+        found = []
         for batch in batches:
-            mark, found = batch.column(1).to_numpy(zero_copy_only=False).astype(U), []
+            mark = batch.column(1).to_numpy(zero_copy_only=False).astype(U)
             for tokens, bounds, nodes, rows in distinct_sets(batch.column(0), size):
                 found.append(signatures(tokens, bounds, nodes | mark[rows], percent)[0])
-            if found:
-                pairs, edges = star_edges(np.concatenate(found))
-                if len(edges):
-                    yield number_batch([edges[:, 0], edges[:, 1]])
-                yield packed(pairs, buckets, 2)
+                if sum(map(len, found)) > PAIRS_AT_ONCE:
+                    yield from met(found)
+                    found = []
+        if found:
+            yield from met(found)
 
     return run
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Sent
 from .textops import U, gather_lists, mix, ragged, slices, space_chunks
 
 DROPOUT = 0.1
@@ -340,7 +341,7 @@ def equal_rows(a_offsets: np.ndarray, a: np.ndarray, b_offsets: np.ndarray, b: n
 def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
     """Kept columns and ids, n_ids, lossless (whether decoding the ids gives the text's bytes)."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_ids", "lossless")]
-    shared = docs.sparkSession.sparkContext.broadcast(Model(model_path))
+    shared = Sent(docs.sparkSession, Model(model_path))
 
     def run(batches):
         model = shared.value
@@ -362,7 +363,7 @@ def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None, doc_
 def decode(coded: DataFrame, model_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """All columns and the text that the ids spell; bytes that are no UTF-8 become U+FFFD; null ids give an empty text."""
     keep = [c for c in coded.columns if c != into]
-    shared = coded.sparkSession.sparkContext.broadcast(Model(model_path))
+    shared = Sent(coded.sparkSession, Model(model_path))
 
     def run(batches):
         model = shared.value

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .samples import sampled
+from .shared import Sent
 from .textops import NON_SPACE, U, Powers, byte_table, slices, span_hashes, window_hashes, word_spans
 
 SAMPLE_ROWS = 20_000
@@ -177,7 +178,7 @@ def score(docs: DataFrame, classifier: Classifier | None, keep: list[str] | None
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
     if classifier is None:
         return docs.select(*keep, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    shared = Sent(docs.sparkSession, classifier)
 
     def run(batches):
         for batch in batches:

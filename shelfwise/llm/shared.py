@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from types import SimpleNamespace
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,25 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Sent:
+    """A broadcast object whose classes travel with it: executors need no copy of this package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.held, self.here = spark.sparkContext.broadcast(cloudpickle.dumps(value)), SimpleNamespace()
+
+    def __getstate__(self):
+        return self.held
+
+    def __setstate__(self, held):
+        self.held, self.here = held, SimpleNamespace()
+
+    @property
+    def value(self):
+        if not hasattr(self.here, "value"):
+            self.here.value = pickle.loads(self.held.value)
+        return self.here.value
+
+
 def let(value: Column, body) -> Column:
     """Bind a value once for use inside lambdas, which would compute it again for each element."""
     return F.transform(F.array(value), body)[0]

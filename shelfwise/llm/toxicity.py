@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .samples import sampled
+from .shared import Sent
 from .textops import LOWER, U, flat_bytes, ragged
 
 ORDER = 7
@@ -214,7 +215,7 @@ def score(docs: DataFrame, scorer: Scorer | None, keep: list[str] | None = None,
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
     if scorer is None:
         return docs.select(*keep, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    shared = Sent(docs.sparkSession, scorer)
 
     def run(batches):
         for batch in batches:
