@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import shuffle_parts, stored
+from .shared import discard, shuffle_parts, stored
 from .textops import U, Powers, flat_bytes, mix, ragged, slices
 
 LENGTH = 400
@@ -400,13 +400,15 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     spark = keyed.sparkSession
     found = stored(keyed.mapInArrow(name_task(length), STRETCH), "stretches")
     names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("c1").alias("low"), F.max("c1").alias("high"), F.min("c2").alias("low2"), F.max("c2").alias("high2")).where("n > 1")
-    names = names.select(F.col("name").alias("_name"), ((F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2"))).alias("mixed"))
+    # stored, so that the join can deal one name's rows over several tasks
+    names = stored(names.select(F.col("name").alias("_name"), ((F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2"))).alias("mixed")), "names")
     shared = stored(found.join(names, F.col("name") == F.col("_name")).drop("_name"), "shared")
     contents = shared.groupBy("name", "c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_d", "_h", "start", "windows", "place", "mixed")).alias("one"))
     contents = stored(contents.select("name", "c1", "c2", "n", "one.*"), "contents")
     twice = contents.where("n > 1").select(F.col("name").alias("_n"), F.col("c1").alias("_c1"), F.col("c2").alias("_c2"))
     whole = shared.join(twice, (F.col("name") == F.col("_n")) & (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")), "left_semi")
     whole = whole.select("_d", "_h", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))
+    discard(found)
 
     mixed = contents.where("mixed")
     many = mixed.groupBy("name").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot).select(F.col("name").alias("_n"), F.lit(True).alias("hot"))
@@ -434,7 +436,9 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, doc_id: str =
     keep = [c for c in (docs.columns if keep is None else keep) if c not in results]
     keyed = docs.select(*keep, F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     spans = repeated_spans(keyed.select("_d", "_h", "_text"), length, hot)
-    own = stored(spans.groupBy("_d", "_h").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
+    # spans of at least `length` bytes whose starts are closer than that overlap: one for each such stretch of a text is enough
+    merged = spans.groupBy("_d", "_h", F.floor(F.col("a") / length)).agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    own = stored(merged.groupBy("_d", "_h").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
     own = own.select(F.col("_d").alias("_sd"), F.col("_h").alias("_sh"), "spans")
     joined = keyed.join(own.hint("shuffle_merge"), (F.col("_d") == F.col("_sd")) & (F.col("_h") == F.col("_sh")), "left")
     kinds = dict(docs.dtypes)
