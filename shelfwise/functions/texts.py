@@ -27,10 +27,18 @@ def unescape(value: Column) -> Column:
     return value
 
 
+def unescape_numbers(value: Column) -> Column:
+    """Decimal character references, each distinct one replaced at all its places."""
+    seen = F.array_distinct(F.regexp_extract_all(value, F.lit("&#([0-9]{1,7});"), F.lit(1)))
+    letter = lambda n: F.decode(F.unhex(F.lpad(F.hex(n.cast("int")), 8, "0")), "UTF-32")
+    known = F.filter(seen, lambda n: n.cast("int").between(1, 0x10FFFF) & ~n.cast("int").between(0xD800, 0xDFFF))
+    return F.aggregate(known, value, lambda text, n: F.replace(text, F.concat(F.lit("&#"), n, F.lit(";")), letter(n)))
+
+
 def official_text(value: Column) -> Column:
     """Markup to text: block ends become line ends, other tags go, white space is collapsed in each line."""
     lines = F.regexp_replace(value, r"(?i)<br\s*/?>|</(p|div|li|tr|h[1-6])>", "\n")
-    bare = unescape(F.regexp_replace(lines, r"<[^>]*>", " "))
+    bare = unescape(unescape_numbers(F.regexp_replace(lines, r"<[^>]*>", " ")))
     return F.array_join(F.filter(F.transform(F.split(bare, "\n"), collapse), lambda x: x != ""), "\n")
 
 

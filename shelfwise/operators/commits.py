@@ -1,19 +1,23 @@
-"""Versioned tables on plain files: write a new version, then make it visible by one commit row.
+"""Versioned tables on plain files: write a version, then make it visible by one commit file.
 
-A commit names the head it builds on. A different head is a conflict; the same
-run with the same content returns the commit that is there, so a batch or a job
-may be run again after a failure.
+A commit names the head it builds on, and its file is named after that head and created
+only if it isn't there: of two writers that build on one head, one gets a conflict. The
+store must create files exclusively, as HDFS and local file systems do. The same run with
+the same content returns the commit that is there, so a job may be run again after a failure.
+A commit replaces the table or appends to it; an append writes its own rows only.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG = "commit_id string, base_commit string, run_id string, content_hash string, version string, rows long, committed_at timestamp"
+LOG = "commit_id string, base_commit string, run_id string, content_hash string, version string, rows long, committed_at timestamp, appends boolean"
 
 
 class CommitConflict(RuntimeError):
@@ -25,49 +29,66 @@ class VersionedTable:
     spark: SparkSession
     path: str
 
+    def _file(self, name: str):
+        """(file system, path) of a name below the table."""
+        context = self.spark.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return where.getFileSystem(context._jsc.hadoopConfiguration()), where
+
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG).parquet(f"{self.path}/_commits")
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return self.spark.createDataFrame([], LOG)
-            raise
+        store, where = self._file("_commits")
+        if not store.exists(where):
+            return self.spark.createDataFrame([], LOG)
+        return self.spark.read.schema(LOG).json(f"{self.path}/_commits")
 
     def head(self):
-        """The newest commit's row, or None."""
-        return self.log().orderBy(F.col("committed_at").desc(), F.col("commit_id").desc()).limit(1).first()
+        """The commit on which no other builds, or None."""
+        log = self.log()
+        return log.join(log.select(F.col("base_commit").alias("_base")), F.col("commit_id") == F.col("_base"), "left_anti").first()
 
     def read(self) -> DataFrame | None:
-        head = self.head()
-        return self.spark.read.parquet(f"{self.path}/{head.version}") if head else None
-
-    def commit(self, rows: DataFrame, run_id: str, base: str | None) -> str:
-        """Writes a version and its commit row; returns the commit's identifier."""
-        version = f"version-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{version}")
-        written = self.spark.read.parquet(f"{self.path}/{version}")
-        digest = content_hash(written)
-        known = self.log().where(F.col("run_id") == run_id).orderBy("committed_at").first()
+        """The table: its newest replacement and all that was appended since."""
+        log = {row.commit_id: row for row in self.log().collect()}  # one small row for each commit
+        based = {row.base_commit for row in log.values()}
+        at = next((row for row in log.values() if row.commit_id not in based), None)
+        paths = []
+        while at is not None:
+            paths.append(f"{self.path}/{at.version}")
+            at = log.get(at.base_commit) if at.appends else None
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def commit(self, rows: DataFrame, run_id: str, base: str | None, append: bool = False) -> str:
+        """Writes a version and its commit file; returns the commit's identifier."""
+        known = self.log().where(F.col("run_id") == run_id).first()
         if known:
-            if known.content_hash != digest:
+            if known.content_hash != content_hash(rows):
                 raise CommitConflict(f"run {run_id} was committed with other content")
             return known.commit_id
         head = self.head()
         if (head.commit_id if head else None) != base:
             raise CommitConflict(f"built on {base}, but the head is {head.commit_id if head else None}")
-        commit_id = uuid.uuid4().hex
-        row = self.spark.range(1).select(
-            F.lit(commit_id).alias("commit_id"), F.lit(base).cast("string").alias("base_commit"), F.lit(run_id).alias("run_id"), F.lit(digest).alias("content_hash"),
-            F.lit(version).alias("version"), F.lit(written.count()).cast("long").alias("rows"), F.current_timestamp().alias("committed_at"),
-        )
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/_commits")
+        version, commit_id = f"version-{uuid.uuid4().hex}", uuid.uuid4().hex
+        rows.write.parquet(f"{self.path}/{version}")
+        written = self.spark.read.parquet(f"{self.path}/{version}")
+        entry = {"commit_id": commit_id, "base_commit": base, "run_id": run_id, "content_hash": content_hash(written), "version": version, "rows": written.count(), "committed_at": datetime.now(timezone.utc).isoformat(), "appends": append}
+        store, where = self._file(f"_commits/after-{base or 'nothing'}.json")
+        try:
+            out = store.create(where, False)
+        except Exception as error:
+            if not store.exists(where):
+                raise
+            folder, unseen = self._file(version)
+            folder.delete(unseen, True)
+            raise CommitConflict(f"another writer has built on {base}") from error
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
         return commit_id
 
 
 def content_hash(rows: DataFrame) -> str:
-    """Hash of a table's rows whatever their order: sums of row hashes, so no task gathers rows."""
-    one = F.xxhash64(*sorted(rows.columns))
-    sums = rows.agg(F.count(F.lit(1)), F.sum(F.pmod(one, F.lit(2147483647))), F.sum(F.pmod(F.shiftright(one, 32), F.lit(2147483647)))).first()
+    """Hash of a table's rows whatever their order: two independent sums of 64-bit row hashes, so no task gathers rows."""
+    columns = sorted(rows.columns)
+    sums = rows.agg(F.count(F.lit(1)), *[F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")) for seed in (1, 2)]).first()
     return "-".join(str(x or 0) for x in sums)
 
 

@@ -29,11 +29,16 @@ def scoped_rules(rows: DataFrame, rules: DataFrame, scopes: list[str], term: str
     for s in scopes:
         fits = fits & (F.col(f"_r_{s}").isNull() | (F.col(f"_r_{s}") == F.col(s)))
         specific = specific + F.col(f"_r_{s}").isNotNull().cast("int")
-    keyed = rows.withColumn("_row", F.struct(*rows.columns))
-    joined = keyed.join(named, F.col(term) == F.col("_term")).where(fits).withColumn("_s", specific)
-    best = joined.withColumn("_k", F.rank().over(Window.partitionBy("_row").orderBy(F.col("_s").desc()))).where("_k = 1")
-    found = best.groupBy("_row").agg(F.min("target").alias("_lo"), F.max("target").alias("_hi"))
-    out = keyed.join(found, "_row", "left")
+    # what a row gets follows from its term and scopes: equal ones are looked up once
+    asked = rows.select(term, *scopes).distinct()
+    joined = asked.join(named, F.col(term) == F.col("_term")).where(fits).withColumn("_s", specific)
+    by_rank = joined.groupBy(term, *scopes, "_s").agg(F.min("target").alias("_lo"), F.max("target").alias("_hi"))
+    found = by_rank.groupBy(term, *scopes).agg(F.max_by(F.struct("_lo", "_hi"), "_s").alias("_best"))
+    found = found.select(F.col(term).alias("_t"), *[F.col(s).alias(f"_f_{s}") for s in scopes], F.col("_best._lo").alias("_lo"), F.col("_best._hi").alias("_hi"))
+    same = F.col(term).eqNullSafe(F.col("_t"))
+    for s in scopes:
+        same = same & F.col(s).eqNullSafe(F.col(f"_f_{s}"))
+    out = rows.join(found, same, "left")
     conflict = F.coalesce(F.col("_lo") != F.col("_hi"), F.lit(False))
     return out.select(*rows.columns, F.when(~conflict, F.col("_lo")).alias("target"), conflict.alias("conflict"))
 
