@@ -10,10 +10,7 @@ from shelfwise.operators import records as r
 from shelfwise.operators.upserts import counts_of, keyed_difference, rule_union
 from shelfwise.plans.registry import query
 from shelfwise.sources.full_catalogue import FULL, event_history, full_rows, localizations, products
-from shelfwise.sources.relations import HISTORY, price_history, table
-
-K, SIZE, PRICE = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
-SKU = K.cast("string").alias("sku")
+from shelfwise.sources.relations import HISTORY, price_history, table, part_key, part_price, part_size, part_sku
 
 
 def parts(spark, sf_dir):
@@ -50,7 +47,7 @@ def field_lineage(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
     rank = F.col("l_linenumber") % 3
     versions = line.select(F.col("l_partkey").cast("string").alias("sku"), F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise(F.col("l_linestatus")).alias("value"), rank.alias("rank"), F.when(rank == 0, "DETAIL").when(rank == 1, "LISTING").otherwise("IMPORT").alias("source"), F.col("l_shipdate").alias("observed_at"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("run_id"))
-    current = parts(spark, sf_dir).select(SKU, F.when(K % 4 == 0, "A").when(K % 4 == 1, " O ").when(K % 4 == 2, "F").otherwise("Z").alias("value"))
+    current = parts(spark, sf_dir).select(part_sku(), F.when(part_key() % 4 == 0, "A").when(part_key() % 4 == 1, " O ").when(part_key() % 4 == 2, "F").otherwise("Z").alias("value"))
     return r.lineage(current, versions, "sku", "value")
 
 
@@ -61,21 +58,21 @@ def prior_cards(spark, sf_dir):
     """Each SKU's newest card of the last committed runs; a gap is unknown."""
     cards = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("sku"), F.col("l_orderkey").alias("run_id")).agg(F.bool_or(F.col("l_linenumber") != 2).alias("complete"))
     runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("committed_at"), (F.col("o_orderstatus") != "P").alias("committed"))
-    return r.prior_cards(cards, runs, parts(spark, sf_dir).select(SKU), 400)
+    return r.prior_cards(cards, runs, parts(spark, sf_dir).select(part_sku()), 400)
 
 
 @query("""SELECT p_partkey::VARCHAR AS sku, CASE WHEN p_partkey % 3 = 0 AND p_size > 10 THEN 'new ' || p_name ELSE p_name END AS name, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_type END AS cat FROM part""")
 def detail_overlay(spark, sf_dir):
-    base = parts(spark, sf_dir).select(SKU, F.col("p_name").alias("name"), F.col("p_type").alias("cat"))
-    retry = parts(spark, sf_dir).where(K % 3 == 0).select(SKU, F.when(SIZE > 10, F.concat(F.lit("new "), "p_name")).alias("name"), F.col("p_brand").alias("cat"))
+    base = parts(spark, sf_dir).select(part_sku(), F.col("p_name").alias("name"), F.col("p_type").alias("cat"))
+    retry = parts(spark, sf_dir).where(part_key() % 3 == 0).select(part_sku(), F.when(part_size() > 10, F.concat(F.lit("new "), "p_name")).alias("name"), F.col("p_brand").alias("cat"))
     return r.overlay(base, retry, "sku", ["name", "cat"])
 
 
 @query("""SELECT p_partkey::VARCHAR AS sku, CASE WHEN p_size % 4 = 0 THEN CASE WHEN p_partkey % 2 = 0 THEN p_name END ELSE 'own' END AS name, CASE WHEN p_partkey % 5 = 0 AND p_partkey % 2 = 0 THEN p_brand WHEN p_partkey % 5 = 0 THEN '品 x' ELSE p_type END AS cat FROM part""")
 def repaired_facts(spark, sf_dir):
     """Blanks from a snapshot; source fields in target script from a clean history."""
-    rows = parts(spark, sf_dir).select(SKU, F.when(SIZE % 4 == 0, " ").otherwise("own").alias("name"), F.when(K % 5 == 0, "品 x").otherwise(F.col("p_type")).alias("cat"))
-    snapshot = parts(spark, sf_dir).where(K % 2 == 0).select(SKU, F.col("p_name").alias("name"), F.col("p_brand").alias("cat"))
+    rows = parts(spark, sf_dir).select(part_sku(), F.when(part_size() % 4 == 0, " ").otherwise("own").alias("name"), F.when(part_key() % 5 == 0, "品 x").otherwise(F.col("p_type")).alias("cat"))
+    snapshot = parts(spark, sf_dir).where(part_key() % 2 == 0).select(part_sku(), F.col("p_name").alias("name"), F.col("p_brand").alias("cat"))
     blanks = r.filled_blanks(rows, snapshot, "sku", ["name"])
     return blanks.join(r.unpolluted(rows, snapshot, "sku", ["cat"]), "sku")
 
@@ -83,7 +80,7 @@ def repaired_facts(spark, sf_dir):
 @query(" UNION ALL ".join(f"SELECT p_partkey::VARCHAR AS sku, '{f}' AS field, trim({c}::VARCHAR) AS value, sha256(trim({c}::VARCHAR)) AS value_hash FROM part WHERE {w}" for f, c, w in (("name", "p_name", "true"), ("cat", "p_type", "p_size % 3 <> 0"), ("spec", "p_size", "true"))))
 def field_provenance(spark, sf_dir):
     """One row for each field that is not blank."""
-    rows = parts(spark, sf_dir).select(SKU, F.col("p_name").alias("name"), F.when(SIZE % 3 != 0, F.col("p_type")).otherwise(" ").alias("cat"), SIZE.cast("string").alias("spec"))
+    rows = parts(spark, sf_dir).select(part_sku(), F.col("p_name").alias("name"), F.when(part_size() % 3 != 0, F.col("p_type")).otherwise(" ").alias("cat"), part_size().cast("string").alias("spec"))
     return r.provenance(rows, "sku", ["name", "cat", "spec"])
 
 
@@ -91,17 +88,17 @@ def field_provenance(spark, sf_dir):
   CASE WHEN p_partkey % 6 = 1 AND p_size % 7 <> 0 THEN 'target' END AS value FROM part WHERE p_partkey % 6 <> 5""")
 def override_states(spark, sf_dir):
     """Approved overrides hold while the field they were made for is the same."""
-    cells = parts(spark, sf_dir).where(K % 6 != 0).select(SKU, F.lit("name").alias("field"), F.when(SIZE % 7 != 0, F.col("p_name")).alias("value"), F.lit("own").alias("field_hash"), F.lit("whole").alias("old_hash"))
-    made = parts(spark, sf_dir).select(SKU, F.lit("name").alias("field"), F.when(K % 6 == 1, "own").when(K % 6 == 2, "whole").otherwise("x").alias("hash"), F.lit("target").alias("target"), F.when(K % 6 == 5, "PENDING").otherwise("APPROVED").alias("status"))
+    cells = parts(spark, sf_dir).where(part_key() % 6 != 0).select(part_sku(), F.lit("name").alias("field"), F.when(part_size() % 7 != 0, F.col("p_name")).alias("value"), F.lit("own").alias("field_hash"), F.lit("whole").alias("old_hash"))
+    made = parts(spark, sf_dir).select(part_sku(), F.lit("name").alias("field"), F.when(part_key() % 6 == 1, "own").when(part_key() % 6 == 2, "whole").otherwise("x").alias("hash"), F.lit("target").alias("target"), F.when(part_key() % 6 == 5, "PENDING").otherwise("APPROVED").alias("status"))
     return r.override_states(cells, made)
 
 
 @query("""WITH f AS (SELECT sha256('PRICE|' || p_partkey) AS id, 'new' AS detail FROM part WHERE p_partkey % 2 = 0), q AS (SELECT sha256('PRICE|' || p_partkey) AS id, CASE WHEN p_size % 2 = 0 THEN 'APPROVED' ELSE 'PENDING' END AS status, 'old' AS detail FROM part WHERE p_partkey % 3 = 0)
 SELECT coalesce(f.id, q.id) AS id, CASE WHEN q.id IS NULL THEN 'PENDING' WHEN q.status = 'PENDING' AND f.id IS NULL THEN 'RESOLVED' ELSE q.status END AS status, coalesce(f.detail, q.detail) AS detail FROM f FULL JOIN q ON f.id = q.id""")
 def review_queue(spark, sf_dir):
-    ids = issue_id(F.lit("PRICE"), K).alias("id")
-    found = parts(spark, sf_dir).where(K % 2 == 0).select(ids, F.lit("new").alias("detail"))
-    return r.review_queue(found.unionAll(found), parts(spark, sf_dir).where(K % 3 == 0).select(ids, F.when(SIZE % 2 == 0, "APPROVED").otherwise("PENDING").alias("status"), F.lit("old").alias("detail")))
+    ids = issue_id(F.lit("PRICE"), part_key()).alias("id")
+    found = parts(spark, sf_dir).where(part_key() % 2 == 0).select(ids, F.lit("new").alias("detail"))
+    return r.review_queue(found.unionAll(found), parts(spark, sf_dir).where(part_key() % 3 == 0).select(ids, F.when(part_size() % 2 == 0, "APPROVED").otherwise("PENDING").alias("status"), F.lit("old").alias("detail")))
 
 
 @query("""WITH p AS (SELECT l_returnflag AS kind, 'q' || (l_quantity::INT) AS term, l_linestatus AS value, l_partkey::VARCHAR AS sku, count(*) AS n, min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM lineitem WHERE l_partkey % 50 = 1 GROUP BY ALL)
@@ -117,8 +114,8 @@ SELECT p_partkey::VARCHAR AS sku, CASE WHEN lower(p.p_type) <> 'promo' THEN CASE
 FROM part p JOIN d ON d.p_type = p.p_type AND d.p_brand = p.p_brand JOIN t ON t.p_type = p.p_type""")
 def category_names(spark, sf_dir):
     """The first dictionary with a value in target script, by its own keys."""
-    rows = parts(spark, sf_dir).select(SKU, F.col("p_type").alias("cat1"), F.col("p_brand").alias("cat2"))
-    manual = parts(spark, sf_dir).where(K % 9 == 0).select(SKU, F.lit("手").alias("value"))
+    rows = parts(spark, sf_dir).select(part_sku(), F.col("p_type").alias("cat1"), F.col("p_brand").alias("cat2"))
+    manual = parts(spark, sf_dir).where(part_key() % 9 == 0).select(part_sku(), F.lit("手").alias("value"))
     pairs = parts(spark, sf_dir).groupBy(F.col("p_type").alias("cat1"), F.col("p_brand").alias("cat2")).agg(F.sum("p_size").alias("s")).select("cat1", "cat2", F.when(F.col("s") % 2 == 0, F.concat(F.lit("对 "), "cat2")).otherwise("no target script").alias("value"))
     single = parts(spark, sf_dir).select(F.col("p_type").alias("cat1")).distinct().where("cat1 LIKE 'S%'").select("cat1", F.concat(F.lit("类 "), "cat1").alias("value"))
     return r.category_names(rows, [("MANUAL", manual, ["sku"]), ("PAIR", pairs, ["cat1", "cat2"]), ("CAT1", single, ["cat1"])], ["promo"])
@@ -127,7 +124,7 @@ def category_names(spark, sf_dir):
 @query("""WITH w AS (SELECT DISTINCT CASE WHEN p_size % 3 = 0 THEN ' ' || upper(p_brand) || ' ' WHEN p_size % 3 = 1 THEN p_brand ELSE 'none ' || p_size END AS brand FROM part), b AS (SELECT DISTINCT p_brand AS brand_id FROM part)
 SELECT w.brand, b.brand_id, CASE WHEN b.brand_id IS NULL THEN 'NONE' WHEN b.brand_id = w.brand THEN 'EXACT' ELSE 'NORMALISED' END AS match FROM w LEFT JOIN b ON lower(trim(w.brand)) = lower(b.brand_id)""")
 def brand_rows(spark, sf_dir):
-    wanted = parts(spark, sf_dir).select(F.when(SIZE % 3 == 0, F.concat(F.lit(" "), F.upper("p_brand"), F.lit(" "))).when(SIZE % 3 == 1, F.col("p_brand")).otherwise(F.concat(F.lit("none "), SIZE)).alias("brand"))
+    wanted = parts(spark, sf_dir).select(F.when(part_size() % 3 == 0, F.concat(F.lit(" "), F.upper("p_brand"), F.lit(" "))).when(part_size() % 3 == 1, F.col("p_brand")).otherwise(F.concat(F.lit("none "), part_size())).alias("brand"))
     return r.brand_rows(parts(spark, sf_dir).select(F.col("p_brand").alias("brand_id")), wanted)
 
 
@@ -152,14 +149,14 @@ def applied_patches(spark, sf_dir):
     """The last patch of each field; a patch to null counts."""
     line = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0")
     patches = line.select(F.col("l_partkey").cast("string").alias("sku"), F.when(F.col("l_linenumber") % 2 == 0, "name").otherwise("cat").alias("field"), F.when(F.col("l_quantity") <= 45, F.concat("l_returnflag", F.col("l_orderkey").cast("string"))).alias("value"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
-    return r.apply_patches(parts(spark, sf_dir).select(SKU, F.col("p_name").alias("name"), F.col("p_type").alias("cat")), patches, "sku", ["name", "cat"])
+    return r.apply_patches(parts(spark, sf_dir).select(part_sku(), F.col("p_name").alias("name"), F.col("p_type").alias("cat")), patches, "sku", ["name", "cat"])
 
 
 @query("""SELECT p_partkey::VARCHAR AS sku, f AS field, 't ' || p_partkey AS target, CASE WHEN (f = 'name' AND p_size % 2 = 0) OR (f = 'cat' AND p_size % 5 <> 0) THEN 'FRESH' ELSE 'STALE' END AS freshness FROM part, (VALUES ('name'), ('cat')) t(f)""")
 def localized_upsert(spark, sf_dir):
     """Target texts stay; a field whose source hash changed is stale."""
-    rows = parts(spark, sf_dir).select(SKU, F.col("p_name").alias("name"), F.when(SIZE % 5 != 0, F.col("p_type")).alias("cat"))
-    old = parts(spark, sf_dir).select(SKU, F.explode(F.array(F.struct(F.lit("name").alias("field"), F.when(SIZE % 2 == 0, F.col("p_name")).otherwise("before").alias("v")), F.struct(F.lit("cat").alias("field"), F.col("p_type").alias("v")))).alias("x"), F.concat(F.lit("t "), K).alias("target"), F.lit("FRESH").alias("freshness"))
+    rows = parts(spark, sf_dir).select(part_sku(), F.col("p_name").alias("name"), F.when(part_size() % 5 != 0, F.col("p_type")).alias("cat"))
+    old = parts(spark, sf_dir).select(part_sku(), F.explode(F.array(F.struct(F.lit("name").alias("field"), F.when(part_size() % 2 == 0, F.col("p_name")).otherwise("before").alias("v")), F.struct(F.lit("cat").alias("field"), F.col("p_type").alias("v")))).alias("x"), F.concat(F.lit("t "), part_key()).alias("target"), F.lit("FRESH").alias("freshness"))
     return r.localized_upsert(rows, old.select("sku", "x.field", "target", "freshness", F.sha2(F.col("x.v").cast("binary"), 256).alias("source_hash")), "sku", ["name", "cat"])
 
 
@@ -176,16 +173,16 @@ def stale_claims(spark, sf_dir):
 SELECT m.ordinal, m.sku, p_name AS name, CASE WHEN p_partkey IS NOT NULL THEN 'INCLUDED' ELSE 'MISSING' END AS state FROM m LEFT JOIN part ON p_partkey::VARCHAR = m.sku AND p_size % 6 <> 0""")
 def selection_export(spark, sf_dir):
     """A selection in its frozen order with today's facts and a note of the missing ones."""
-    members = r.with_ordinals(parts(spark, sf_dir).where("p_size > 5").select(SKU, "p_retailprice", "p_partkey"), ["p_retailprice", "p_partkey"], 8).select("ordinal", "sku")
-    return r.selection_export(members, parts(spark, sf_dir).where("p_size % 6 <> 0").select(SKU, F.col("p_name").alias("name")), ["name"])
+    members = r.with_ordinals(parts(spark, sf_dir).where("p_size > 5").select(part_sku(), "p_retailprice", "p_partkey"), ["p_retailprice", "p_partkey"], 8).select("ordinal", "sku")
+    return r.selection_export(members, parts(spark, sf_dir).where("p_size % 6 <> 0").select(part_sku(), F.col("p_name").alias("name")), ["name"])
 
 
 @query("""SELECT p_partkey, 'Kit ⟦0⟧ de ⟦1⟧ pieza, ⟦2⟧ y ⟦3⟧ en ⟦4⟧' AS masked, 'MODEL,NUMBER,DIMENSION,UNIT,URL' AS kinds, 'Kit X-' || p_size || 'A de ' || p_size || ' pieza, 3x' || p_size || ' y ' || p_size || ',5 kg en https://x.example/' || p_partkey AS restored, CASE WHEN p_partkey % 2 = 0 THEN true END AS round_trip FROM part""")
 def protected_texts(spark, sf_dir):
     """Tokens to placeholders and back; changed placeholders give no text."""
-    text = F.concat(F.lit("Kit X-"), SIZE, F.lit("A de "), SIZE, F.lit(" pieza, 3x"), SIZE, F.lit(" y "), SIZE, F.lit(",5 kg en https://x.example/"), K)
+    text = F.concat(F.lit("Kit X-"), part_size(), F.lit("A de "), part_size(), F.lit(" pieza, 3x"), part_size(), F.lit(" y "), part_size(), F.lit(",5 kg en https://x.example/"), part_key())
     masked, tokens = r.protect(text), r.protected_tokens(text)
-    broken = F.when(K % 2 == 0, F.col("masked")).otherwise(F.replace("masked", F.lit("⟦1⟧"), F.lit("⟦2⟧")))
+    broken = F.when(part_key() % 2 == 0, F.col("masked")).otherwise(F.replace("masked", F.lit("⟦1⟧"), F.lit("⟦2⟧")))
     out = parts(spark, sf_dir).select("p_partkey", text.alias("text"), masked.alias("masked"), tokens.alias("tokens"))
     return out.select("p_partkey", "masked", F.array_join(F.transform("tokens", r.token_type), ",").alias("kinds"), r.restore(F.col("masked"), F.col("tokens")).alias("restored"), (r.restore(broken, F.col("tokens")) == F.col("text")).alias("round_trip"))
 
@@ -196,7 +193,7 @@ m AS (SELECT sku, family, coalesce(w.category = f.category, false) AS close, con
 s AS (SELECT sku, family, round(least(0.99, 0.72 + CASE WHEN close THEN 0.18 ELSE 0 END + CASE WHEN said THEN 0.08 ELSE 0 END)::DOUBLE, 2) AS score FROM m WHERE close OR said)
 SELECT sku, max(score) AS score, arg_min(family, (-score, family)) AS family FROM s GROUP BY sku""")
 def product_families(spark, sf_dir):
-    rows = parts(spark, sf_dir).select(SKU, F.col("p_name").alias("name"), F.col("p_type").alias("category"), F.col("p_brand").alias("text"))
+    rows = parts(spark, sf_dir).select(part_sku(), F.col("p_name").alias("name"), F.col("p_type").alias("category"), F.col("p_brand").alias("text"))
     word = F.split_part("p_name", F.lit(" "), F.lit(2))
     known = parts(spark, sf_dir).groupBy(word.alias("alias")).agg(F.min("p_type").alias("category")).select(F.concat(F.lit("F-"), "alias").alias("family"), "alias", "category", F.lit("brand#1").alias("phrase"))
     return r.families(rows, known)
@@ -216,7 +213,7 @@ def dictionary_coverage(spark, sf_dir):
 SELECT count(*) AS matched, (SELECT string_agg(sku, ',' ORDER BY sku) FROM (SELECT sku FROM m ORDER BY sku LIMIT 10)) AS samples, (SELECT string_agg(p_type || '=' || n, ',' ORDER BY p_type) FROM (SELECT p_type, count(*) AS n FROM m GROUP BY 1)) AS types FROM m""")
 def blast_radius(spark, sf_dir):
     """What a rule would touch: a count, ten samples (the feature) and a distribution of types."""
-    hit = parts(spark, sf_dir).where(F.lower("p_name").like("%ring%")).select(SKU, "p_type")
+    hit = parts(spark, sf_dir).where(F.lower("p_name").like("%ring%")).select(part_sku(), "p_type")
     sample = hit.orderBy("sku").limit(10).agg(F.array_join(F.sort_array(F.collect_list("sku")), ",").alias("samples"))
     kinds = hit.groupBy("p_type").agg(F.count(F.lit(1)).alias("n")).agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "p_type", F.col("n").cast("string")))), ",").alias("types"))
     return hit.agg(F.count(F.lit(1)).alias("matched")).join(sample).join(kinds)
@@ -228,8 +225,8 @@ SELECT sku, 'MISSING_RIGHT' AS field, sku AS left_value, NULL AS right_value FRO
 UNION ALL SELECT sku, 'name', na, nb FROM j WHERE sa IS NOT NULL AND sb IS NOT NULL AND na <> nb UNION ALL SELECT sku, 'price', pa, pb FROM j WHERE sa IS NOT NULL AND sb IS NOT NULL AND pa <> pb""")
 def export_reconciliation(spark, sf_dir):
     """An export against its source: keys, names and prices."""
-    a = parts(spark, sf_dir).where(K % 11 != 0).select(SKU, F.col("p_name").alias("name"), F.col("p_type").alias("cat"), PRICE.alias("price"))
-    b = parts(spark, sf_dir).where(K % 13 != 0).select(SKU, F.when(SIZE % 9 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("name"), F.col("p_type").alias("cat"), F.when(SIZE == 30, PRICE + 1).otherwise(PRICE).alias("price"))
+    a = parts(spark, sf_dir).where(part_key() % 11 != 0).select(part_sku(), F.col("p_name").alias("name"), F.col("p_type").alias("cat"), part_price().alias("price"))
+    b = parts(spark, sf_dir).where(part_key() % 13 != 0).select(part_sku(), F.when(part_size() % 9 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("name"), F.col("p_type").alias("cat"), F.when(part_size() == 30, part_price() + 1).otherwise(part_price()).alias("price"))
     return keyed_difference(a, b, "sku", ["name", "cat", "price"])
 
 

@@ -6,10 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import updates as u
 from shelfwise.plans.registry import query
-from shelfwise.sources.relations import HISTORY, price_history, table
-
-K, SIZE, PRICE = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
-SKU = K.cast("string").alias("sku")
+from shelfwise.sources.relations import HISTORY, price_history, table, part_key, part_price, part_size, part_sku
 
 
 @query("""WITH p AS (SELECT p_partkey AS k, p_partkey::VARCHAR AS sku, p_size AS s, p_retailprice AS price FROM part),
@@ -22,19 +19,19 @@ SELECT a.sku, CASE c.ask WHEN 1 THEN 'LISTING_BASELINE_UNKNOWN' WHEN 2 THEN 'DET
 FROM a LEFT JOIN c USING (sku) WHERE reason IS NOT NULL OR c.ask IS NOT NULL""")
 def full_update_plan(spark, sf_dir):
     """All twelve reasons, and a budget that two kinds of probes share."""
-    rows = table(spark, sf_dir, "part").select(SKU, K, SIZE, PRICE)
+    rows = table(spark, sf_dir, "part").select(part_sku(), part_key(), part_size(), part_price())
     when = {
-        "NEW": SIZE == 1, "REAPPEARED": SIZE == 2, "DETAIL_PENDING": K % 31 == 0, "MISSING_FIELD": K % 23 == 0, "DETAIL_REFRESH": K % 19 == 0, "IMAGE_CHANGE": K % 17 == 0, "CONTENT_CHANGE": K % 13 == 0,
-        "PRICE_CHANGE_CANDIDATE": PRICE > 1500, "PRICE_METADATA_CHANGE": SIZE == 9, "BADGE_CHANGE": SIZE == 8,
+        "NEW": part_size() == 1, "REAPPEARED": part_size() == 2, "DETAIL_PENDING": part_key() % 31 == 0, "MISSING_FIELD": part_key() % 23 == 0, "DETAIL_REFRESH": part_key() % 19 == 0, "IMAGE_CHANGE": part_key() % 17 == 0, "CONTENT_CHANGE": part_key() % 13 == 0,
+        "PRICE_CHANGE_CANDIDATE": part_price() > 1500, "PRICE_METADATA_CHANGE": part_size() == 9, "BADGE_CHANGE": part_size() == 8,
     }
-    return u.update_plan(rows, when, K % 11 == 0, K % 7 == 0, 150).select("sku", "reason", "need_detail")
+    return u.update_plan(rows, when, part_key() % 11 == 0, part_key() % 7 == 0, 150).select("sku", "reason", "need_detail")
 
 
 @query("""SELECT p_partkey::VARCHAR AS sku, concat_ws(',', CASE WHEN p_size % 3 = 1 THEN 'name' END, CASE WHEN p_size % 5 = 0 THEN 'cats' END) AS changed FROM part""")
 def listing_differences(spark, sf_dir):
     """Only fields a card shows are compared, categories as sets."""
-    cats = F.when(SIZE % 5 == 0, "a,c").otherwise("b,a,b")
-    rows = table(spark, sf_dir, "part").select(SKU, F.when(SIZE % 3 == 0, None).when(SIZE % 3 == 1, F.concat("p_name", F.lit("x"))).otherwise(F.concat(F.lit(" "), "p_name")).alias("name"), F.col("p_name").alias("before_name"), cats.alias("cats"), F.lit("a,b").alias("before_cats"))
+    cats = F.when(part_size() % 5 == 0, "a,c").otherwise("b,a,b")
+    rows = table(spark, sf_dir, "part").select(part_sku(), F.when(part_size() % 3 == 0, None).when(part_size() % 3 == 1, F.concat("p_name", F.lit("x"))).otherwise(F.concat(F.lit(" "), "p_name")).alias("name"), F.col("p_name").alias("before_name"), cats.alias("cats"), F.lit("a,b").alias("before_cats"))
     return rows.select("sku", F.array_join(u.listing_difference(rows, ["name", "cats"], ("cats",)), ",").alias("changed"))
 
 
@@ -43,9 +40,9 @@ def listing_differences(spark, sf_dir):
 def listing_facts(spark, sf_dir):
     """Cards fill empty fields; a unit price from a card always counts; details of this run stay."""
     rows = table(spark, sf_dir, "part").where("p_size % 28 <> 0")
-    name = u.listing_merge("name", F.when(SIZE % 4 != 0, F.col("p_brand")), F.when(SIZE % 4 == 0, F.col("p_type")).otherwise(F.lit("other")), SIZE % 7 == 0)
-    unit = u.listing_merge("unit", F.lit("old"), F.when(SIZE % 5 == 0, "new"), F.lit(False), True)
-    return rows.select(SKU, *[v.alias(k) for k, v in {**name, **unit}.items()])
+    name = u.listing_merge("name", F.when(part_size() % 4 != 0, F.col("p_brand")), F.when(part_size() % 4 == 0, F.col("p_type")).otherwise(F.lit("other")), part_size() % 7 == 0)
+    unit = u.listing_merge("unit", F.lit("old"), F.when(part_size() % 5 == 0, "new"), F.lit(False), True)
+    return rows.select(part_sku(), *[v.alias(k) for k, v in {**name, **unit}.items()])
 
 
 @query("""WITH b AS (SELECT p_partkey::VARCHAR AS sku, p_name AS name, p_retailprice AS price, CASE WHEN p_size % 3 <> 0 THEN '2020-01-01' ELSE '' END AS first_seen FROM part WHERE p_partkey % 2 = 0),
@@ -56,9 +53,9 @@ SELECT t.sku, CASE WHEN up.sku IS NOT NULL THEN up.name ELSE b.name END AS name,
 FROM t LEFT JOIN b USING (sku) LEFT JOIN up USING (sku)""")
 def current_rows(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    baseline = part.where(K % 2 == 0).select(SKU, F.col("p_name").alias("name"), PRICE.alias("price"), F.when(SIZE % 3 != 0, "2020-01-01").otherwise("").alias("first_seen"))
-    updated = part.where(K % 5 == 0).select(SKU, F.concat(F.lit("new "), "p_name").alias("name"), F.lit(None).cast("double").alias("price"), F.lit(None).cast("string").alias("first_seen"))
-    today = part.where(K % 3 != 0).select(SKU, F.when(SIZE % 2 == 0, "2021-02-02").alias("first_seen"))
+    baseline = part.where(part_key() % 2 == 0).select(part_sku(), F.col("p_name").alias("name"), part_price().alias("price"), F.when(part_size() % 3 != 0, "2020-01-01").otherwise("").alias("first_seen"))
+    updated = part.where(part_key() % 5 == 0).select(part_sku(), F.concat(F.lit("new "), "p_name").alias("name"), F.lit(None).cast("double").alias("price"), F.lit(None).cast("string").alias("first_seen"))
+    today = part.where(part_key() % 3 != 0).select(part_sku(), F.when(part_size() % 2 == 0, "2021-02-02").alias("first_seen"))
     return u.current_rows(baseline, updated, today, ["name", "price"], "2024-01-31")
 
 
@@ -69,9 +66,9 @@ def current_rows(spark, sf_dir):
 def trusted_fields(spark, sf_dir):
     """A price under review takes the original price back with it."""
     part = table(spark, sf_dir, "part")
-    today = part.select(SKU, (PRICE + 1).alias("current_price"), F.lit(6.0).alias("original_price"), F.concat(F.lit("new "), "p_name").alias("name"))
-    baseline = part.where(K % 2 == 0).select(SKU, PRICE.alias("current_price"), F.lit(5.0).alias("original_price"), F.col("p_name").alias("name"))
-    issues = part.where(K % 7 == 0).select(SKU, F.lit("current_price").alias("field_name")).unionAll(part.where(K % 11 == 0).select(SKU, F.lit("name").alias("field_name")))
+    today = part.select(part_sku(), (part_price() + 1).alias("current_price"), F.lit(6.0).alias("original_price"), F.concat(F.lit("new "), "p_name").alias("name"))
+    baseline = part.where(part_key() % 2 == 0).select(part_sku(), part_price().alias("current_price"), F.lit(5.0).alias("original_price"), F.col("p_name").alias("name"))
+    issues = part.where(part_key() % 7 == 0).select(part_sku(), F.lit("current_price").alias("field_name")).unionAll(part.where(part_key() % 11 == 0).select(part_sku(), F.lit("name").alias("field_name")))
     return u.trusted_fields(today, baseline, issues.unionAll(issues), ["current_price", "original_price", "name"], ("original_price",))
 
 
@@ -117,7 +114,7 @@ def presence_modes(spark, sf_dir):
 @query("""SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id::VARCHAR END AS sku, CASE WHEN event_id % 10 = 0 THEN 'NO_SKU' WHEN user_id IN (SELECT p_partkey FROM part WHERE p_size > 20) THEN 'SKU_EXACT' ELSE 'SKU_UNKNOWN' END AS match FROM events""")
 def sku_matches(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 10 != 0, F.col("user_id").cast("string")).alias("sku"))
-    return u.sku_match(rows, table(spark, sf_dir, "part").where("p_size > 20").select(SKU))
+    return u.sku_match(rows, table(spark, sf_dir, "part").where("p_size > 20").select(part_sku()))
 
 
 @query("""WITH c AS (SELECT ts::DATE AS day, count(*) FILTER (event_id % 2 = 0) AS a, count(*) AS b, count(*) FILTER (event_type = 'view') AS v, count(*) FILTER (event_type = 'click') AS l, count(*) FILTER (event_type = 'signup') AS s, count(*) FILTER (event_type = 'error') AS e FROM events GROUP BY 1),
@@ -154,8 +151,8 @@ UNION ALL SELECT 'FIELD_REVIEW', sku, 'current_price', 'PRICE_OUT_OF_RANGE' FROM
 def field_issues(spark, sf_dir):
     """Identity and field findings of products."""
     rows = table(spark, sf_dir, "part").select(
-        F.when(K % 97 == 0, F.concat(F.lit("x"), K)).when(K % 50 == 0, "7").otherwise(K.cast("string")).alias("sku"), F.when(K % 89 == 0, " ").otherwise(F.concat(F.lit("ACT"), (F.floor(K / 2) * 2 + F.when(SIZE == 5, 0).otherwise(K % 2)).cast("long"))).alias("canonical_id"),
-        F.when(K % 83 != 0, "/p/").alias("product_url"), F.when(K % 79 != 0, PRICE).alias("current_price"), F.when(K % 73 == 0, "HISTORY_RETAINED").otherwise("CURRENT_VERIFIED").alias("price_state"), F.when(K % 71 != 0, F.col("p_type")).alias("cat1"), F.when(K % 2 == 0, F.col("p_brand")).alias("cat2"),
+        F.when(part_key() % 97 == 0, F.concat(F.lit("x"), part_key())).when(part_key() % 50 == 0, "7").otherwise(part_key().cast("string")).alias("sku"), F.when(part_key() % 89 == 0, " ").otherwise(F.concat(F.lit("ACT"), (F.floor(part_key() / 2) * 2 + F.when(part_size() == 5, 0).otherwise(part_key() % 2)).cast("long"))).alias("canonical_id"),
+        F.when(part_key() % 83 != 0, "/p/").alias("product_url"), F.when(part_key() % 79 != 0, part_price()).alias("current_price"), F.when(part_key() % 73 == 0, "HISTORY_RETAINED").otherwise("CURRENT_VERIFIED").alias("price_state"), F.when(part_key() % 71 != 0, F.col("p_type")).alias("cat1"), F.when(part_key() % 2 == 0, F.col("p_brand")).alias("cat2"),
     )
     return u.field_issues(rows, 902.0, 1800.0)
 
@@ -173,9 +170,9 @@ f AS (SELECT *, concat_ws(',', nullif(reasons, ''), CASE WHEN k % 31 = 0 THEN 'S
 SELECT k AS p_partkey, reasons, failed, CASE WHEN failed = '' THEN 'WOULD_AUTO_APPROVE' ELSE 'REVIEW_REQUIRED' END AS decision FROM f""")
 def candidate_approvals(spark, sf_dir):
     """Reasons against a candidate text, and the decision of the approval policy in shadow mode."""
-    confidence = F.when(SIZE == 50, 1.5).when(SIZE < 5, 0.5).otherwise(0.99)
-    source = F.concat(F.lit("caja "), (SIZE + 100).cast("string"))
-    value = F.when(K % 43 == 0, F.repeat(F.lit("x"), 4001)).when(SIZE == 7, "see https://x.example").when(SIZE % 10 == 3, "box 1").otherwise(F.concat(F.lit("box "), (SIZE + 100).cast("string")))
-    reasons = u.candidate_reasons(source, value, K % 41 != 0, K % 29 != 0, confidence)
-    judged = u.approval(F.col("r"), K % 3 != 0, confidence, K % 31 != 0, K % 37 == 0, F.lit(False), enabled=False)
+    confidence = F.when(part_size() == 50, 1.5).when(part_size() < 5, 0.5).otherwise(0.99)
+    source = F.concat(F.lit("caja "), (part_size() + 100).cast("string"))
+    value = F.when(part_key() % 43 == 0, F.repeat(F.lit("x"), 4001)).when(part_size() == 7, "see https://x.example").when(part_size() % 10 == 3, "box 1").otherwise(F.concat(F.lit("box "), (part_size() + 100).cast("string")))
+    reasons = u.candidate_reasons(source, value, part_key() % 41 != 0, part_key() % 29 != 0, confidence)
+    judged = u.approval(F.col("r"), part_key() % 3 != 0, confidence, part_key() % 31 != 0, part_key() % 37 == 0, F.lit(False), enabled=False)
     return table(spark, sf_dir, "part").withColumn("r", reasons).select("p_partkey", F.array_join("r", ",").alias("reasons"), F.array_join(judged["failed"], ",").alias("failed"), judged["decision"].alias("decision"))

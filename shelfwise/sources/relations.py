@@ -17,6 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def part_key() -> Column:
+    """Columns of parts, made when a query is built: a Column needs a session."""
+    return F.col("p_partkey")
+
+
+def part_size() -> Column:
+    return F.col("p_size")
+
+
+def part_price() -> Column:
+    return F.col("p_retailprice")
+
+
+def part_sku() -> Column:
+    return F.col("p_partkey").cast("string").alias("sku")
+
+
 def dated(df: DataFrame) -> DataFrame:
     """Dates as ISO text, the form in which results leave the engine."""
     return df.withColumns({name: F.col(name).cast("string") for name, kind in df.dtypes if kind == "date"})

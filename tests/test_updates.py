@@ -89,3 +89,14 @@ def test_character_references_and_nulls(spark):
     assert one(texts.official_text(F.col("x")), x=None) in (None, "")
     assert one(evidence.promotion_class(F.col("x")), x=None) == "CLEAN" and one(evidence.to_bool(F.col("x")), x=None) is False
     assert one(evidence.badge_state(F.col("x"), F.lit(True), F.lit(False)), x=None) == "Nuevo"
+
+
+def test_entry_is_imported_before_any_session():
+    """Columns are made when queries are built."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); print('fine')"], cwd=repo, capture_output=True, text=True, timeout=120)
+    assert run.stdout.strip() == "fine", run.stderr[-2000:]
