@@ -77,4 +77,6 @@ def test_bench_names_what_it_leaves_out():
     import __spark_entry__
     import bench
 
-    assert bench.left_out(__spark_entry__.queries()) == ["op6_repeated_spans", "op7_ngram_join", "op10_attention_lm", "pipeline"]
+    found = __spark_entry__.queries()
+    # the training-data operators' folders may be absent; then nothing of theirs is left out
+    assert bench.left_out(found) == (["op6_repeated_spans", "op7_ngram_join", "op10_attention_lm", "pipeline"] if "pipeline" in found else [])
