@@ -22,7 +22,7 @@ MISSING = {
 }
 LOCALIZATION = ("COMPLETE", "INCOMPLETE", "STALE", "PENDING", "REVIEW_PENDING", "BLOCKED")
 ZH_FIELDS = ("zh_name", "zh_cat1", "zh_cat2", "zh_spec", "zh_description", "zh_details")
-EVENT_GROUPS = {"NEW": ("FIRST_SEEN", "ACTION_NEW_BADGE_ON")}
+EVENT_GROUPS = {"NEW": ("FIRST_SEEN", "NEW_BADGE_ON")}
 MOST_ROWS = 10_000
 #: Longer lists of identifiers become a semi-join.
 LONG_LIST = 500

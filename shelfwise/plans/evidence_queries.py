@@ -56,7 +56,7 @@ def part_tags():
     )
 
 
-@query("""SELECT p_partkey, p_partkey % 3 = 0 AS promotion_active, p_partkey % 2 = 0 AS action_new_badge, p_partkey % 7 = 0 AS sustainable_badge, CASE WHEN p_partkey % 5 = 0 THEN round(-(p_partkey % 60 + 1) / 100.0, 6)::DOUBLE END AS discount,
+@query("""SELECT p_partkey, p_partkey % 3 = 0 AS promotion_active, p_partkey % 2 = 0 AS new_badge, p_partkey % 7 = 0 AS sustainable_badge, CASE WHEN p_partkey % 5 = 0 THEN round(-(p_partkey % 60 + 1) / 100.0, 6)::DOUBLE END AS discount,
   CASE WHEN p_partkey % 3 = 0 AND p_partkey % 31 BETWEEN 1 AND 29 THEN strftime(make_date(2024, 2, (p_partkey % 31)::INT), '%Y-%m-%d') END AS promotion_start, CASE WHEN p_partkey % 3 = 0 THEN strftime(make_date(2024, 3, (p_partkey % 28 + 1)::INT), '%Y-%m-%d') END AS promotion_end FROM part""")
 def badge_facts(spark, sf_dir):
     """Dates no calendar has are null."""

@@ -192,7 +192,7 @@ def filter_offline(spark, sf_dir):
     return found(spark, sf_dir, statuses=EVERY, event_types="OFFLINE", event_from="2024-01-10", event_to="2024-01-31")
 
 
-@query(event_filter("EXISTS (SELECT 1 FROM event_history e WHERE e.sku = p.sku AND e.event_type IN ('FIRST_SEEN', 'ACTION_NEW_BADGE_ON') AND e.occurred_at <= '2024-01-02') OR EXISTS (SELECT 1 FROM event_history e WHERE e.sku = p.sku AND e.event_type = 'CONTENT_CHANGE' AND e.occurred_at <= '2024-01-02')"))
+@query(event_filter("EXISTS (SELECT 1 FROM event_history e WHERE e.sku = p.sku AND e.event_type IN ('FIRST_SEEN', 'NEW_BADGE_ON') AND e.occurred_at <= '2024-01-02') OR EXISTS (SELECT 1 FROM event_history e WHERE e.sku = p.sku AND e.event_type = 'CONTENT_CHANGE' AND e.occurred_at <= '2024-01-02')"))
 def filter_new(spark, sf_dir):
     """NEW is a first sight or a badge; kinds are alternatives, conditions hold of one event."""
     return found(spark, sf_dir, statuses=EVERY, event_types="NEW,CONTENT_CHANGE", event_to="2024-01-02")

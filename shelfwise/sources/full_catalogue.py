@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.windows import latest
 from shelfwise.sources.relations import CATALOG, HISTORY, canonical_id, price_history, table
 
-EVENT_KINDS = {"view": "FIRST_SEEN", "click": "PRICE_DOWN", "signup": "ACTION_NEW_BADGE_ON", "purchase": "REAPPEARED", "error": "CONTENT_CHANGE"}
+EVENT_KINDS = {"view": "FIRST_SEEN", "click": "PRICE_DOWN", "signup": "NEW_BADGE_ON", "purchase": "REAPPEARED", "error": "CONTENT_CHANGE"}
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +132,7 @@ images AS (
   FROM part WHERE p_partkey % 3 <> 2),
 event_history AS (
   SELECT user_id::VARCHAR AS sku, event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS occurred_at,
-    CASE event_type WHEN 'view' THEN 'FIRST_SEEN' WHEN 'click' THEN 'PRICE_DOWN' WHEN 'signup' THEN 'ACTION_NEW_BADGE_ON' WHEN 'purchase' THEN 'REAPPEARED' WHEN 'error' THEN 'CONTENT_CHANGE' ELSE event_type END AS event_type
+    CASE event_type WHEN 'view' THEN 'FIRST_SEEN' WHEN 'click' THEN 'PRICE_DOWN' WHEN 'signup' THEN 'NEW_BADGE_ON' WHEN 'purchase' THEN 'REAPPEARED' WHEN 'error' THEN 'CONTENT_CHANGE' ELSE event_type END AS event_type
   FROM events),
 lifecycle AS (
   SELECT user_id::VARCHAR AS sku, CASE WHEN arg_max(event_type, (ts, event_id)) = 'error' THEN strftime(max(ts), '%Y-%m-%d') END AS offline_date FROM events GROUP BY 1),
