@@ -194,12 +194,30 @@ def cluster(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def sums_by(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of values' rows by row number."""
+    """Sums of values' rows by row number; there are fewer than 2**15 row numbers."""
+    order = np.argsort(rows.astype(np.int16), kind="stable")
+    return sums_of_runs(rows[order], values[order], size)
+
+
+def sums_of_runs(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of values' rows by row number; equal row numbers stand together."""
     out = np.zeros((size, *values.shape[1:]), np.float32)
     if len(rows):
-        order = np.argsort(rows, kind="stable")
-        kinds, first = np.unique(rows[order], return_index=True)
-        out[kinds] = np.add.reduceat(values[order], first, 0)
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        out[rows[first]] = np.add.reduceat(values, first, 0)
+    return out
+
+
+def shares_of(logits: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Each row's softmax; the largest logit is taken out first only where exponentials leave the range of their type."""
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        out = np.exp(logits)
+        total = out @ ones
+    odd = np.flatnonzero(~(np.isfinite(total) & (total > 1e-30)))
+    if len(odd):
+        out[odd] = np.exp(logits[odd] - logits[odd].max(1, keepdims=True))
+        total[odd] = out[odd] @ ones
+    out *= (1 / total)[:, None]
     return out
 
 
@@ -248,18 +266,17 @@ class Attention:
         """Hidden layer at the last STRIDE of (windows, OVERLAP + STRIDE) classes, with all that a gradient needs."""
         w, n = self.w, len(inputs)
         x = w["emb"][inputs]
-        own = x[:, OVERLAP:]
+        own = np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
+        every = x.reshape(-1, WIDTH)
         split = lambda y: y.reshape(n, -1, HEADS, KEY).transpose(0, 2, 1, 3)
-        q, k, v = split(own @ w["q"]), split(x @ w["k"]), split(x @ w["v"])
-        scores = q @ k.transpose(0, 1, 3, 2)
-        scores *= np.float32(KEY**-0.5)
+        q, k, v = split(own @ w["q"]), split(every @ w["k"]), split(every @ w["v"])
+        scores = (q * np.float32(KEY**-0.5)) @ k.transpose(0, 1, 3, 2)
         scores += np.where(self.later, np.float32(-1e9), w["distance"][:, self.delta])
-        scores += np.where(inputs == self.c.pad, np.float32(-1e9), np.float32(0))[:, None, None, :]
-        scores -= scores.max(3, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(3, keepdims=True)
+        padded = np.flatnonzero((inputs == self.c.pad).any(1))
+        scores[padded] += np.where(inputs[padded] == self.c.pad, np.float32(-1e9), np.float32(0))[:, None, None, :]
+        scores = shares_of(scores.reshape(-1, scores.shape[3]), np.ones(scores.shape[3], np.float32)).reshape(scores.shape)
         seen = (scores @ v).transpose(0, 2, 1, 3).reshape(n, STRIDE, HEADS * KEY)
-        return np.tanh(own @ w["self"] + seen @ w["out"] + w["bias"]), (x, q, k, v, scores, seen)
+        return np.tanh(own @ w["self"] + seen.reshape(-1, HEADS * KEY) @ w["out"] + w["bias"]).reshape(n, STRIDE, WIDTH), (x, q, k, v, scores, seen)
 
     def steps(self, hidden: np.ndarray, last: np.ndarray, targets: np.ndarray):
         """Logits of the groups of all rows, then for each group (rows with a target in it, its members' logits)."""
@@ -294,52 +311,61 @@ class Attention:
         return out
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, with_loss: bool = True):
-        """Mean loss in nats per counted token (or 0 if it isn't asked for), and the gradient; targets of -1 don't count."""
-        w, n = self.w, len(inputs)
+        """Mean loss in nats per counted token (or 0 if it isn't asked for), and the gradient; targets of -1 don't count.
+
+        Rows are sorted by the group and member of their target and by the class
+        before them, so that each group is a slice and sums by class are sums of runs.
+        """
+        w, n, n_in = self.w, len(inputs), len(self.w["emb"])
         hidden, (x, q, k, v, att, seen) = self.hidden(inputs)
-        flat, use, last = hidden.reshape(-1, WIDTH), np.flatnonzero(targets.ravel() >= 0), inputs[:, OVERLAP:].ravel()
-        want, last, h = targets.ravel()[use], last[use], flat[use]
-        many = np.float32(max(1, len(use)))
-        loss = -float(self.log_probs(h, last, want).sum() / many) if with_loss else 0.0
-        groups, parts = self.steps(h, last, want)
-
-        def error(logits, chosen):
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(p)), chosen] -= 1
-            return p / many
-
-        d = error(groups, want // self.members)
-        g = {"group_const": d.sum(0), "group_up": h.T @ d, "group_next": sums_by(last, d, len(w["emb"])), "up": np.zeros_like(w["up"]), "next": np.zeros_like(w["next"]), "const": np.zeros_like(w["const"])}
+        use, before, want = np.flatnonzero(targets.ravel() >= 0), inputs[:, OVERLAP:].ravel(), targets.ravel()
+        use = use[np.argsort((want[use] // self.members * n_in + before[use]).astype(np.int16), kind="stable")]
+        flat, want, last = hidden.reshape(-1, WIDTH), want[use], before[use]
+        h, group, member = flat[use], want // self.members, want % self.members
+        many, at = np.float32(max(1, len(use))), np.arange(len(use))
+        bounds = np.searchsorted(group, np.arange(self.groups + 1))
+        spans = [(i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+        ones = np.ones(max(self.groups, self.members), np.float32)
+        d = shares_of(h @ w["group_up"] + w["group_next"][last] + w["group_const"], ones[: self.groups])
+        e = w["next"][group, last]
+        for i, a, b in spans:
+            e[a:b] += h[a:b] @ w["up"][i] + w["const"][i]
+        e = shares_of(e, ones[: self.members])
+        loss = -float((np.log(d[at, group]) + np.log(e[at, member])).sum() / many) if with_loss else 0.0
+        for p, chosen in ((d, group), (e, member)):
+            p[at, chosen] -= 1
+            p /= many
+        key = group * n_in + last
+        g = {
+            "group_const": d.sum(0), "group_up": h.T @ d, "group_next": sums_by(last, d, n_in),
+            "next": sums_of_runs(key, e, self.groups * n_in).reshape(w["next"].shape), "up": np.zeros_like(w["up"]), "const": np.zeros_like(w["const"]),
+        }
         back = d @ w["group_up"].T
-        for at, rows, logits in parts:
-            d = error(logits, want[rows] % self.members)
-            g["const"][at], g["up"][at], g["next"][at] = d.sum(0), h[rows].T @ d, sums_by(last[rows], d, len(w["emb"]))
-            back[rows] += d @ w["up"][at].T
+        for i, a, b in spans:
+            g["const"][i], g["up"][i] = ones[:1].repeat(b - a) @ e[a:b], h[a:b].T @ e[a:b]
+            back[a:b] += e[a:b] @ w["up"][i].T
         dh = np.zeros_like(flat)
         dh[use] = back
-        dh = dh.reshape(hidden.shape) * (1 - hidden**2)
-        own = x[:, OVERLAP:]
-        g["bias"] = dh.sum((0, 1))
-        g["self"] = own.reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
-        g["out"] = seen.reshape(-1, HEADS * KEY).T @ dh.reshape(-1, WIDTH)
-        dx = np.zeros_like(x)
-        dx[:, OVERLAP:] += dh @ w["self"].T
-        dseen = (dh @ w["out"].T).reshape(n, STRIDE, HEADS, KEY).transpose(0, 2, 1, 3)
+        dh *= 1 - flat * flat
+        own = np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
+        every, seen = x.reshape(-1, WIDTH), seen.reshape(-1, HEADS * KEY)
+        g["bias"], g["self"], g["out"] = dh.sum(0), own.T @ dh, seen.T @ dh
+        dseen = dh @ w["out"].T
+        share = (dseen * seen).reshape(n, STRIDE, HEADS, KEY).sum(3).transpose(0, 2, 1)[..., None]
+        dseen = dseen.reshape(n, STRIDE, HEADS, KEY).transpose(0, 2, 1, 3)
         dv = att.transpose(0, 1, 3, 2) @ dseen
-        da = dseen @ v.transpose(0, 1, 3, 2)
-        ds = att * (da - (da * att).sum(3, keepdims=True))
-        ds[:, :, self.later] = 0
-        g["distance"] = np.stack([np.bincount(self.delta[~self.later], ds[:, h_].sum(0)[~self.later], OVERLAP + STRIDE) for h_ in range(HEADS)]).astype(np.float32)
+        ds = dseen @ v.transpose(0, 1, 3, 2)
+        ds -= share
+        ds *= att
+        by_place = (np.ones(n, np.float32) @ ds.reshape(n, -1)).reshape(HEADS, STRIDE, -1)
+        g["distance"] = np.stack([np.bincount(self.delta[~self.later], part[~self.later], OVERLAP + STRIDE) for part in by_place]).astype(np.float32)
         ds *= np.float32(KEY**-0.5)
-        join = lambda y: y.transpose(0, 2, 1, 3).reshape(n, -1, HEADS * KEY)
+        join = lambda y: y.transpose(0, 2, 1, 3).reshape(-1, HEADS * KEY)
         dq, dk, dv = join(ds @ k), join(ds.transpose(0, 1, 3, 2) @ q), join(dv)
-        g["q"] = own.reshape(-1, WIDTH).T @ dq.reshape(-1, HEADS * KEY)
-        g["k"] = x.reshape(-1, WIDTH).T @ dk.reshape(-1, HEADS * KEY)
-        g["v"] = x.reshape(-1, WIDTH).T @ dv.reshape(-1, HEADS * KEY)
-        dx += dk @ w["k"].T + dv @ w["v"].T
-        dx[:, OVERLAP:] += dq @ w["q"].T
-        g["emb"] = sums_by(inputs.ravel(), dx.reshape(-1, WIDTH), len(w["emb"]))
+        g["q"], g["k"], g["v"] = own.T @ dq, every.T @ dk, every.T @ dv
+        dx = (dk @ w["k"].T + dv @ w["v"].T).reshape(x.shape)
+        dx[:, OVERLAP:] += (dq @ w["q"].T + dh @ w["self"].T).reshape(n, STRIDE, WIDTH)
+        g["emb"] = sums_by(inputs.ravel(), dx.reshape(-1, WIDTH), n_in)
         return loss, g
 
     def prior(self, shown: np.ndarray) -> None:
