@@ -5,7 +5,8 @@ vocabulary. The HEAD most frequent ids are classes of their own; the others are
 clustered by what stands before them, and an id's probability inside its class
 comes from counts over the whole training part of the corpus. The model reads
 class numbers: embeddings, a causal attention head with learnt distance
-biases, a hidden layer, and a table from each class to the next. Classes come
+biases, a hidden layer, and a table from each class to the next. Texts are
+encoded once, into a stored table that all later passes read. Classes come
 from counts over all training texts. The weights start from a seeded sample of
 TRAIN_ROWS texts and TRAIN_BYTES at most, and are then trained on every window of
 every training text, of any length: in each of the rounds of RATES, one share of
@@ -51,7 +52,8 @@ TRAIN_BYTES = 6 << 20
 STEPS, BATCH = 600, 128
 #: Highest learning rate of each round over the training texts, and windows that a step takes there.
 RATES, ROUND_BATCH = (0.006, 0.0015), 128
-TRAIN_TEXT_AT_ONCE = 4 << 20
+#: Bytes of packed ids whose windows a task holds and mixes at once.
+TRAIN_IDS_AT_ONCE = 3 << 20
 #: Weights of tasks are summed in so many groups before they reach the driver.
 GROUPS = 16
 SEED = 7
@@ -469,28 +471,58 @@ def ids_of(model: Subwords, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return gather_lists(offsets, codes, *pieces_of(model, words))
 
 
+def id_kind(size: int) -> type:
+    """The type that ids of a vocabulary are stored in."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+def packed(offsets: np.ndarray, ids: np.ndarray, kind: type) -> pa.Array:
+    """Each text's ids as bytes."""
+    where = (offsets * np.dtype(kind).itemsize).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(where.tobytes()), pa.py_buffer(ids.astype(kind).tobytes())]).cast(pa.binary())
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids) of packed texts."""
+    raw, offsets = flat_bytes(column)
+    return offsets // np.dtype(kind).itemsize, raw.view(kind).astype(np.int64)
+
+
 class Scorer:
-    """Subword model, classes and attention weights: what a task needs."""
+    """Classes and attention weights: what a task needs."""
 
     def __init__(self, model: Subwords, classes: Classes, counts: np.ndarray, ends: int, texts: list[str]):
-        self.model, self.classes, self.attention = model, classes, Attention(classes)
+        self.classes, self.attention, self.kind = classes, Attention(classes), id_kind(model.size)
         classes.shares(counts)
         self.attention.prior(np.append(np.bincount(classes.of, counts, HEAD + TAIL), ends))
         offsets, ids = ids_of(model, pa.array(texts, pa.large_string()))
         self.loss = self.attention.train(offsets, classes.of[ids])
 
-    def log10(self, offsets: np.ndarray, codes: np.ndarray, units: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        bounds, ids = gather_lists(offsets, codes, *units)
+    def log10(self, bounds: np.ndarray, ids: np.ndarray) -> np.ndarray:
         inside = np.concatenate([[0], np.cumsum(self.classes.inside[ids])])
         return self.attention.log10(bounds, self.classes.of[ids]) + inside[bounds[1:]] - inside[bounds[:-1]]
 
 
-def count_task(shared):
+def encode_task(shared, names: list[str], text: str):
+    """The columns of a batch and each text's subword ids."""
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            column = batch.column(text)
+            parts = [packed(*ids_of(model, column.slice(first, len(own) - 1)), id_kind(model.size)) for first, _, own in slices(column, TEXT_AT_ONCE)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.concat_arrays(parts) if parts else pa.array([], pa.binary())], names=[*names, "_ids"])
+
+    return run
+
+
+def count_task(size: int):
     """(word hash, count) of a batch's distinct words in training texts; at the end (null, id, count) of the task's subword ids."""
+    kind = id_kind(size)
 
     def run(batches):
-        model, powers = shared.value, Powers()
-        total, texts = np.zeros(model.size, np.int64), 0
+        powers = Powers()
+        total, texts = np.zeros(size, np.int64), 0
         for batch in batches:
             for first, _, own in slices(batch.column(0), TEXT_AT_ONCE):
                 part = lower_column(batch.column(0).slice(first, len(own) - 1))
@@ -499,11 +531,10 @@ def count_task(shared):
                 if not len(codes):
                     continue
                 counts = np.bincount(codes, minlength=len(words))
-                unit_offsets, units = pieces_of(model, words)
-                total += np.bincount(units, np.repeat(counts, np.diff(unit_offsets)), model.size).astype(np.int64)
                 there = np.flatnonzero(counts)  # the empty string between white space is no word
                 n = len(there)
                 yield pa.RecordBatch.from_arrays([pa.array(word_hashes(words, powers)[there].view(np.int64)), pa.nulls(n, pa.int32()), pa.array(counts[there], pa.int64())], names=["word", "piece", "n"])
+            total += np.bincount(unpacked(batch.column(1), kind)[1], minlength=size)
         seen = np.flatnonzero(total)
         n = len(seen) + 1
         yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(np.append(seen, -1).astype(np.int32)), pa.array(np.append(total[seen], texts), pa.int64())], names=["word", "piece", "n"])
@@ -511,15 +542,14 @@ def count_task(shared):
     return run
 
 
-def before_task(shared):
+def before_task(shared, kind: type):
     """(tail row, what stands before, count) of a task's training texts."""
 
     def run(batches):
-        model, heads = shared.value
+        heads = shared.value
         table = heads.table(np.int32)
         for batch in batches:
-            for first, _, own in slices(batch.column(0), TEXT_AT_ONCE):
-                heads.add(table, *ids_of(model, batch.column(0).slice(first, len(own) - 1)))
+            heads.add(table, *unpacked(batch.column(0), kind))
         row, before = np.nonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(before.astype(np.int16)), pa.array(table[row, before].astype(np.int64))], names=["row", "before", "n"])
 
@@ -535,8 +565,8 @@ def train_task(shared, rate: float, at_once: int):
         net.w = {k: x.copy() for k, x in net.w.items()}
         adam, rng, many = Adam(net.w), np.random.default_rng((SEED, task)), 0
         for batch in batches:
-            for first, _, own in slices(batch.column(0), TRAIN_TEXT_AT_ONCE):
-                offsets, ids = ids_of(scorer.model, batch.column(0).slice(first, len(own) - 1))
+            for first, _, own in slices(batch.column(0), TRAIN_IDS_AT_ONCE):
+                offsets, ids = unpacked(batch.column(0).slice(first, len(own) - 1), scorer.kind)
                 for inputs, targets in net.rounds(offsets, scorer.classes.of[ids], rng, at_once):
                     adam.step(net.gradient(inputs, targets, False)[1], rate * min(1, (adam.t + 1) / 10))
                     many += len(inputs)
@@ -575,7 +605,7 @@ class Table:
 RESULT = "n_tokens long, n_known long, base_sum double, score double"
 
 
-def score_rows(scorer: Scorer, column: pa.Array, counts_of, ends: int, powers: Powers) -> list[pa.Array]:
+def score_rows(scorer: Scorer, column: pa.Array, packed_ids: pa.Array, counts_of, ends: int, powers: Powers) -> list[pa.Array]:
     """n_tokens, n_known, sum of log10(count + 1), score of each text."""
     out = []
     for first, _, own in slices(column, TEXT_AT_ONCE):
@@ -584,18 +614,18 @@ def score_rows(scorer: Scorer, column: pa.Array, counts_of, ends: int, powers: P
         known = np.concatenate([[0], np.cumsum((counts > 0)[codes])])
         logs = np.concatenate([[0.0], np.cumsum(np.log10(counts + 1.0)[codes])])
         n = np.diff(offsets)
-        out.append((n + 1, known[offsets[1:]] - known[offsets[:-1]] + (ends > 0), logs[offsets[1:]] - logs[offsets[:-1]] + np.log10(ends + 1.0), scorer.log10(offsets, codes, pieces_of(scorer.model, words))))
+        out.append((n + 1, known[offsets[1:]] - known[offsets[:-1]] + (ends > 0), logs[offsets[1:]] - logs[offsets[:-1]] + np.log10(ends + 1.0), scorer.log10(*unpacked(packed_ids.slice(first, len(own) - 1), scorer.kind))))
     if not out:
         return [pa.array([], kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
     return [pa.array(np.concatenate(x)) for x in zip(*out)]
 
 
 def fit(docs: DataFrame, train: str, model: Subwords, counts: np.ndarray, ends: int, doc_id: str = "doc_id", text: str = "text") -> Scorer:
-    """docs: with a boolean column that tells what may be learnt from; counts: of ids in all of that, with ends texts."""
+    """docs: with packed ids and a boolean column that tells what may be learnt from; counts: of ids in all of that, with ends texts."""
     part = docs.where(train)
     send = partial(Sent, docs.sparkSession)
     heads = Heads(counts)
-    before = part.select(text).mapInArrow(before_task(send((model, heads))), "row int, before short, n long").groupBy("row", "before").agg(F.sum("n").alias("n")).toArrow()
+    before = part.select("_ids").mapInArrow(before_task(send(heads), id_kind(model.size)), "row int, before short, n long").groupBy("row", "before").agg(F.sum("n").alias("n")).toArrow()
     table = heads.table(np.float32)
     table[before["row"].to_numpy(), before["before"].to_numpy()] = before["n"].to_numpy()
     classes = Classes.counted(heads, table)
@@ -603,7 +633,7 @@ def fit(docs: DataFrame, train: str, model: Subwords, counts: np.ndarray, ends:
     texts = sampled(part, strata, doc_id, text, TRAIN_ROWS, TRAIN_BYTES, SEED).select(text).toArrow()[text].to_pylist()
     scorer = Scorer(model, classes, counts, ends, sorted(texts))
     for k, rate in enumerate(RATES):
-        share = part.where(F.pmod(F.xxhash64(F.lit(SEED), text), F.lit(len(RATES))) == k).select(text)
+        share = part.where(F.pmod(F.xxhash64(F.lit(SEED), text), F.lit(len(RATES))) == k).select("_ids")
         tasks = share.mapInArrow(train_task(send(scorer), rate, ROUND_BATCH), "part int, task int, many long, weights binary")
         rows = sorted(tasks.groupBy("part").applyInArrow(summed_weights, "part int, many long, weights binary").collect())
         if rows:
@@ -619,8 +649,10 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
     spark = docs.sparkSession
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
     model = Subwords(model_path)
-    shared = Sent(spark, model)
-    counted = stored(docs.where(train).select(text).mapInArrow(count_task(shared), "word long, piece int, n long").groupBy("word", "piece").agg(F.sum("n").alias("n")), "counts")
+    kinds = dict(docs.dtypes)
+    names = list(dict.fromkeys([*keep, doc_id, text, train]))
+    encoded = stored(docs.select(*names).mapInArrow(encode_task(Sent(spark, model), names, text), ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", _ids binary"), "subwords")
+    counted = stored(encoded.where(train).select(text, "_ids").mapInArrow(count_task(model.size), "word long, piece int, n long").groupBy("word", "piece").agg(F.sum("n").alias("n")), "counts")
     pieces = counted.where("word IS NULL").select("piece", "n").toArrow().to_pydict()
     totals = counted.where("word IS NOT NULL").agg(F.count(F.lit(1)), F.sum("n")).first()
     by_piece = dict(zip(pieces["piece"], pieces["n"]))
@@ -628,13 +660,12 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
     n_words, n_all, n_kinds = int(totals[0]), int(totals[1] or 0) + ends, int(totals[0]) + (ends > 0)
     counts = np.zeros(model.size)
     counts[list(by_piece)] = list(by_piece.values())
-    scorer = fit(docs, train, model, counts, ends, doc_id, text)
+    scorer = fit(encoded, train, model, counts, ends, doc_id, text)
     final = Sent(spark, scorer)
-    kinds = dict(docs.dtypes)
     kept = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     schema = f"{kept}, {RESULT}" if kept else RESULT
     words = counted.where("word IS NOT NULL").select("word", "n")
-    frame = docs.select(*dict.fromkeys([*keep, text]))
+    frame = encoded.select(*dict.fromkeys([*keep, text, "_ids"]))
     if n_words <= broadcast_words:
         found = words.toArrow()
         table = spark.sparkContext.broadcast(Table.sorted(found["word"].to_numpy().view(U), found["n"].to_numpy()))
@@ -642,7 +673,7 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
         def run(batches):
             powers, counts = Powers(), Table(*table.value)
             for batch in batches:
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *score_rows(final.value, batch.column(text), counts.get, ends, powers)], names=[*keep, "n_tokens", "n_known", "base_sum", "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *score_rows(final.value, batch.column(text), batch.column("_ids"), counts.get, ends, powers)], names=[*keep, "n_tokens", "n_known", "base_sum", "score"])
 
         out = frame.mapInArrow(run, schema)
     else:
@@ -673,7 +704,7 @@ def by_bucket(frame: DataFrame, words: DataFrame, shared, keep: list[str], text:
         powers = Powers()
         table = Table(*Table.sorted(right.column("word").to_numpy().view(U), right.column("n").to_numpy()))
         for batch in left.to_batches():
-            arrays = [*(batch.column(c) for c in keep), *score_rows(shared.value, batch.column(text), table.get, ends, powers)]
+            arrays = [*(batch.column(c) for c in keep), *score_rows(shared.value, batch.column(text), batch.column("_ids"), table.get, ends, powers)]
             yield pa.RecordBatch.from_arrays(arrays, names=[x.split("`")[1] if "`" in x else x.split()[0] for x in schema.split(", ")])
 
     def whole(left: pa.Table, right: pa.Table) -> pa.Table:
