@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.evidence import has_cjk
-from shelfwise.functions.texts import is_blank
+from shelfwise.functions.texts import is_blank, measurements, numbers
 from shelfwise.operators.upserts import keyed_difference, rule_union
 from shelfwise.operators.windows import latest
 
@@ -182,3 +182,27 @@ def shadow_difference(left: DataFrame, right: DataFrame, fields: list[str], left
     cells = keyed_difference(left, right, "sku", fields).groupBy("sku", "field").agg(F.count(F.lit(1)).alias("n"))
     counted = left_events.withColumn("n", F.lit(1)).unionAll(right_events.withColumn("n", F.lit(-1))).groupBy(*left_events.columns).agg(F.sum("n").alias("n")).where("n <> 0")
     return cells.unionAll(counted.groupBy("sku").agg(F.sum(F.abs("n")).alias("n")).select("sku", F.lit("events").alias("field"), "n"))
+
+
+def gold_counters(rows: DataFrame) -> DataFrame:
+    """One row of counts over (key, field, source, prediction, gold); rows without identity or gold are counted as invalid and not judged."""
+    valid = ~(is_blank(F.col("key")) | is_blank(F.col("field")) | is_blank(F.col("gold")))
+    text = lambda name: F.coalesce(name, F.lit(""))
+    held, shown = F.array_sort(numbers(text("source"))), F.array_sort(numbers(text("prediction")))
+    units, shown_units = F.size(measurements(text("source"))), F.size(measurements(text("prediction")))
+    flags = {
+        "rows": valid, "invalid_rows": ~valid, "field_exact": valid & (F.trim(text("prediction")) == F.trim("gold")), "number_mismatch": valid & (held != shown),
+        "unit_mismatch": valid & (units > 0) & (units != shown_units), "target_script": valid & has_cjk(F.col("prediction")),
+    }
+    return rows.agg(*[F.count_if(flag).alias(name) for name, flag in flags.items()])
+
+
+def guarded_split(rows: DataFrame, group: str, order: list[str], ratio: float) -> DataFrame:
+    """Adds part, 'valid' or 'train', by a hash of the group; a part that would be empty gets the last row in order, if there is more than that."""
+    share = F.conv(F.substring(F.sha2(group, 256), 1, 8), 16, 10).cast("double") / F.lit(float(0xFFFFFFFF))
+    dealt = rows.withColumn("_valid", share < ratio)
+    whole = dealt.agg(F.count(F.lit(1)).alias("_n"), F.count_if("_valid").alias("_m"), F.max(F.struct(*order)).alias("_last"))
+    last = F.struct(*order) == F.col("_last")
+    valid = F.when((F.col("_m") == 0) & last, True).when((F.col("_m") == F.col("_n")) & (F.col("_n") > 1) & last, False).otherwise(F.col("_valid"))
+    joined = dealt.withColumn("_one", F.lit(1)).join(F.broadcast(whole.withColumn("_one", F.lit(1))), "_one")
+    return joined.withColumn("part", F.when(valid, "valid").otherwise("train")).drop("_valid", "_one", "_n", "_m", "_last")

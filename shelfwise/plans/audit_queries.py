@@ -309,3 +309,21 @@ def shadow_differences(spark, sf_dir):
     old, events = products(spark, sf_dir).select("sku", "name", "status"), event_history(spark, sf_dir)
     new = old.select("sku", F.when(k % 6 == 0, F.upper("name")).otherwise(F.col("name")).alias("name"), F.when(k % 7 == 0, "CURRENT").otherwise(F.col("status")).alias("status"))
     return a.shadow_difference(old, new, ["name", "status"], events, events.where("id % 10 <> 0"))
+
+
+@query("""WITH r AS (SELECT p_partkey AS k, p_size AS size, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE '中 ' || p_size END AS gold FROM part)
+SELECT count(*) FILTER (k % 10 <> 0) AS rows, count(*) FILTER (k % 10 = 0) AS invalid_rows, count(*) FILTER (k % 10 <> 0 AND k % 4 = 0) AS field_exact,
+count(*) FILTER (k % 10 <> 0 AND k % 4 = 2) AS number_mismatch, count(*) FILTER (k % 10 <> 0 AND k % 3 = 0 AND k % 4 <> 1) AS unit_mismatch, count(*) FILTER (k % 10 <> 0 AND k % 4 <> 3) AS target_script FROM r""")
+def gold_counters(spark, sf_dir):
+    """Predictions against gold texts: exact, numbers, units and script, with faults at known places."""
+    k, size = part_key(), part_size().cast("string")
+    case = k % 4
+    predicted = F.when(case == 0, F.concat(F.lit("中 "), size)).when(case == 1, F.concat(F.lit("中 "), size, F.lit(" cm"))).when(case == 2, F.concat(F.lit("中 7 "), size)).otherwise(size)
+    source = F.concat(F.lit("talla "), size, F.when(k % 3 == 0, " cm").otherwise(""))
+    return a.gold_counters(parts(spark, sf_dir).select(k.cast("string").alias("key"), F.lit("spec").alias("field"), source.alias("source"), predicted.alias("prediction"), F.when(k % 10 != 0, F.concat(F.lit("中 "), size)).alias("gold")))
+
+
+@query("""SELECT p_partkey::VARCHAR AS sku, CASE WHEN ('0x' || substr(sha256(p_partkey::VARCHAR), 1, 8))::BIGINT / 4294967295.0 < 0.1 THEN 'valid' ELSE 'train' END AS part FROM part""")
+def guarded_splits(spark, sf_dir):
+    """Training rows dealt by SKU, so that no product stands in both parts."""
+    return a.guarded_split(parts(spark, sf_dir).select(part_sku()), "sku", ["sku"], 0.1)

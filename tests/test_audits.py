@@ -53,3 +53,16 @@ def test_backlog_and_reuse(spark):
     cells = spark.createDataFrame([("1", "name", "a", "中"), ("2", "name", "a", "latin"), ("3", "name", None, "中")], "sku string, field string, source string, target string")
     held = spark.createDataFrame([("1", "name", "a", "FRESH"), ("2", "name", "a", "FRESH"), ("3", "name", "a", "FRESH")], "sku string, field string, snapshot string, freshness string")
     assert {r.sku: r.reused for r in audits.reusable(cells, held).collect()} == {"1": "中", "2": None, "3": None}
+
+
+def test_no_part_of_a_split_is_empty(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "sku string, n int")
+    parts = lambda df, ratio: sorted(r.part for r in audits.guarded_split(df, "sku", ["sku", "n"], ratio).collect())
+    assert parts(rows, 0.0) == parts(rows, 2.0) == ["train", "valid"] and parts(rows.limit(0), 0.5) == []
+    assert {r.sku: r.part for r in audits.guarded_split(rows, "sku", ["sku", "n"], 0.0).collect()} == {"a": "train", "b": "valid"}
+
+
+def test_gold_counters_of_invalid_rows(spark):
+    rows = [("1", "f", "2 cm", "中 2 cm", "中 2 cm"), ("1", "f", "2 cm", None, "x"), (None, "f", "s", "p", "g"), ("2", "f", "s", "p", " ")]
+    df = spark.createDataFrame(rows, "key string, field string, source string, prediction string, gold string")
+    assert audits.gold_counters(df).first().asDict() == {"rows": 2, "invalid_rows": 2, "field_exact": 1, "number_mismatch": 1, "unit_mismatch": 1, "target_script": 1}
