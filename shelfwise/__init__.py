@@ -1 +1,7 @@
-"""Catalogue analytics on Spark: declarative queries, temporal state, data quality and text rules."""
+"""Catalogue analytics on Spark. Functions that run inside tasks travel by value, so executors need no copy of this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.evidence import has_cjk
 from shelfwise.functions.texts import is_blank, measurements, numbers
+from shelfwise.operators.phrases import longest, spans
 from shelfwise.operators.upserts import keyed_difference, rule_union
 from shelfwise.operators.windows import latest
 
@@ -73,21 +74,10 @@ def without_spans(text: Column, spans: list[str]) -> Column:
     return F.trim(text)
 
 
-def word_runs(words: Column, n: int) -> Column:
-    """All runs of n neighbouring words; none of a shorter text."""
-    runs = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
-
-
 def title_brands(titles: DataFrame, aliases: DataFrame, least: int = 3) -> DataFrame:
-    """(sku, brand): the longest alias that stands in the title as whole words, by an equi-join on word runs of the lengths that aliases have."""
-    named = aliases.where(F.length("alias") >= least).withColumn("words", F.split(F.lower(F.trim("alias")), r"\s+"))
-    lengths = sorted(r[0] for r in named.select(F.size("words")).distinct().collect())
-    if not lengths:
-        return titles.select("sku", F.lit(None).cast("string").alias("brand"))
-    held = titles.withColumn("words", F.split(F.lower(F.trim("title")), r"\s+")).select("sku", F.explode(F.array_distinct(F.flatten(F.array(*[word_runs(F.col("words"), n) for n in lengths])))).alias("run"))
-    keys = named.select(F.array_join("words", " ").alias("run"), "brand").groupBy("run").agg(F.min("brand").alias("brand"))
-    best = held.join(keys, "run").groupBy("sku").agg(F.min_by("brand", F.struct(-F.length("run"), "run")).alias("brand"))
+    """(sku, brand): the longest alias of at least so many characters that stands in the title with no word character beside it; of equals the first, of its brands the least."""
+    named = aliases.select(F.lower(F.trim("alias")).alias("phrase"), "brand").where(F.length("phrase") >= least).groupBy("phrase").agg(F.min("brand").alias("brand"))
+    best = longest(spans(titles, named, ["sku"], "title"), ["sku"]).join(named, "phrase").select("sku", "brand")
     return titles.select("sku").join(best, "sku", "left")
 
 

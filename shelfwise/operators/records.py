@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions.evidence import has_cjk, text_of
 from shelfwise.functions.identity import value_hash
 from shelfwise.functions.texts import is_blank
+from shelfwise.operators.phrases import spans
+from shelfwise.sources.storage import written
 
 
 def overlay(base: DataFrame, retry: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -155,12 +157,19 @@ def selection_export(members: DataFrame, facts: DataFrame, columns: list[str]) -
 
 
 def with_ordinals(rows: DataFrame, order: list[str], parts: int = 64) -> DataFrame:
-    """Adds ordinal, from 1 on, in the given order: ranges are sorted apart and shifted by the sizes of those before."""
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
-    first = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    """Adds ordinal, from 1 on, in the given order; rows equal in it are numbered in any order, each number once.
+
+    Ranges are sorted apart and written once, with each row's range and its
+    place in it: sizes and rows come from that table, so that both speak of the
+    same ranges, whatever a second sampling or a retried task would deal out.
+    """
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    table = written(ranged.withColumn("_id", F.monotonically_increasing_id()), "ordinals")
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = table.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     # one row for each range
-    shift = first.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranged.join(F.broadcast(shift), "_part").withColumn("ordinal", F.col("_before") + F.col("_id") - F.col("_first") + 1).drop("_part", "_id", "_n", "_first", "_before")
+    shift = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return table.withColumn("_part", part).join(F.broadcast(shift), "_part").withColumn("ordinal", F.col("_before") + place + 1).drop("_part", "_id", "_n", "_before")
 
 
 def protected_tokens(text: Column) -> Column:
@@ -199,12 +208,13 @@ def restore(text: Column, tokens: Column) -> Column:
 
 
 def families(rows: DataFrame, families: DataFrame) -> DataFrame:
-    """(sku, family, score) of the best family: an alias among the name's words, and more for its category and phrases.
+    """(sku, family, score) of the best family: an alias in the name, as whole words, and more for its category and phrases.
 
-    rows: sku, name, category, text; families: family, alias (one word), category, phrase.
+    rows: sku, name, category, text; families: family, alias (any number of words), category, phrase.
     """
-    words = rows.select("sku", "category", "text", F.explode(F.array_distinct(F.split(F.lower(F.coalesce("name", F.lit(""))), r"[^\p{L}\p{N}]+"))).alias("_word"))
-    met = words.join(families.withColumnRenamed("category", "_category"), F.col("_word") == F.col("alias"))
-    close, said = F.coalesce(F.col("category") == F.col("_category"), F.lit(False)), F.coalesce(F.lower("text").contains(F.col("phrase")), F.lit(False))
+    known = families.withColumn("_alias", F.lower(F.trim("alias"))).withColumnRenamed("category", "_category").withColumnRenamed("phrase", "_phrase")
+    held = spans(rows, known, ["sku"], "name", "_alias").select("sku", F.col("phrase").alias("_alias")).distinct()
+    met = held.join(known, "_alias").join(rows.select("sku", "category", "text"), "sku")
+    close, said = F.coalesce(F.col("category") == F.col("_category"), F.lit(False)), F.coalesce(F.contains(F.lower("text"), F.lower("_phrase")), F.lit(False))
     scored = met.withColumn("score", F.round(F.least(F.lit(0.99), 0.72 + F.when(close, 0.18).otherwise(0.0) + F.when(said, 0.08).otherwise(0.0)), 2)).where(close | said)
     return scored.groupBy("sku").agg(F.max("score").alias("score"), F.min_by("family", F.struct(-F.col("score"), "family")).alias("family"))

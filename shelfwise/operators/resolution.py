@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.phrases import spans, words_of
+
 
 def resolve(candidates: list[tuple[str, Column]], blocked: Column | None = None) -> tuple[Column, Column]:
     """(value, source label): the first non-blank candidate; nothing where blocked."""
@@ -44,22 +46,10 @@ def scoped_rules(rows: DataFrame, rules: DataFrame, scopes: list[str], term: str
 
 
 def term_matches(rows: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, target): terms of any number of words that stand in a text, at word boundaries.
-
-    Texts give their word n-grams of the lengths that terms have and meet terms
-    by equality; no row is compared with every term.
-    """
-
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    def spans_of(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda k: F.array_join(F.slice("_w", k, n), " "))
-
-    normal = terms.select(F.array_join(F.filter(F.split(F.lower("term"), r"[^\p{L}\p{N}]+"), lambda x: x != ""), " ").alias("_g"), "term", "target").where("_g <> ''")
-    lengths = sorted(r[0] for r in normal.select(F.size(F.split("_g", " "))).distinct().collect())
-    none = F.array().cast("array<string>")
-    grams = F.array_distinct(F.flatten(F.array(none, *[F.when(F.size("_w") >= n, spans_of(n)).otherwise(none) for n in lengths])))
-    exploded = rows.select(key, words.alias("_w")).select(key, F.explode(grams).alias("_g"))
-    return exploded.join(normal, "_g").select(key, "term", "target").distinct()
+    """(key, term, target): terms of any number of words that stand in a text, at word boundaries; signs between words do not matter."""
+    normal = terms.select(words_of("term").alias("_g"), "term", "target").where("_g <> ''")
+    found = spans(rows.select(key, words_of(text).alias("_words")), normal, [key], "_words", "_g").select(key, "phrase").distinct()
+    return found.join(normal, F.col("phrase") == F.col("_g")).select(key, "term", "target").distinct()
 
 
 def longest_match(matches: DataFrame, key: str) -> DataFrame:
