@@ -11,22 +11,21 @@ action, so that results do not depend on how rows fall into batches.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE = "status string, attempts int, claimed_at timestamp, reason string, steps long"
-RESULT = "unit string, step long, at timestamp, action string, status string, attempts int, changed boolean, reason string"
+STATE = "status string, attempts int, claimed long, reason string, steps long"
+RESULT = "unit string, step long, micros long, action string, status string, attempts int, changed boolean, reason string"
 STALE = "STALE_CLAIM_RECOVERED"
 
 
 def after(state: tuple | None, action: str, at, reason: str | None, retries: int) -> tuple | None:
-    """The state (status, attempts, claimed_at, reason) after an action, or None where it changes nothing."""
+    """The state (status, attempts, microsecond of the claim, reason) after an action, or None where it changes nothing."""
     if state is None:
         return ("PENDING", 0, None, None) if action == "INGEST" else None
-    status, attempts, claimed_at, _ = state
+    status, attempts, _, _ = state
     if action == "CLAIM" and status in ("PENDING", "RETRY"):
         return "CLAIMED", attempts, at, None
     if status == "CLAIMED":
@@ -56,29 +55,29 @@ class Queue(StatefulProcessor):
         *state, steps = self.unit.get()
         return (None if state[0] is None else tuple(state)), steps
 
-    def due(self, state: tuple):
-        return state[2] + timedelta(minutes=self.minutes)
+    def due(self, state: tuple) -> int:
+        return state[2] + self.minutes * 60_000_000
 
     def timers(self, state: tuple | None) -> None:
         """One timer at most: the claim's end."""
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
         if state is not None and state[0] == "CLAIMED":
-            self.handle.registerTimer(int(self.due(state).timestamp() * 1000) + 1)
+            self.handle.registerTimer(self.due(state) // 1000 + 1)
 
     def row(self, key, step: int, at, action: str, state: tuple | None, changed: bool) -> Row:
         status, attempts, _, reason = state if state is not None else (None, None, None, None)
-        return Row(unit=key[0], step=step, at=at, action=action, status=status, attempts=attempts, changed=changed, reason=reason)
+        return Row(unit=key[0], step=step, micros=at, action=action, status=status, attempts=attempts, changed=changed, reason=reason)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         state, step = self.load()
-        for own in sorted(rows, key=lambda r: (r["at"], r["seq"])):
-            if state is not None and state[0] == "CLAIMED" and own["at"] > self.due(state):
+        for own in sorted(rows, key=lambda r: (r["micros"], r["seq"])):
+            if state is not None and state[0] == "CLAIMED" and own["micros"] > self.due(state):
                 at, state, step = self.due(state), ("RETRY", state[1], None, STALE), step + 1
                 yield self.row(key, step, at, "EXPIRE", state, True)
-            new = after(state, own["action"], own["at"], own["reason"], self.retries)
+            new = after(state, own["action"], own["micros"], own["reason"], self.retries)
             state, step = state if new is None else new, step + 1
-            yield self.row(key, step, own["at"], own["action"], state, new is not None)
+            yield self.row(key, step, own["micros"], own["action"], state, new is not None)
         self.unit.update((*(state or (None, None, None, None)), step))
         self.timers(state)
 
@@ -96,8 +95,9 @@ def transitions(actions: DataFrame, minutes: int = 15, retries: int = 3, delay:
     actions: a stream of unit, at, seq, action, reason. Rows later than the
     delay are still taken, as state is kept by unit and not by window.
     """
-    watched = actions.select(F.col("unit").cast("string"), "at", F.col("seq").cast("long"), "action", "reason").withWatermark("at", delay)
-    return watched.groupBy("unit").transformWithState(Queue(minutes, retries), RESULT, "Append", "EventTime")
+    watched = actions.select(F.col("unit").cast("string"), "at", F.unix_micros("at").alias("micros"), F.col("seq").cast("long"), "action", "reason").withWatermark("at", delay)
+    moved = watched.groupBy("unit").transformWithState(Queue(minutes, retries), RESULT, "Append", "EventTime")
+    return moved.select("unit", "step", F.timestamp_micros("micros").alias("at"), "action", "status", "attempts", "changed", "reason")
 
 
 def latest_states(log: DataFrame) -> DataFrame:
