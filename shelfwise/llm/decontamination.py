@@ -26,7 +26,8 @@ from .shared import Sent, stored
 from .textops import ITEM_WORD, LOWER, U, Powers, slices, span_hashes, window_hashes, word_spans
 
 SIZE = 13
-BLOCK_BYTES = 64 << 20
+#: Bytes of benchmark text in a block; its windows take over a hundred times as much in the driver and in each Python worker.
+BLOCK_BYTES = 2 << 20
 #: A document is contaminated if 1 / RATIO of its words or more are hit.
 RATIO = 20
 RESULTS = ["n_words", "hit_runs", "items", "kept_text"]

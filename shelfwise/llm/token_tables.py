@@ -332,11 +332,16 @@ def shard_task(tokenizer_path: str, folder: str, end_id: int, width: int):
 def write_tables(docs: DataFrame, tokenizer_path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, width: int = 2, shards: int | None = None) -> list[tuple[int, str, int, int]]:
     """Writes shards in ascending key order; returns (part, path, documents, ids) of each, a row per shard.
 
-    width: bytes of an id, 2 for vocabularies of up to 65,536 ids.
+    width: bytes of an id, 2 for vocabularies of up to 65,536 ids; a vocabulary
+    that does not fit is refused. Documents of one identifier stand in the order
+    of a hash of their texts, so their places do not depend on the shuffle.
     """
+    ids = process_encoder(tokenizer_path).tokenizer.get_vocab_size()
+    if max(ids, end_id + 1) > 1 << 8 * width:
+        raise ValueError(f"{ids} ids do not fit in {width} bytes")
     file_system(folder)[0].create_dir(file_system(folder)[1], recursive=True)
     shards = shards or shuffle_parts(docs.sparkSession)
-    ordered = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).repartitionByRange(shards, F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first())
+    ordered = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).repartitionByRange(shards, F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), F.xxhash64("t"))
     manifest = ordered.mapInArrow(shard_task(tokenizer_path, folder, end_id, width), "part long, path string, docs long, ids long")
     return sorted((r.part, r.path, r.docs, r.ids) for r in manifest.collect())
 

@@ -253,3 +253,32 @@ def test_frequent_and_rare_signatures_give_the_same(spark, monkeypatch):
     often = reported(df)
     monkeypatch.setattr(turn_repair, "HOT_LENGTH", 0)
     assert reported(df) == often == plain_repair(rows)
+
+
+# 5, 8 --------------------------------------------------------------------------------------
+
+
+def test_token_tables_refuse_narrow_ids_and_order_ties(spark, tmp_path):
+    from shelfwise.llm import token_tables
+
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(30)] + [(0, "first")], "doc_id long, text string")
+    path = pieces_file("byte_bpe_50k.json")
+    with pytest.raises(ValueError, match="do not fit"):
+        token_tables.write_tables(docs, path, f"{tmp_path}/narrow", width=1)
+    one = token_tables.write_tables(docs.repartition(7), path, f"{tmp_path}/a", shards=2)
+    two = token_tables.write_tables(docs.orderBy("text", ascending=False).repartition(3), path, f"{tmp_path}/b", shards=2)
+    rows = lambda m: sorted(tuple(r) for r in token_tables.read_digests(spark, m).collect())
+    assert rows(one) == rows(two)
+
+
+def test_benchmark_blocks_stay_small():
+    import pickle
+
+    from shelfwise.llm import decontamination
+
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20_000)]
+    items = [(str(k), " ".join(rng.choice(words) for _ in range(100))) for k in range(1 << 20 >> 9)]
+    size = sum(len(t) for _, t in items)
+    assert 1 << 20 < size < 2 << 20 == decontamination.BLOCK_BYTES
+    assert len(pickle.dumps(decontamination.item_windows(items, 13))) < 100 << 20
