@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Consecutive observed absences after which a SKU is offline.
 OFFLINE_AFTER = 3
 
+#: Days of a calendar that is broadcast: over a century.
+MOST_DAYS = 40_000
+
 
 def reconcile(today: DataFrame, yesterday: DataFrame, known: DataFrame) -> DataFrame:
     """One row for each SKU of three keyed relations: presence today, yesterday, ever, and which sources hold it.
@@ -119,8 +122,12 @@ def merge_fields(base: DataFrame, observed: DataFrame, fields: list[str]) -> Dat
 def presence_history(members: DataFrame, days: DataFrame, facts: DataFrame) -> DataFrame:
     """(sku, day, presence): 1, 0 or null. days: (day, complete); an absence is 0 only on complete days.
 
-    days is a calendar and as small as one, so it is broadcast to the members.
+    days is a calendar: of up to MOST_DAYS days it is broadcast to the members,
+    a longer table is refused, as it is none.
     """
+    n_days = days.count()
+    if n_days > MOST_DAYS:
+        raise ValueError(f"{n_days} days; a calendar has at most {MOST_DAYS}")
     cells = members.select("sku").distinct().join(F.broadcast(days))
     return cells.join(facts.select("sku", "day", F.lit(1).alias("_p")).distinct(), ["sku", "day"], "left").select("sku", "day", F.coalesce("_p", F.when(F.col("complete"), 0)).alias("presence"))
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import entities, presence_history as ph, price_review
 from shelfwise.operators.stages import Ledger, Stage
+from shelfwise.operators.views import Views
 from shelfwise.plans.registry import query
 from shelfwise.sources.publish import Publication
-from shelfwise.sources.relations import dated, part_sku, table
+from shelfwise.sources.relations import catalog, dated, part_sku, table
 from shelfwise.sources.storage import shared_folder, written
 from shelfwise.streaming import queue
 
@@ -264,3 +265,18 @@ def published_pair(spark, sf_dir):
     pair.publish(counts, {"edition": "two"})
     rows, manifest = pair.read()
     return rows.withColumn("edition", F.lit(manifest["edition"]))
+
+
+@query("""SELECT (row_number() OVER (ORDER BY p_partkey::VARCHAR))::BIGINT AS ordinal, p_partkey::VARCHAR AS sku, 'cheap ones' AS selection, 1::BIGINT AS deliveries FROM part WHERE p_retailprice <= 1000""")
+def frozen_views(spark, sf_dir):
+    """A saved view, the selection frozen from it, its delivery in the log; the view is deleted and the selection stays."""
+    store = Views(spark, f"{shared_folder(spark)}/views-{uuid.uuid4().hex[:12]}")
+    query_ = {"max_price": 1000.0, "limit": 10}
+    view = store.create("cheap", query_)
+    rows = catalog(spark, sf_dir).withColumn("status", F.lit("CURRENT"))
+    chosen = store.select("cheap ones", rows, query_, view_id=view)
+    store.deliver("CSV", "out.csv", store.members(chosen).count(), None, chosen)
+    store.delete(view)
+    named = store.selections.read().where(F.col("view_id").isNull()).select("selection_id", F.col("name").alias("selection"))
+    sent = store.delivered(chosen).groupBy("selection_id").agg(F.count(F.lit(1)).alias("deliveries"))
+    return store.members(chosen).join(F.broadcast(named.join(sent, "selection_id"))).select("ordinal", "sku", "selection", "deliveries")

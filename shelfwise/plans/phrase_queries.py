@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfwise.functions import consistency
 from shelfwise.operators import audits, details, phrases, records
 from shelfwise.plans.registry import query
 from shelfwise.sources import pages
@@ -185,3 +186,38 @@ def verified_details(spark, sf_dir):
     html = F.concat(F.lit("<body><h1>x</h1><table><tr><th>Número del artículo:</th><td><b>"), number, F.lit("</b></td></tr><tr><th> Marca<td>"), "p_brand", F.lit(" &amp; "), "p_type", F.lit("</td></tr><tr><td>Tamaño</td>"), broken, F.lit("</tr></table>"))
     captured = table(spark, sf_dir, "part").select(part_sku(), html.alias("html"))
     return pages.verified_details(pages.page_facts(captured, ["sku"]), "sku", F.col("sku"))
+
+
+AMOUNTS_SQL = r"""[{'v': replace(p[1], ',', '.')::DOUBLE, 'u': p[2]} for p in list_zip(regexp_extract_all({0}, '(?i)(\d+(?:[.,]\d+)?)\s*(kg|g|cm|mm)\b', 1), list_transform(regexp_extract_all({0}, '(?i)(\d+(?:[.,]\d+)?)\s*(kg|g|cm|mm)\b', 2), lambda u: lower(u)))]"""
+
+
+def kinds_sql(field: str, kind: str, only_units: bool = False) -> str:
+    units = "'kg', 'g'" if kind == "mass" else "'cm', 'mm'"
+    shown = "x.u" if only_units else "x"
+    return f"list_sort(list_distinct(list_transform(list_filter({AMOUNTS_SQL.replace('{0}', field)}, lambda x: x.u IN ({units})), lambda x: {shown})))"
+
+
+def disputed_sql(only_units: bool) -> str:
+    each = [f"(len({kinds_sql('spec', k, only_units)}) > 0 AND len({kinds_sql(f, k, only_units)}) > 0 AND {kinds_sql('spec', k, only_units)} <> {kinds_sql(f, k, only_units)})" for k in ("mass", "length") for f in ("details", "description")]
+    return " OR ".join(each)
+
+
+MARCA = r"(?i)\bmarca\s*:\s*([^;\n,.]+)"
+STATED_SQL = r"len(list_distinct(list_transform(regexp_extract_all(concat_ws(chr(10), name, spec, description, details), '{0}', 1), lambda x: trim(lower(x))))) > 1"
+
+
+@query(rf"""WITH t AS (SELECT event_id, 'Vela; marca: M' || user_id % 3 AS name, user_id % 4 || ' kg / ' || user_id % 5 || ',5 cm' AS spec, 'Producto: ' || event_type || '. ' || event_id % 4 || ' KG' AS description,
+  'Material: ' || event_type || '; Marca: m' || event_id % 3 || '; Alto: ' || user_id % 5 || '.5 ' || CASE WHEN event_id % 2 = 0 THEN 'cm' ELSE 'mm' END || '; Alto: ' || event_id % 5 || ',5 cm; Tamaño: ' || event_id % 3 || '; Número del artículo: ' || event_id AS details FROM events),
+f AS (SELECT event_id, list_sort(list_filter([CASE WHEN {disputed_sql(False)} OR alike > 1 THEN 'NUMERIC_CONFLICT' END, CASE WHEN {disputed_sql(True)} THEN 'UNIT_CONFLICT' END, CASE WHEN {STATED_SQL.replace("{0}", MARCA)} THEN 'BRAND_CONFLICT' END], lambda x: x IS NOT NULL)) AS flags
+  FROM (SELECT *, len(list_distinct(list_transform(regexp_extract_all(details, '(?i)Alto: ([^;]+)', 1), lambda x: replace(lower(x), ',', '.')))) AS alike FROM t))
+SELECT event_id, array_to_string(flags, ',') AS flags, CASE WHEN event_id % 5 = 0 THEN 'DETAIL_SKU_MISMATCH,EMPTY_CAT1,EMPTY_CAT2' ELSE 'EMPTY_CAT1,EMPTY_CAT2' END AS issues FROM f""")
+def source_conflicts(spark, sf_dir):
+    """Fields of one product that state other amounts, units or brands, and issues of its details."""
+    event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    fields = {
+        "name": text("Vela; marca: M", user % 3), "spec": text(user % 4, " kg / ", user % 5, ",5 cm"), "description": text("Producto: ", kind, ". ", event % 4, " KG"),
+        "details": text("Material: ", kind, "; Marca: m", event % 3, "; Alto: ", user % 5, ".5 ", F.when(event % 2 == 0, "cm").otherwise("mm"), "; Alto: ", event % 5, ",5 cm; Tamaño: ", event % 3, "; Número del artículo: ", event),
+    }
+    sku = F.when(event % 5 == 0, F.lit("x")).otherwise(event.cast("string"))
+    return table(spark, sf_dir, "events").select("event_id", F.array_join(consistency.consistency_flags(fields), ",").alias("flags"), F.array_join(consistency.quality_issues(fields, sku), ",").alias("issues"))

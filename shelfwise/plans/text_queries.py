@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.texts import badges, collapse, distinct_details, fidelity_findings, has_markup, jaccard, join_badges, numbers
+from shelfwise.functions.texts import badges, collapse, distinct_details, fidelity_findings, has_markup, join_badges, numbers
 from shelfwise.plans.registry import query
 from shelfwise.sources.relations import table
 
@@ -62,14 +62,27 @@ p AS (SELECT a.item_id, c.item_id AS other, len(list_intersect(a.w, c.w)) / len(
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 6) DESC, other) AS n FROM p)
 SELECT item_id, other, round(s, 6) AS similarity FROM r WHERE n <= 3""")
 def similar_items(spark, sf_dir):
-    """Three most similar items by shared tokens; pairs come from an inverted index, not from a product."""
+    """Three most similar items by shared tokens."""
     items = table(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(tokens(F.col("text"))).alias("w"))
-    index = items.select("item_id", F.explode("w").alias("t"))
-    pairs = index.alias("a").join(index.alias("b"), (F.col("a.t") == F.col("b.t")) & (F.col("a.item_id") != F.col("b.item_id"))).select(F.col("a.item_id").alias("item_id"), F.col("b.item_id").alias("other")).distinct()
-    scored = pairs.join(items, "item_id").join(items.select(F.col("item_id").alias("other"), F.col("w").alias("v")), "other")
-    scored = scored.select("item_id", "other", F.round(jaccard(F.col("w"), F.col("v")), 6).alias("similarity"))
-    ranked = scored.withColumn("n", F.row_number().over(Window.partitionBy("item_id").orderBy(F.col("similarity").desc(), "other")))
-    return ranked.where("n <= 3").select("item_id", "other", "similarity")
+    return most_similar(items, 3)
+
+
+def most_similar(items, best: int, newest: int | None = None):
+    """(item_id, other, similarity) of each item's most similar others by shared tokens (column w), of equals the first.
+
+    Shared tokens are counted where an item's tokens meet the others' index, so
+    sets do not travel with pairs. A token that all items have still pairs all of
+    them: newest bounds the candidates to so many of the largest identifiers, as
+    a review of changed items asks for, and each item then meets that many.
+    """
+    sized = items.select("item_id", "w", F.size("w").alias("n"))
+    others = sized if newest is None else sized.orderBy(F.desc("item_id")).limit(newest)
+    asked = sized.select("item_id", F.col("n").alias("_n"), F.explode("w").alias("t"))
+    index = others.select(F.col("item_id").alias("other"), F.col("n").alias("_m"), F.explode("w").alias("t"))
+    shared = asked.join(index, "t").where("item_id <> other").groupBy("item_id", "other", "_n", "_m").agg(F.count(F.lit(1)).alias("_s"))
+    similarity = F.round(F.col("_s") / (F.col("_n") + F.col("_m") - F.col("_s")), 6)
+    ranked = shared.select("item_id", "other", similarity.alias("similarity")).withColumn("k", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("similarity"), "other")))
+    return ranked.where(F.col("k") <= best).drop("k")
 
 
 @query(r"""SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"]*)"', 1)) AS target FROM pages""")

@@ -35,8 +35,9 @@ def once_per_key(rows: DataFrame, key: str, lateness: str = LATENESS) -> DataFra
 def lifecycle_stream(cells: DataFrame, threshold: int = 3) -> DataFrame:
     """(sku, day, classification) from a stream of (sku, day, present), days of a SKU in order.
 
-    State per SKU: last day, whether seen, absences. A day at or before the last
-    one is a replay and changes nothing.
+    State per SKU: last day, whether seen, absences. The last day again is a
+    replay and gives no row; a day before it is LATE, says so in a row of its
+    own and changes nothing, as the days after it are decided.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -45,6 +46,8 @@ def lifecycle_stream(cells: DataFrame, threshold: int = 3) -> DataFrame:
         out = []
         for day, present in zip(rows["day"].tolist(), rows["present"].tolist()):
             if day <= last:
+                if day < last:
+                    out.append((key[0], day, "LATE"))
                 continue
             last = day
             if present:
