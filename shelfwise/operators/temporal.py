@@ -135,3 +135,23 @@ def presence_history(members: DataFrame, days: DataFrame, facts: DataFrame) -> D
 def presence_matrix(history: DataFrame, days: list[str]) -> DataFrame:
     """Wide form for export: one column for each named day."""
     return history.withColumn("day", F.col("day").cast("string")).groupBy("sku").pivot("day", days).agg(F.max("presence"))
+
+
+def valid_absences(rows: DataFrame, coverage: DataFrame, before: DataFrame, known: DataFrame, sitemap_valid: bool) -> DataFrame:
+    """rows (sku, present, …) with absence_valid and presence_state: an absence counts with a valid sitemap or whole coverage of the SKU's own category, else it is UNKNOWN.
+
+    coverage: (category, complete) of the day, of which any complete row is enough;
+    before, known: (sku, category), the former first. Categories are compared
+    without case and outer spaces; a SKU without one has no covered category.
+    """
+    label = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    last = before.select(F.col("sku").alias("_b"), label(F.col("category")).alias("_bc"))
+    ever = known.select(F.col("sku").alias("_k"), label(F.col("category")).alias("_kc"))
+    own = rows.join(last, F.col("sku") == F.col("_b"), "left").join(ever, F.col("sku") == F.col("_k"), "left")
+    # the record of the day before decides where there is one, even if its category is blank
+    own = own.withColumn("_category", F.when(F.col("_b").isNotNull(), F.col("_bc")).otherwise(F.coalesce("_kc", F.lit(""))))
+    whole = coverage.groupBy(label(F.col("category")).alias("_label")).agg(F.bool_or("complete").alias("_complete")).where("_label <> ''")
+    joined = own.join(whole, F.col("_category") == F.col("_label"), "left")
+    valid = F.lit(sitemap_valid) | F.coalesce("_complete", F.lit(False))
+    state = F.when(F.col("present"), "PRESENT").when(valid, "ABSENT").otherwise("UNKNOWN")
+    return joined.select(*rows.columns, valid.alias("absence_valid"), state.alias("presence_state"))

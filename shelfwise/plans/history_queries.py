@@ -267,11 +267,11 @@ def published_pair(spark, sf_dir):
     return rows.withColumn("edition", F.lit(manifest["edition"]))
 
 
-@query("""SELECT (row_number() OVER (ORDER BY p_partkey::VARCHAR))::BIGINT AS ordinal, p_partkey::VARCHAR AS sku, 'cheap ones' AS selection, 1::BIGINT AS deliveries FROM part WHERE p_retailprice <= 1000""")
+@query("""SELECT (row_number() OVER (ORDER BY p_partkey::VARCHAR))::BIGINT AS ordinal, p_partkey::VARCHAR AS sku, 'cheap ones' AS selection, 1::BIGINT AS deliveries FROM part WHERE p_retailprice <= 950""")
 def frozen_views(spark, sf_dir):
     """A saved view, the selection frozen from it, its delivery in the log; the view is deleted and the selection stays."""
     store = Views(spark, f"{shared_folder(spark)}/views-{uuid.uuid4().hex[:12]}")
-    query_ = {"max_price": 1000.0, "limit": 10}
+    query_ = {"max_price": 950.0, "limit": 10}
     view = store.create("cheap", query_)
     rows = catalog(spark, sf_dir).withColumn("status", F.lit("CURRENT"))
     chosen = store.select("cheap ones", rows, query_, view_id=view)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.functions.prices import merge_observed
-from shelfwise.operators.temporal import change_events, lifecycle_events, merge_fields, observations, presence_history, reconcile, replay, state_of, step
+from shelfwise.operators.temporal import change_events, lifecycle_events, merge_fields, observations, presence_history, reconcile, replay, state_of, step, valid_absences
 from shelfwise.operators.upserts import counts_of
 from shelfwise.operators.windows import first
 from shelfwise.plans.registry import query
@@ -153,3 +153,20 @@ def day_summary(spark, sf_dir):
     day = replayed(spark, sf_dir).where(F.col("day") == F.lit(TODAY).cast("date"))
     kind = F.col("classification")
     return counts_of(day, {"new": kind == "NEW", "reappeared": kind == "REAPPEARED", "offline": kind == "OFFLINE", "missing": F.col("status") == "MISSING", "present": F.col("present")})
+
+
+@query("""WITH r AS (SELECT p_partkey::VARCHAR AS sku, p_size % 2 = 0 AS present FROM part), b AS (SELECT p_partkey::VARCHAR AS sku, CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE ' ' || upper(p_type) END AS category FROM part WHERE p_partkey % 3 = 0),
+k AS (SELECT p_partkey::VARCHAR AS sku, p_brand AS category FROM part WHERE p_partkey % 5 <> 0), c AS (SELECT lower(p_type) AS category, bool_or(p_size = 50) AS complete FROM part GROUP BY p_type UNION ALL SELECT p_brand || ' ', bool_and(p_partkey % 11 <> 0) FROM part GROUP BY p_brand UNION ALL SELECT '', true),
+o AS (SELECT r.*, lower(trim(CASE WHEN b.sku IS NOT NULL THEN b.category ELSE coalesce(k.category, '') END)) AS category FROM r LEFT JOIN b USING (sku) LEFT JOIN k USING (sku)),
+v AS (SELECT sku, present, category <> '' AND EXISTS (SELECT 1 FROM c WHERE lower(trim(c.category)) = o.category AND c.complete) AS absence_valid FROM o)
+SELECT sku, present, absence_valid, CASE WHEN present THEN 'PRESENT' WHEN absence_valid THEN 'ABSENT' ELSE 'UNKNOWN' END AS presence_state FROM v""")
+def absence_states(spark, sf_dir):
+    """Absences by the coverage of each SKU's own category, after yesterday's record or any older one."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    sku = key.cast("string").alias("sku")
+    before = part.where(key % 3 == 0).select(sku, F.when(key % 7 == 0, " ").otherwise(F.concat(F.lit(" "), F.upper("p_type"))).alias("category"))
+    known = part.where(key % 5 != 0).select(sku, F.col("p_brand").alias("category"))
+    by_type = part.groupBy(F.lower("p_type").alias("category")).agg(F.bool_or(F.col("p_size") == 50).alias("complete"))
+    by_brand = part.groupBy(F.concat("p_brand", F.lit(" ")).alias("category")).agg(F.bool_and(key % 11 != 0).alias("complete"))
+    coverage = by_type.union(by_brand).union(spark.range(1).select(F.lit("").alias("category"), F.lit(True).alias("complete")))
+    return valid_absences(part.select(sku, (F.col("p_size") % 2 == 0).alias("present")), coverage, before, known, False)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions import residue
 from shelfwise.functions.texts import badges, collapse, distinct_details, fidelity_findings, has_markup, join_badges, numbers
 from shelfwise.plans.registry import query
 from shelfwise.sources.relations import table
@@ -122,3 +123,43 @@ def conversation_profile(spark, sf_dir):
 def gold_evaluation(spark, sf_dir):
     joined = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "doc_id")
     return joined.groupBy("quality", "toxic", "lang").agg(F.count(F.lit(1)).alias("n"), F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest"))
+
+
+def term_profiles(rows, known, least: int = 2, samples: int = 3):
+    """(term, occurrences, skus, categories, samples) of the terms of at least so many SKUs that a dictionary lacks.
+
+    rows: sku, category, text. A term counts once for each text and place; its
+    categories are 'name=count', sorted; its samples are the least texts that
+    hold it, kept as a bounded list in every step. known: term.
+    """
+    texts = rows.groupBy("sku", "category", "text").agg(F.count(F.lit(1)).alias("k"))
+    each = texts.select("sku", "category", "text", "k", F.explode(tokens(F.col("text"))).alias("term")).groupBy("term", "sku", "category", "text").agg((F.count(F.lit(1)) * F.first("k")).alias("n"))
+    new = each.join(known.select(F.lower("term").alias("term")).distinct(), "term", "left_anti")
+    by_category = new.groupBy("term", F.coalesce("category", F.lit("")).alias("category")).agg(F.sum("n").alias("n"))
+    shares = by_category.groupBy("term").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "category", F.col("n").cast("string")))), ",").alias("categories"), F.sum("n").alias("occurrences"))
+    counted = new.groupBy("term", "sku").agg(F.lit(1).alias("one")).groupBy("term").agg(F.sum("one").alias("skus")).where(F.col("skus") >= least)
+    first = new.select("term", "text").distinct().withColumn("k", F.row_number().over(Window.partitionBy("term").orderBy("text"))).where(F.col("k") <= samples)
+    shown = first.groupBy("term").agg(F.array_join(F.array_sort(F.collect_list("text")), " || ").alias("samples"))
+    return counted.join(shares, "term").join(shown, "term").select("term", "occurrences", "skus", "categories", "samples")
+
+
+@query(f"""WITH r AS (SELECT DISTINCT p_partkey AS sku, p_type AS category, t FROM (SELECT p_partkey, p_type, unnest([p_name, p_brand || ' ' || p_name]) AS t FROM part)),
+e AS (SELECT sku, category, t, unnest({TOKENS.format("t")}) AS term FROM r), k AS (SELECT * FROM e WHERE term NOT IN (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) FROM part WHERE p_partkey % 50 = 0)),
+c AS (SELECT term, category, count(*) AS n FROM k GROUP BY ALL), s AS (SELECT term, t, row_number() OVER (PARTITION BY term ORDER BY t) AS n FROM (SELECT DISTINCT term, t FROM k))
+SELECT term, sum(n)::BIGINT AS occurrences, (SELECT count(DISTINCT sku) FROM k WHERE k.term = c.term) AS skus, string_agg(category || '=' || n, ',' ORDER BY category || '=' || n) AS categories, (SELECT string_agg(t, ' || ' ORDER BY t) FROM s WHERE s.term = c.term AND s.n <= 3) AS samples FROM c GROUP BY term
+HAVING (SELECT count(DISTINCT sku) FROM k WHERE k.term = c.term) >= 2""")
+def profiled_terms(spark, sf_dir):
+    """Terms that the dictionary lacks, with their categories and samples."""
+    part = table(spark, sf_dir, "part")
+    rows = part.select(F.col("p_partkey").alias("sku"), F.col("p_type").alias("category"), F.explode(F.array("p_name", F.concat_ws(" ", "p_brand", "p_name"))).alias("text"))
+    return term_profiles(rows, part.where("p_partkey % 50 = 0").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("term")))
+
+
+@query(r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(t, '(?i)https?://[^\s;；]+', '', 'g'), '([A-Za-zÁÉÍÓÚÜÑáéíóúüñ]+)', 1)) AS w FROM t),
+l AS (SELECT doc_id, count(*) AS n FROM w WHERE w NOT IN ('que') AND lower(w) NOT IN ('que', 'the') AND NOT regexp_matches(w, '^(?:USB(?:-[A-Z])?|LED|LCD|DIY|FSC|E27|A\d+|D\d+|XL?|[A-Z]{1,6}\d{2,}[A-Z0-9-]*|[A-Z]{2,6}|\d+(?:mg|mcg|mAh|V|W|D))$')
+  AND (length(w) > 2 OR lower(w) IN ('de', 'la', 'el', 'un', 'y', 'en', 'o')) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(l.n, 0)::BIGINT AS ordinary, NOT regexp_matches(t, '[㐀-鿿]') AND (regexp_matches(lower(t), '[áéíóúüñ]') OR regexp_matches(' ' || lower(t) || ' ', '[^\p{L}\p{N}_](de|del|la|el|los|las|para|con|sin|una|uno|un|y|en|por|más|color|colores|tamaño|unidades|piezas|pack|set)[^\p{L}\p{N}_]')) AS untranslated FROM t LEFT JOIN l USING (doc_id)""")
+def language_residue(spark, sf_dir):
+    """Words of whole documents that neither an allow-list nor a technical form explains."""
+    words = residue.ordinary_words(F.col("text"), F.array(F.lit("que"), F.lit("The")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(words).cast("long").alias("ordinary"), residue.is_untranslated(F.col("text")).alias("untranslated"))

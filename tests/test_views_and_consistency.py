@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.functions import consistency
+from shelfwise.functions import consistency, residue
 from shelfwise.operators import temporal
 from shelfwise.operators.commits import CommitConflict
 from shelfwise.operators.views import Views, members_digest
@@ -111,3 +111,26 @@ def test_candidates_can_be_bounded_and_calendars_are(spark, monkeypatch):
     days = spark.createDataFrame([(d, True) for d in ("a", "b", "c")], "day string, complete boolean")
     with pytest.raises(ValueError, match="calendar"):
         temporal.presence_history(days.select(F.col("day").alias("sku")), days, days.select("day", F.col("day").alias("sku")))
+
+
+def one(spark, text, column):
+    return spark.createDataFrame([(text,)], "x string").select(column(F.col("x"))).first()[0]
+
+
+def test_words_left_of_the_source(spark):
+    brands = F.array(F.lit("Philips"))
+    words = lambda t: one(spark, t, lambda c: residue.ordinary_words(c, brands))
+    assert words("LED USB-C Philips XL 灯 https://shop.example/lamp x") == [] and words("红色 lámpara de LED A4") == ["lámpara", "de"] and words(None) == []
+    kinds = spark.createDataFrame([("Philips",), ("E27",), ("AB-1X",), ("vela",), ("W5000",)], "x string").select(residue.latin_class(F.col("x"), brands)).collect()
+    assert [r[0] for r in kinds] == ["BRAND_TOKEN", "TECH_TOKEN", "MODEL_TOKEN", "ORDINARY_WORD", "TECH_TOKEN"]
+    left = [(t, one(spark, t, residue.is_untranslated)) for t in ("", "Philips W5", "lámpara", "灯 lámpara", "pack 3", "empacado", "Juego DE té")]
+    assert [t for t, bad in left if bad] == ["lámpara", "pack 3", "Juego DE té"]
+    assert one(spark, " a\u00a0\tb\n\n××  c ", residue.target_text) == "a b × c"
+
+
+def test_numbers_in_digits_words_and_signs(spark):
+    numbers = lambda t: one(spark, t, residue.number_multiset)
+    assert numbers("3 x 2,50 cm, 007 y 10.0") == ["10", "2.5", "3", "7"]
+    assert numbers("dos piezas y tres pequeñas cajas; treinta y cinco rollos; cuatro amigos; 3D") == ["2", "3"]
+    assert numbers("三合一 两件 五金 一种 三种 3/四 内裤/三角裤") == ["1", "2", "3", "3", "3", "4"]
+    assert numbers(None) == [] and numbers("ciento dos piezas") == []
