@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.operators.quality import baselines, coverage, gate, long_form
+from shelfwise.operators.quality import COLLECTION_RULES, DRIFT_RULES, baselines, coverage, gate, gate_states, long_form, rule_findings, run_metrics
 from shelfwise.operators.upserts import insert_ignore, keyed_difference, orphans, rule_union, unique_violations, upsert
 from shelfwise.plans.registry import query
 from shelfwise.sources.relations import dated, table
@@ -113,3 +113,52 @@ def queue_claim(spark, sf_dir):
 def symmetric_difference(spark, sf_dir):
     a, b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 20).alias("k"))
     return a.union(b).distinct().exceptAll(a.intersect(b))
+
+
+def rules_sql() -> str:
+    return ", ".join(f"({k}, '{m}', '{kind}', {limit}, '{level}', '{code}')" for k, (m, kind, limit, level, code) in enumerate(COLLECTION_RULES + DRIFT_RULES))
+
+
+LISTED = f"""listed AS (SELECT ts::DATE AS day, user_id AS sku, CASE WHEN event_type <> 'error' AND day(ts) % 4 <> 0 OR value > 30 THEN value END AS price, CASE event_type WHEN 'purchase' THEN value WHEN 'click' THEN value + CASE WHEN day(ts) % 8 = 0 THEN 0 ELSE 1 END END AS original,
+  CASE WHEN user_id % 9 = 0 THEN ' ' ELSE 'c' || user_id % 5 END AS cat1, CASE WHEN day(ts) % 6 = 0 AND event_type = 'view' THEN NULL ELSE event_type END AS cat2, CASE WHEN event_id % 400 = 0 THEN 'Leer más' ELSE 's' END AS spec,
+  CASE WHEN day(ts) % 5 = 0 AND value > 30 THEN '' WHEN event_id % 300 = 0 THEN 'd <b>' ELSE 'd' END AS description, props AS details FROM events WHERE day(ts) % 7 <> 3 OR user_id % 3 = 0),
+wide AS (SELECT day, count(DISTINCT sku)::DOUBLE AS listing_unique, (count(DISTINCT sku) FILTER (price > 0))::DOUBLE AS current_valid, (count(*) - count(DISTINCT sku)) / count(*) AS duplicate_rate, count(*) FILTER (price > 0) / count(*) AS price_coverage,
+  count(*) FILTER (trim(cat1) <> '') / count(*) AS cat1_coverage, count(*) FILTER (trim(cat2) <> '') / count(*) AS cat2_coverage, count(*) FILTER (trim(spec) <> '') / count(*) AS spec_coverage, count(*) FILTER (trim(description) <> '') / count(*) AS description_coverage, count(*) FILTER (trim(details) <> '') / count(*) AS details_coverage,
+  count(*) FILTER (price = original) / nullif(count(*) FILTER (price IS NOT NULL AND original IS NOT NULL), 0) AS original_price_equals_current_ratio, count(*) FILTER (spec = 'Leer más') / count(*) AS ui_contamination_rate, count(*) FILTER (description = 'd <b>') / count(*) AS html_contamination_rate,
+  (count(DISTINCT cat1) FILTER (trim(cat1) <> ''))::DOUBLE AS successful_category_count FROM listed GROUP BY day),
+metrics AS (SELECT day, metric, value FROM wide UNPIVOT INCLUDE NULLS (value FOR metric IN (COLUMNS(* EXCLUDE (day))))),
+based AS (SELECT a.day, a.metric, a.value, median(b.value) AS base FROM metrics a LEFT JOIN metrics b ON b.metric = a.metric AND b.day < a.day AND b.day >= a.day - 7 GROUP BY ALL),
+rules AS (SELECT * FROM (VALUES {rules_sql()}) r(ord, metric, kind, lim, level, code)),
+measured AS (SELECT b.*, r.* EXCLUDE (metric), CASE kind WHEN 'DROP_PERCENT' THEN CASE WHEN base > 0 THEN 100 * (base - value) / base END WHEN 'DROP_POINTS' THEN CASE WHEN abs(value) <= 1 AND abs(base) <= 1 THEN 100 * (base - value) ELSE base - value END ELSE value END AS measure FROM based b JOIN rules r ON r.metric = b.metric),
+findings AS (SELECT day, metric, code, level, value, base, round(measure, 6) AS measure FROM measured WHERE round(measure, 6) IS NOT NULL AND CASE kind WHEN 'BELOW' THEN measure < lim WHEN 'ABOVE' THEN measure > lim ELSE measure >= lim END QUALIFY row_number() OVER (PARTITION BY day, metric, code ORDER BY ord) = 1)"""
+
+
+def listed_metrics(spark, sf_dir):
+    """Daily metrics of a listing made of events, with days on which prices, categories, texts or whole products are missing."""
+    kind, value, number = F.col("event_type"), F.col("value"), F.dayofmonth("ts")
+    rows = table(spark, sf_dir, "events").where((number % 7 != 3) | (F.col("user_id") % 3 == 0)).select(
+        F.to_date("ts").alias("day"), F.col("user_id").alias("sku"), F.when(((kind != "error") & (number % 4 != 0)) | (value > 30), value).alias("price"),
+        F.when(kind == "purchase", value).when(kind == "click", value + F.when(number % 8 == 0, 0).otherwise(1)).alias("original_price"), F.when(F.col("user_id") % 9 == 0, " ").otherwise(F.concat(F.lit("c"), (F.col("user_id") % 5).cast("string"))).alias("cat1"),
+        F.when(~((number % 6 == 0) & (kind == "view")), kind).alias("cat2"), F.when(F.col("event_id") % 400 == 0, "Leer más").otherwise("s").alias("spec"),
+        F.when((number % 5 == 0) & (value > 30), "").when(F.col("event_id") % 300 == 0, "d <b>").otherwise("d").alias("description"), F.col("props").alias("details"),
+    )
+    return run_metrics(rows, ["day"])
+
+
+@query(f"WITH {LISTED} SELECT day::VARCHAR AS day, metric, round(value, 9) AS value FROM metrics")
+def run_metric_rows(spark, sf_dir):
+    """Thirteen metrics of each day's rows in one aggregate."""
+    return dated(listed_metrics(spark, sf_dir).withColumn("value", F.round("value", 9)))
+
+
+@query(f"WITH {LISTED} SELECT day::VARCHAR AS day, metric, code, level, round(value, 9) AS value, round(base, 9) AS base, measure FROM findings")
+def collection_findings(spark, sf_dir):
+    """Drops, low and high values by tables of rules over the metrics and their seven-day medians."""
+    found = rule_findings(baselines(listed_metrics(spark, sf_dir)), ["day"], COLLECTION_RULES + DRIFT_RULES)
+    return dated(found.withColumns({"value": F.round("value", 9), "base": F.round("base", 9)}))
+
+
+@query(f"WITH {LISTED}, w AS (SELECT day, bool_or(level = 'BLOCK') AS b FROM findings WHERE level <> 'HIGH' GROUP BY day) SELECT m.day::VARCHAR AS day, CASE WHEN b THEN 'COLLECTION_BLOCKED' WHEN b IS NOT NULL THEN 'COLLECTION_WARN' ELSE 'COLLECTION_OK' END AS state FROM wide m LEFT JOIN w ON w.day = m.day")
+def collection_states(spark, sf_dir):
+    metrics = listed_metrics(spark, sf_dir)
+    return dated(gate_states(rule_findings(baselines(metrics), ["day"], COLLECTION_RULES), ["day"], metrics))

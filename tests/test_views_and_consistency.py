@@ -134,3 +134,25 @@ def test_numbers_in_digits_words_and_signs(spark):
     assert numbers("dos piezas y tres pequeñas cajas; treinta y cinco rollos; cuatro amigos; 3D") == ["2", "3"]
     assert numbers("三合一 两件 五金 一种 三种 3/四 内裤/三角裤") == ["1", "2", "3", "3", "3", "4"]
     assert numbers(None) == [] and numbers("ciento dos piezas") == []
+
+
+def test_rules_over_metrics_at_their_borders(spark):
+    from shelfwise.operators import quality as q
+
+    rows = [("a", "m", 85.0, 100.0), ("b", "m", 85.01, 100.0), ("c", "m", 92.1, 100.0), ("d", "m", 1.0, None), ("e", "m", None, 100.0), ("f", "m", 5.0, 0.0), ("g", "share", 0.8, 0.9), ("h", "share", 0.81, 0.9), ("i", "low", 0.98, None), ("j", "low", 0.97, None), ("k", "high", 0.0, None), ("l", "high", 0.1, None), ("n", "least", 0.9, None)]
+    rules = (("m", "DROP_PERCENT", 15.0, "BLOCK", "M"), ("m", "DROP_PERCENT", 8.0, "WARN", "M"), ("share", "DROP_POINTS", 10.0, "HIGH", "S"), ("low", "BELOW", 0.98, "REVIEW", "L"), ("high", "ABOVE", 0.0, "HIGH", "H"), ("least", "AT_LEAST", 0.9, "HIGH", "E"))
+    values = spark.createDataFrame(rows, "run string, metric string, value double, median_7 double")
+    found = q.rule_findings(values, ["run"], rules)
+    assert {(r["run"], r["code"], r["level"]) for r in found.collect()} == {("a", "M", "BLOCK"), ("b", "M", "WARN"), ("g", "S", "HIGH"), ("j", "L", "REVIEW"), ("l", "H", "HIGH"), ("n", "E", "HIGH")}
+    states = {r["run"]: r["state"] for r in q.gate_states(found, ["run"], values).collect()}
+    assert states["a"] == "COLLECTION_BLOCKED" and states["b"] == "COLLECTION_WARN" and states["c"] == "COLLECTION_OK"
+
+
+def test_absences_count_by_the_category_of_yesterday(spark):
+    rows = spark.createDataFrame([(s, False) for s in "abcde"] + [("p", True)], "sku string, present boolean")
+    cover = spark.createDataFrame([(" Toys", True), ("toys ", False), ("Food", False), ("", True), (None, True)], "category string, complete boolean")
+    before = spark.createDataFrame([("a", "TOYS"), ("b", "Food"), ("c", " "), ("p", "Food")], "sku string, category string")
+    known = spark.createDataFrame([("b", "Toys"), ("c", "Toys"), ("d", "toys")], "sku string, category string")
+    states = lambda valid: {r["sku"]: r["presence_state"] for r in temporal.valid_absences(rows, cover, before, known, valid).collect()}
+    assert states(False) == {"a": "ABSENT", "b": "UNKNOWN", "c": "UNKNOWN", "d": "ABSENT", "e": "UNKNOWN", "p": "PRESENT"}
+    assert set(states(True).values()) == {"ABSENT", "PRESENT"}
