@@ -80,7 +80,8 @@ def rule_findings(values: DataFrame, keys: list[str], rules: tuple[tuple, ...],
 
     values: keys, metric, value and the base. Kinds: DROP_PERCENT against the
     base, DROP_POINTS in points of a share (shares are up to 1 in size), BELOW,
-    ABOVE and AT_LEAST the limit itself. A missing value or base breaks nothing.
+    ABOVE and AT_LEAST the limit itself. A missing value or base breaks nothing;
+    differences are compared as doubles, not rounded.
     """
     table = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.lit(m).alias("_metric"), F.lit(kind).alias("kind"), F.lit(float(limit)).alias("limit"), F.lit(level).alias("level"), F.lit(code).alias("code")) for k, (m, kind, limit, level, code) in enumerate(rules)]))
     asked = values.withColumn("_r", table).where("metric = _r._metric")

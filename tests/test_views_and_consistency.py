@@ -139,7 +139,7 @@ def test_numbers_in_digits_words_and_signs(spark):
 def test_rules_over_metrics_at_their_borders(spark):
     from shelfwise.operators import quality as q
 
-    rows = [("a", "m", 85.0, 100.0), ("b", "m", 85.01, 100.0), ("c", "m", 92.1, 100.0), ("d", "m", 1.0, None), ("e", "m", None, 100.0), ("f", "m", 5.0, 0.0), ("g", "share", 0.8, 0.9), ("h", "share", 0.81, 0.9), ("i", "low", 0.98, None), ("j", "low", 0.97, None), ("k", "high", 0.0, None), ("l", "high", 0.1, None), ("n", "least", 0.9, None)]
+    rows = [("a", "m", 85.0, 100.0), ("b", "m", 85.01, 100.0), ("c", "m", 92.1, 100.0), ("d", "m", 1.0, None), ("e", "m", None, 100.0), ("f", "m", 5.0, 0.0), ("g", "share", 0.5, 0.625), ("h", "share", 0.5625, 0.625), ("i", "low", 0.98, None), ("j", "low", 0.97, None), ("k", "high", 0.0, None), ("l", "high", 0.1, None), ("n", "least", 0.9, None)]
     rules = (("m", "DROP_PERCENT", 15.0, "BLOCK", "M"), ("m", "DROP_PERCENT", 8.0, "WARN", "M"), ("share", "DROP_POINTS", 10.0, "HIGH", "S"), ("low", "BELOW", 0.98, "REVIEW", "L"), ("high", "ABOVE", 0.0, "HIGH", "H"), ("least", "AT_LEAST", 0.9, "HIGH", "E"))
     values = spark.createDataFrame(rows, "run string, metric string, value double, median_7 double")
     found = q.rule_findings(values, ["run"], rules)
