@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.sources.storage import written
+
 BLOCK_BYTES = 2 << 20
 
 
@@ -104,7 +106,8 @@ def semantic_facts(rows: DataFrame, dictionary: DataFrame, key: str, fields: lis
     phrases = named.select("phrase") if shields is None else named.select("phrase").union(shields.select("phrase")).union(shields.select("shield"))
     places = spans(cells, phrases, [key, "field"])
     if shields is not None:
-        places = unshielded(places, shields, [key, "field"])
+        # read three times: by phrases, by shields and by what they hide
+        places = unshielded(written(places, "places"), shields, [key, "field"])
     counted = places.groupBy(key, "field", "phrase").agg(F.count(F.lit(1)).alias("places"))
     meanings = named.groupBy("phrase", "type", "value").agg(F.min("provenance").alias("provenance"))
     return counted.join(meanings, "phrase").select(key, "field", "type", F.col("phrase").alias("term"), "value", "provenance", "places")
@@ -144,9 +147,11 @@ def gate(rows: DataFrame, rules: DataFrame, key: str, scope: str, text: str, exc
     made for (sha256) alone. Verdicts: PASS, FAIL, EXCEPTED, STALE_EXCEPTION (a
     failure with an exception for another text).
     """
-    named = rows.select(F.col(key), F.col(scope).alias("_scope"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    texts = rows.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # texts stay with the scan: what meets rules and exceptions is a hash
+    named = rows.select(F.col(key), F.col(scope).alias("_scope"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("_hash"))
     low = rules.select("rule", F.col("scope").alias("_r_scope"), "kind", F.lower(F.trim("phrase")).alias("phrase"), F.lower(F.trim("other")).alias("other"))
-    places = spans(named, low.select("phrase").union(low.select(F.col("other"))), [key], "_text").groupBy(key, "phrase").agg(F.min("first").alias("at"))
+    places = spans(texts, low.select("phrase").union(low.select(F.col("other"))), [key], "_text").groupBy(key, "phrase").agg(F.min("first").alias("at"))
     stands = places.groupBy(F.col(key).alias("_key")).agg(F.map_from_entries(F.collect_list(F.struct("phrase", "at"))).alias("_at"))
     # rules are one policy, a row for each: cells of rows and the rules of their scope
     scoped = low.where("_r_scope IS NOT NULL").groupBy("_r_scope").agg(F.collect_list(F.struct("rule", "kind", "phrase", "other")).alias("_own"))
@@ -160,7 +165,7 @@ def gate(rows: DataFrame, rules: DataFrame, key: str, scope: str, text: str, exc
         F.when(kind == "REQUIRED", here.isNull()).when(kind == "FORBIDDEN", here.isNotNull())
         .when(kind == "ORDER", here.isNotNull() & other.isNotNull() & (here > other)).when(kind == "CONTEXT", here.isNotNull() & other.isNull())
     )
-    found = each.select(F.col(key), F.col("_rule.rule").alias("rule"), kind.alias("kind"), F.sha2(F.col("_text").cast("binary"), 256).alias("_hash"), F.coalesce(broken, F.lit(False)).alias("_broken"))
+    found = each.select(F.col(key), F.col("_rule.rule").alias("rule"), kind.alias("kind"), "_hash", F.coalesce(broken, F.lit(False)).alias("_broken"))
     if exceptions is None:
         return found.select(key, "rule", "kind", F.when(F.col("_broken"), "FAIL").otherwise("PASS").alias("verdict"))
     held = exceptions.groupBy(F.col(key).alias("_e_key"), F.col("rule").alias("_e_rule")).agg(F.collect_set("text_hash").alias("_hashes"))
