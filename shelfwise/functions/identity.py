@@ -36,3 +36,19 @@ def hash_split(group: Column, ratio: float) -> Column:
 
 def sku_of_url(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, r"/p/(\d+)/", 1), F.lit(""))
+
+
+#: fixed values: the facts whose change is a change of a product's content, in the order in which they are hashed
+FACT_FIELDS = ("name_es", "cat1_es", "cat2_es", "spec_es", "desc_es", "details_es", "product_url", "image_url")
+
+
+def fact_hash(fields: dict[str, Column]) -> Column:
+    """Hash of a product's facts; neither prices nor renderings belong to them, and an absent fact is not an empty one."""
+    bare = lambda c: F.regexp_replace(c.cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return multipart_hash(*[bare(fields[f]) if f in fields else F.lit(None).cast("string") for f in FACT_FIELDS])
+
+
+def persisted_hash(value: Column) -> Column:
+    """A stored hash as it is; blank, none, null, nan and n/a are no hash."""
+    text = F.trim(value)
+    return F.when(~F.lower(text).isin("", "none", "null", "nan", "n/a"), text)

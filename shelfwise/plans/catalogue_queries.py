@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.functions.identity import hash_split, multipart_hash, normal_hash, short_id, value_hash
+from shelfwise.functions.identity import fact_hash, hash_split, multipart_hash, normal_hash, short_id, value_hash, persisted_hash
 from shelfwise.functions.prices import discount, is_anomaly, parse_discount, parse_price
 from shelfwise.operators.catalogue import CatalogueQuery, matched, natural_order, page, selection, with_price_facts
 from shelfwise.operators.windows import keep_latest, latest, top_rank
@@ -156,3 +156,16 @@ def segment_profile(spark, sf_dir):
     joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     joined = joined.join(table(spark, sf_dir, "region").where("r_name = 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey"))
     return joined.groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"), F.countDistinct("c_custkey").alias("kinds"))
+
+
+@query("""WITH f AS (SELECT p_partkey, [' ' || p_name || chr(9), p_type, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_brand END, p_size::VARCHAR, CASE WHEN p_size % 5 = 0 THEN '' ELSE 'd' END, NULL, 'https://x.example/' || p_partkey, CASE WHEN p_size % 2 = 0 THEN 'i' END] AS x FROM part)
+SELECT p_partkey, sha256(array_to_string(list_transform(x, lambda v: coalesce(regexp_replace(v, '^[\\s]+|[\\s]+$', '', 'g'), chr(0)) || chr(31)), '')) AS facts, CASE p_partkey % 4 WHEN 0 THEN 'ABc' WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 'x' END AS stored FROM f""")
+def fact_hashes(spark, sf_dir):
+    """Content hashes over all eight facts, of which some are absent and some empty."""
+    size = F.col("p_size")
+    facts = {
+        "name_es": F.concat(F.lit(" "), "p_name", F.lit("\t")), "cat1_es": F.col("p_type"), "cat2_es": F.when(size % 3 != 0, F.col("p_brand")), "spec_es": size.cast("string"), "desc_es": F.when(size % 5 == 0, "").otherwise("d"),
+        "product_url": F.concat(F.lit("https://x.example/"), F.col("p_partkey").cast("string")), "image_url": F.when(size % 2 == 0, "i"),
+    }
+    stored = F.get(F.array(F.lit(" ABc "), F.lit(" N/A"), F.lit(" "), F.lit("x")), (F.col("p_partkey") % 4).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", fact_hash(facts).alias("facts"), persisted_hash(stored).alias("stored"))
