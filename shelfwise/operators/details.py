@@ -183,8 +183,7 @@ def structured_details(rows: DataFrame, keys: list[str], text: str) -> DataFrame
                 at += [k] * len(found)
                 position += range(len(found))
                 out += found
-            taken = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_pydict({c: taken.column(f"_k_{c}") for c in keys} | {"position": pa.array(position, pa.int32())} | {c: pa.array([d[c] for d in out], pa.string()) for c in names})
+            yield pa.RecordBatch.from_pydict({c: batch.column(f"_k_{c}").take(pa.array(at, pa.int64())) for c in keys} | {"position": pa.array(position, pa.int32())} | {c: pa.array([d[c] for d in out], pa.string()) for c in names})
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keys), "position int", *(f"{c} string" for c in names)])
     return rows.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from shelfwise.sources.storage import written
 
 BLOCK_BYTES = 2 << 20
+#: Places that a task holds before it passes them on.
+PLACES_AT_ONCE = 50_000
 
 
 def automaton_of(phrases: list[str]):
@@ -46,11 +48,16 @@ def spans(rows: DataFrame, terms: DataFrame, keys: list[str], text: str = "text"
     read = rows.select(*keys, F.lower(text).alias("_text")).where("_text IS NOT NULL")
 
     def finder(shared):
+        def packed(batch, at, found, first, last):
+            # keys alone: a text taken along would be copied for each of its places
+            return pa.RecordBatch.from_pydict({k: batch.column(k).take(pa.array(at, pa.int64())) for k in keys} | {"phrase": pa.array(found, pa.string()), "first": pa.array(first, pa.int32()), "last": pa.array(last, pa.int32())})
+
         def run(batches):
             automaton = shared.value
             for batch in batches:
                 at, found, first, last = [], [], [], []
-                for k, own in enumerate(batch.column("_text").to_pylist()):
+                for k in range(batch.num_rows):
+                    own = batch.column("_text")[k].as_py()
                     for end, hit in automaton.iter(own):
                         begin = end - len(hit) + 1
                         if not is_word(own, begin - 1) and not is_word(own, end + 1):
@@ -58,8 +65,10 @@ def spans(rows: DataFrame, terms: DataFrame, keys: list[str], text: str = "text"
                             found.append(hit)
                             first.append(begin)
                             last.append(end + 1)
-                taken = batch.take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_pydict({k: taken.column(k) for k in keys} | {"phrase": pa.array(found, pa.string()), "first": pa.array(first, pa.int32()), "last": pa.array(last, pa.int32())})
+                    if len(at) >= PLACES_AT_ONCE:
+                        yield packed(batch, at, found, first, last)
+                        at, found, first, last = [], [], [], []
+                yield packed(batch, at, found, first, last)
 
         return run
 

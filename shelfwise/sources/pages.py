@@ -98,8 +98,7 @@ def page_facts(pages: DataFrame, keys: list[str], html: str = "html") -> DataFra
                 at += [k] * len(facts)
                 position += range(len(facts))
                 out += facts
-            taken = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_pydict({c: taken.column(f"_k_{c}") for c in keys} | {"position": pa.array(position, pa.int32())} | {c: pa.array([f[j] for f in out], pa.string()) for j, c in enumerate(FACT)})
+            yield pa.RecordBatch.from_pydict({c: batch.column(f"_k_{c}").take(pa.array(at, pa.int64())) for c in keys} | {"position": pa.array(position, pa.int32())} | {c: pa.array([f[j] for f in out], pa.string()) for j, c in enumerate(FACT)})
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keys), "position int", *(f"{c} string" for c in FACT)])
     return pages.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.col(html).alias("_html")).mapInArrow(run, schema)
