@@ -6,8 +6,12 @@ belong to a class; all shorter ones, to which both back off, are continuation
 counts shared by the classes, so an expression too rare to have counts of its
 own is judged alike by both and says nothing. A word's evidence is the difference
 of its log-likelihoods, also divided by its length; a document's features are its
-strongest words' evidence and its whole length-normalised difference. A logistic
-function fitted on the other half of the training sample turns them into a score.
+strongest words' evidence, its whole length-normalised difference, and the evidence
+beyond each of LEVELS over its distinct words, as a sum (many weak signs count as one
+strong sign does) and for each word, beside the number of words of a text that has any
+such evidence. A logistic function turns them into a score. It is fitted on features from models that did not see the text: the sample's
+distinct texts are dealt to FOLDS parts, and the models of each part count the other
+parts only; the models that score count the whole sample.
 
 The models are fitted on a sample of labelled rows: TRAIN_ROWS rows and
 TRAIN_BYTES of text per class at most, picked by a hash of the identifier.
@@ -39,6 +43,9 @@ THRESHOLD = 0.3
 SEED = 11
 PAD, END = 1, 2
 TOP = 3
+#: A word's evidence counts in sums over a text as far as it is beyond these levels.
+LEVELS = (1.0, 3.0)
+FOLDS = 4
 
 
 def packed_windows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +122,8 @@ class Models:
         """(log-likelihood difference, bytes with the end) of each word."""
         raw, offsets = flat_bytes(words)
         gains, lengths = np.zeros(len(words)), np.diff(offsets) + 1
+        if not len(self.keys):  # a model of no text says nothing
+            return gains, lengths
         for lo in range(0, len(words), 200_000):
             hi = min(len(words), lo + 200_000)
             grams, word = packed_windows(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
@@ -129,9 +138,9 @@ class Models:
         return gains, lengths
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """(rows, 2 * TOP + 1): the strongest words' gains, their gains per byte, the text's gain per byte."""
-        n = len(column)
-        out = np.zeros((n, 2 * TOP + 1))
+        """The strongest words' gains, their gains per byte, the text's gain per byte, for each level the log of the distinct words' gains beyond it and the root of their mean, the log of distinct words if there is evidence."""
+        n, sums = len(column), 2 * TOP + 1
+        out = np.zeros((n, sums + 2 * len(LEVELS) + 1))
         rows, codes, words = distinct_words(column)
         if not len(rows):
             return out
@@ -149,6 +158,13 @@ class Models:
                 left[first[chosen]] = False
         total, size = np.bincount(rows, gains[codes], n), np.bincount(rows, lengths[codes], n)
         out[:, 2 * TOP] = total / np.maximum(size, 1)
+        pairs = np.unique(rows.astype(np.int64) * len(words) + codes)
+        rows, own = pairs // len(words), gains[pairs % len(words)]
+        many = np.maximum(np.bincount(rows, minlength=n), 1)
+        for k, level in enumerate(LEVELS):
+            beyond = np.bincount(rows, np.maximum(own - level, 0), n)
+            out[:, sums + 2 * k], out[:, sums + 2 * k + 1] = np.log1p(beyond), np.sqrt(beyond / many)
+        out[:, -1] = np.where(out[:, sums] > 0, np.log1p(many), 0)
         return out
 
 
@@ -168,22 +184,39 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 
 def squash(features: np.ndarray) -> np.ndarray:
-    return np.tanh(features / np.array([4.0] * TOP + [1.0] * TOP + [0.2]))
+    """Features in a like range: single gains level off, sums do not."""
+    first = 2 * TOP + 1
+    return np.column_stack([np.tanh(features[:, :first] / np.array([4.0] * TOP + [1.0] * TOP + [0.2])), features[:, first:] / 3])
+
+
+def counted_models(texts: list[str], toxic: np.ndarray) -> Models:
+    rows, codes, words = distinct_words(pa.array(texts, pa.string()))
+    counts = np.stack([np.bincount(codes[toxic[rows] == c], minlength=len(words)) for c in (0, 1)], 1).astype(float)
+    return Models(*flat_bytes(words), counts)
+
+
+def folds_of(texts: list[str], toxic: np.ndarray) -> np.ndarray:
+    """The part of each text: equal texts share one, and each class is dealt evenly."""
+    label = {t: int(y) for t, y in sorted(zip(texts, toxic))}
+    ranked = sorted(label, key=lambda t: (label[t], hash_text(t), t))
+    place = {t: k % FOLDS for k, t in enumerate(ranked)}
+    return np.array([place[t] for t in texts], int)
 
 
 class Scorer:
     def __init__(self, texts: list[str], toxic: np.ndarray, share: np.ndarray):
         """share: the part of its class that a sampled row stands for, as weight of the fit."""
-        order = np.random.default_rng(SEED).permutation(len(texts))
-        half = np.zeros(len(texts), bool)
-        half[order[: len(texts) * 2 // 3]] = True
-        column = pa.array([t for t, h in zip(texts, half) if h], pa.string())
-        rows, codes, words = distinct_words(column)
-        counts = np.stack([np.bincount(codes[toxic[half][rows] == c], minlength=len(words)) for c in (0, 1)], 1).astype(float)
-        raw, offsets = flat_bytes(words)
-        self.models = Models(raw, offsets, counts)
-        rest = pa.array([t for t, h in zip(texts, half) if not h], pa.string())
-        self.weights = fit_logistic(squash(self.models.features(rest)), toxic[~half], share[~half])
+        fold, features = folds_of(texts, toxic), None
+        for k in range(FOLDS):
+            own = np.flatnonzero(fold == k)
+            if not len(own):
+                continue
+            models = counted_models([t for t, f in zip(texts, fold) if f != k], toxic[fold != k])
+            found = models.features(pa.array([texts[j] for j in own], pa.string()))
+            features = np.zeros((len(texts), found.shape[1])) if features is None else features
+            features[own] = found
+        self.weights = fit_logistic(squash(features), toxic, share)
+        self.models = counted_models(texts, toxic)
 
     def scores(self, column: pa.Array) -> np.ndarray:
         x = squash(self.models.features(column))
