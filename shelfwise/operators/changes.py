@@ -1,4 +1,4 @@
-"""What a day changes: price facts of the current rows, events of a day, and originals that are proven absent.
+"""What a day changes: price facts of the current rows, events of a day, originals that are proven absent, facts without a word on presence.
 
 Facts are one aggregate per SKU over the history, with partial results on the map side, so a
 hot SKU costs a row per task; current rows meet them by SKU. Events come from one pass over
@@ -124,3 +124,42 @@ def without_originals(products: DataFrame, verdicts: DataFrame, shown: int = 20)
     clear = verdicts.where(F.col("verdict") == CLEAR).select("sku", F.lit(True).alias("_clear"))
     joined = products.join(clear, "sku", "left")
     return joined.withColumn("original_price", F.when(F.col("_clear").isNull(), F.col("original_price"))).select(*products.columns)
+
+
+def positive_scope_faults(rows: DataFrame, permissions: DataFrame, prior: DataFrame, observations: DataFrame, issues: DataFrame, fields: list[str], frozen: list[str]) -> DataFrame:
+    """(sku, fault) of rows that bring facts without a word on presence; none: the rows may be committed.
+
+    rows, prior: sku, canonical_id, status, first_seen, last_seen, missing_count, `fields` and `frozen` (prior: what
+    is stored). permissions: sku, canonical_id, allowed (map of field to the hash of its value). observations: sku,
+    presence_state, complete, absence_capable. issues: sku, level, field_name. A field may change only where it is
+    allowed, and then to the value of that hash; frozen fields don't change; a new SKU is UNKNOWN and was never
+    seen; each SKU is in rows, permissions and observations once; an observation is PRESENT and claims nothing
+    more; a blocking issue, or a review of an allowed field, stops its SKU. All faults of a SKU are given; null and
+    empty values are the same. Every relation meets the others by SKU, once.
+    """
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    yes, digest = lambda c: F.coalesce(c, F.lit(False)), lambda c: F.sha2(text(c).cast("binary"), 256)
+    kept = ["canonical_id", "status", "first_seen", "last_seen", "missing_count", *fields, *frozen]
+    kept = list(dict.fromkeys(kept))
+
+    def once(frame: DataFrame, name: str, columns: list[str]) -> DataFrame:
+        """One row for each SKU with its number of rows, so that repeats are a fault and don't multiply; of several the first as JSON speaks."""
+        return frame.groupBy("sku").agg(F.count(F.lit(1)).alias(f"{name}_n"), F.min_by(F.struct(*columns), F.to_json(F.struct(*columns))).alias(name))
+
+    seen = observations.groupBy("sku").agg(F.count(F.lit(1)).alias("seen_n"), F.bool_and(yes(F.col("presence_state") == "PRESENT") & ~F.coalesce("complete", F.lit(True)) & ~F.coalesce("absence_capable", F.lit(True))).alias("seen_only"))
+    marks = issues.groupBy("sku").agg(F.bool_or(yes(F.col("level") == "HARD_BLOCK") & ~yes(F.col("field_name") == "presence")).alias("blocked"), F.collect_set(F.when(F.col("level") == "FIELD_REVIEW", F.col("field_name"))).alias("reviewed"))
+    own = once(rows, "row", kept).join(once(permissions, "may", ["canonical_id", "allowed"]), "sku", "full").join(seen, "sku", "full")
+    joined = own.join(prior.select("sku", F.struct(*kept).alias("old")), "sku", "left").join(marks, "sku", "left")
+    there, known, allowed = F.col("row").isNotNull() & F.col("may").isNotNull(), F.col("old").isNotNull(), F.col("may.allowed")
+    judged = lambda name, holds, when=there: F.when(when & ~yes(holds), F.lit(name))
+    may = lambda f: yes(F.map_contains_key(allowed, F.lit(f)))
+    found = [
+        judged("SKU_SCOPE_MISMATCH", (F.col("row_n") == 1) & (F.col("may_n") == 1), F.lit(True)), judged("OBSERVATION_SCOPE_MISMATCH", (F.col("seen_n") == 1) & F.col("may").isNotNull(), F.lit(True)),
+        judged("NO_ABSENCE_AUTHORITY", F.col("seen_only"), F.col("seen_n").isNotNull()), judged("IDENTITY_MISMATCH", (F.col("row.canonical_id") == F.col("may.canonical_id")) & (~known | (F.col("old.canonical_id") == F.col("may.canonical_id")))),
+        judged("NEW_IDENTITY_MUST_BE_UNKNOWN", (F.col("row.status") == "UNKNOWN") & (text(F.col("row.first_seen")) == "") & (text(F.col("row.last_seen")) == "") & (F.coalesce("row.missing_count", F.lit(0)) == 0), there & ~known),
+        judged("QA_NOT_READY", ~yes(F.col("blocked")) & ~yes(F.arrays_overlap("reviewed", F.map_keys(allowed)))),
+    ]
+    found += [judged(f"LIFECYCLE_CHANGED:{f}", text(F.col(f"row.{f}")) == text(F.col(f"old.{f}")), there & known) for f in frozen]
+    found += [judged(f"VALUE_HASH_MISMATCH:{f}", digest(F.col(f"row.{f}")) == F.element_at(allowed, f), there & may(f)) for f in fields]
+    found += [judged(f"UNAUTHORIZED_FIELD:{f}", text(F.col(f"row.{f}")) == text(F.col(f"old.{f}")), there & ~may(f)) for f in fields]
+    return joined.select("sku", F.explode(F.array_compact(F.array(*found))).alias("fault"))

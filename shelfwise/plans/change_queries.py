@@ -95,3 +95,33 @@ def coverage_losses(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     state = lambda most, share, tax: lines.select(F.when(F.col("l_quantity") > most, F.col("l_linestatus")).alias("comment"), F.when(F.col("l_discount") >= share, F.col("l_returnflag")).alias("mode"), tax.alias("tax"))
     return coverage_regression(state(5, 0.05, F.col("l_tax")), state(40, 0.06, F.lit(None).cast("double")), ["comment", "mode", "tax"])
+
+
+@query("""WITH r AS (SELECT p_partkey::VARCHAR AS sku, p_partkey AS k, p_size AS s, p_name AS name, p_type AS kind FROM part WHERE p_size <> 1),
+m AS (SELECT p_partkey::VARCHAR AS sku, p_size AS s FROM part WHERE p_size <> 2), o AS (SELECT user_id::VARCHAR AS sku, count(*) AS n, bool_and(event_type <> 'error' AND value <= 99.5) AS only_seen FROM events WHERE event_type <> 'view' GROUP BY 1),
+a AS (SELECT DISTINCT p_partkey::VARCHAR AS sku, p_size AS s, p_partkey AS k FROM part WHERE p_size <> 3),
+i AS (SELECT l_partkey::VARCHAR AS sku, bool_or(l_quantity = 50 AND l_discount = 0.1) AS blocked, bool_or(l_quantity = 50 AND l_discount = 0.09) AS reviewed FROM lineitem GROUP BY 1),
+j AS (SELECT coalesce(r.sku, m.sku, o.sku) AS sku, r.sku IS NOT NULL AS has_r, m.sku IS NOT NULL AS has_m, o.n, o.only_seen, a.sku IS NOT NULL AS known, r.s, r.k, coalesce(blocked, false) AS blocked, coalesce(reviewed, false) AS reviewed
+  FROM r FULL JOIN m ON r.sku = m.sku FULL JOIN o ON o.sku = coalesce(r.sku, m.sku) LEFT JOIN a ON a.sku = coalesce(r.sku, m.sku, o.sku) LEFT JOIN i ON i.sku = coalesce(r.sku, m.sku, o.sku))
+SELECT sku, 'SKU_SCOPE_MISMATCH' AS fault FROM j WHERE NOT (has_r AND has_m) UNION ALL SELECT sku, 'OBSERVATION_SCOPE_MISMATCH' FROM j WHERE NOT (coalesce(n = 1, false) AND has_m)
+UNION ALL SELECT sku, 'NO_ABSENCE_AUTHORITY' FROM j WHERE n IS NOT NULL AND NOT only_seen UNION ALL SELECT sku, 'IDENTITY_MISMATCH' FROM j WHERE has_r AND has_m AND s = 4
+UNION ALL SELECT sku, 'NEW_IDENTITY_MUST_BE_UNKNOWN' FROM j WHERE has_r AND has_m AND NOT known UNION ALL SELECT sku, 'QA_NOT_READY' FROM j WHERE has_r AND has_m AND (blocked OR (reviewed AND s <= 25))
+UNION ALL SELECT sku, 'LIFECYCLE_CHANGED:status' FROM j WHERE has_r AND has_m AND known AND s = 5
+UNION ALL SELECT sku, 'VALUE_HASH_MISMATCH:name' FROM j WHERE has_r AND has_m AND s <= 25 AND s = 6
+UNION ALL SELECT sku, 'UNAUTHORIZED_FIELD:name' FROM j WHERE has_r AND has_m AND s > 25 AND (NOT known OR s = 30)
+UNION ALL SELECT sku, 'UNAUTHORIZED_FIELD:kind' FROM j WHERE has_r AND has_m AND (NOT known OR s = 7)""")
+def positive_scopes(spark, sf_dir):
+    """All faults of rows that bring facts under permissions and say nothing of presence."""
+    part, size = table(spark, sf_dir, "part"), part_size()
+    texts = {"canonical_id": F.concat(F.lit("C"), "p_partkey"), "status": F.lit("CURRENT"), "first_seen": F.lit("2024-01-01"), "last_seen": F.lit("2024-01-02"), "missing_count": F.lit(0), "name": F.col("p_name"), "kind": F.col("p_type")}
+    stored = part.where(size != 3).select(part_sku(), *[v.alias(k) for k, v in texts.items()])
+    other = {"canonical_id": 4, "status": 5, "kind": 7, "name": 30}
+    rows = part.where(size != 1).select(part_sku(), *[(F.when(size == other[k], F.concat(v, F.lit(" "))).otherwise(v) if k in other else v).alias(k) for k, v in texts.items()])
+    digest = F.sha2(F.when(size == 6, F.concat("p_name", F.lit("!"))).otherwise(F.col("p_name")).cast("binary"), 256)
+    permissions = part.where(size != 2).select(part_sku(), texts["canonical_id"].alias("canonical_id"), F.when(size <= 25, F.create_map(F.lit("name"), digest)).otherwise(F.create_map().cast("map<string,string>")).alias("allowed"))
+    observations = table(spark, sf_dir, "events").where("event_type <> 'view'").select(
+        F.col("user_id").cast("string").alias("sku"), F.when(F.col("event_type") != "error", "PRESENT").otherwise("UNKNOWN").alias("presence_state"), F.lit(False).alias("complete"), (F.col("value") > 99.5).alias("absence_capable")
+    )
+    lines = table(spark, sf_dir, "lineitem").where("l_quantity = 50 AND l_discount IN (0.1, 0.09)")
+    issues = lines.select(F.col("l_partkey").cast("string").alias("sku"), F.when(F.col("l_discount") == 0.1, "HARD_BLOCK").otherwise("FIELD_REVIEW").alias("level"), F.lit("name").alias("field_name"))
+    return changes.positive_scope_faults(rows, permissions, stored, observations, issues, ["name", "kind"], ["status"])

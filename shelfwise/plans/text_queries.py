@@ -68,6 +68,17 @@ def similar_items(spark, sf_dir):
     return most_similar(items, 3)
 
 
+@query(f"""WITH b AS (SELECT item_id, list_distinct({TOKENS.format("text")}) AS w FROM benchmark),
+c AS (SELECT * FROM b ORDER BY item_id DESC LIMIT 200),
+p AS (SELECT b.item_id, c.item_id AS other, len(list_intersect(b.w, c.w)) / len(list_distinct(list_concat(b.w, c.w))) AS s FROM b JOIN c ON b.item_id <> c.item_id AND len(list_intersect(b.w, c.w)) > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 6) DESC, other) AS n FROM p)
+SELECT item_id, other, round(s, 6) AS similarity FROM r WHERE n <= 3""")
+def newest_similar_items(spark, sf_dir):
+    """Three most similar of the 200 newest items: the bound is part of the question, so pairs grow with the items alone."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(tokens(F.col("text"))).alias("w"))
+    return most_similar(items, 3, newest=200)
+
+
 def most_similar(items, best: int, newest: int | None = None):
     """(item_id, other, similarity) of each item's most similar others by shared tokens (column w), of equals the first.
 

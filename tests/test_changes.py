@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,34 @@ def test_absences_are_applied_whole_or_not_at_all(spark):
     with pytest.raises(changes.AbsenceRefused, match="1: DUPLICATE_SKU"):
         changes.without_originals(products, verdicts(evidence("1"), evidence("1")))
     assert changes.without_originals(products, verdicts(evidence("1")).limit(0)).where("original_price = 3.0").count() == 2
+
+
+ROWS = "sku string, canonical_id string, status string, first_seen string, last_seen string, missing_count int, name string, extra string"
+
+
+def scope_faults(spark, row, prior=True, may=None, seen=("PRESENT", False, False), issue=None, times=1):
+    digest = lambda v: hashlib.sha256(v.encode()).hexdigest()
+    stored = ("1", "C1", "CURRENT", "a", "b", 0, "old", "x")
+    rows = spark.createDataFrame([row] * times, ROWS)
+    permissions = spark.createDataFrame([("1", "C1", {f: digest(v) for f, v in (may or {}).items()})], "sku string, canonical_id string, allowed map<string,string>")
+    observations = spark.createDataFrame([("1", *seen)] if seen else [], "sku string, presence_state string, complete boolean, absence_capable boolean")
+    issues = spark.createDataFrame([("1", *issue)] if issue else [], "sku string, level string, field_name string")
+    return sorted(r.fault for r in changes.positive_scope_faults(rows, permissions, spark.createDataFrame([stored] if prior else [], ROWS), observations, issues, ["name"], ["status"]).collect())
+
+
+SAME = ("1", "C1", "CURRENT", "a", "b", 0, "old", "y")
+
+
+@pytest.mark.parametrize(
+    ("row", "other", "faults"),
+    [
+        (SAME, {}, []), ((*SAME[:6], "new", "y"), {"may": {"name": "new"}}, []), ((*SAME[:6], "new", "y"), {}, ["UNAUTHORIZED_FIELD:name"]), ((*SAME[:6], "new", "y"), {"may": {"name": "newer"}}, ["VALUE_HASH_MISMATCH:name"]),
+        ((*SAME[:6], None, "y"), {"may": {"name": ""}}, []), ((*SAME[:2], "OFFLINE", *SAME[3:]), {}, ["LIFECYCLE_CHANGED:status"]), (("1", "C2", *SAME[2:]), {}, ["IDENTITY_MISMATCH"]), (("1", None, *SAME[2:]), {}, ["IDENTITY_MISMATCH"]),
+        (SAME, {"seen": None}, ["OBSERVATION_SCOPE_MISMATCH"]), (SAME, {"seen": ("ABSENT", False, False)}, ["NO_ABSENCE_AUTHORITY"]), (SAME, {"seen": ("PRESENT", None, False)}, ["NO_ABSENCE_AUTHORITY"]), (SAME, {"seen": ("PRESENT", False, True)}, ["NO_ABSENCE_AUTHORITY"]),
+        (SAME, {"issue": ("HARD_BLOCK", "presence")}, []), (SAME, {"issue": ("HARD_BLOCK", None)}, ["QA_NOT_READY"]), (SAME, {"issue": ("FIELD_REVIEW", "name")}, []), (SAME, {"issue": ("FIELD_REVIEW", "name"), "may": {"name": "old"}}, ["QA_NOT_READY"]), (SAME, {"times": 2}, ["SKU_SCOPE_MISMATCH"]),
+        (("1", "C1", "UNKNOWN", None, "", None, None, "y"), {"prior": False}, []), (("1", "C1", "UNKNOWN", None, "", 1, None, "y"), {"prior": False}, ["NEW_IDENTITY_MUST_BE_UNKNOWN"]), (SAME, {"prior": False, "may": {"name": "old"}}, ["NEW_IDENTITY_MUST_BE_UNKNOWN"]),
+        (("2", "C1", *SAME[2:]), {}, ["OBSERVATION_SCOPE_MISMATCH", "SKU_SCOPE_MISMATCH", "SKU_SCOPE_MISMATCH"]),
+    ],
+)
+def test_positive_scope(spark, row, other, faults):
+    assert scope_faults(spark, row, **other) == faults
