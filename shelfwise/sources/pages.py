@@ -84,8 +84,12 @@ class PageWalker(HTMLParser):
         return self.facts
 
 
-def page_facts(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
-    """keys, position, kind, key, value, evidence: a row for each fact of a page, in page order; null and empty pages have none."""
+def page_facts(pages: DataFrame, keys: list[str], html: str = "html", references: bool = True) -> DataFrame:
+    """keys, position, kind, key, value, evidence: a row for each fact of a page, in page order; null and empty pages have none.
+
+    references: character references are decoded, those without a semicolon
+    too; otherwise texts and link targets keep them as they are written.
+    """
     kinds = dict(pages.dtypes)
 
     def run(batches):
@@ -93,7 +97,9 @@ def page_facts(pages: DataFrame, keys: list[str], html: str = "html") -> DataFra
             at, position, out = [], [], []
             for k, own in enumerate(batch.column("_html").to_pylist()):
                 walker = PageWalker()
-                walker.feed(own or "")
+                own = own or ""
+                # a reference to the sign itself keeps what follows as it is written
+                walker.feed(own if references else own.replace("&", "&amp;"))
                 facts = walker.done()
                 at += [k] * len(facts)
                 position += range(len(facts))

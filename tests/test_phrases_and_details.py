@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import audits, details, phrases, price_review, records, resolution
 from shelfwise.functions import evidence
+from shelfwise.plans import phrase_queries
+from shelfwise.plans.registry import ORACLE_SQL
 from shelfwise.sources import pages
 
 
@@ -210,6 +212,18 @@ def test_page_facts_of_broken_markup(spark):
     ]
 
 
+def test_links_and_headings_keep_what_their_sql_keeps(spark, tmp_path):
+    """A reference that is cut off or not one of the three stays as it is written, in links all do."""
+    duckdb = pytest.importorskip("duckdb")
+    html = "<h1>a&amp;&amp</h1><h2>t = &quot;x&lt;y&gt; &amp;lt; <b>&nbsp;</b> &eacute</h2><a href=\"/x?a=1&amp;b=2\">l</a><script>'<a href=\"/no\">'</script>"
+    spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", "<h3> c  d </h3>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in phrase_queries.page_links_and_headings(spark, str(tmp_path)).collect())
+    assert got == [(1, "heading", "a&&amp"), (1, "heading", "t = &quot;x<y> &lt; &nbsp; &eacute"), (1, "link", "/x?a=1&amp;b=2"), (3, "heading", "c d")]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert sorted(con.execute(ORACLE_SQL["page_links_and_headings"]).fetchall()) == got
+
+
 def test_folds_tables_and_rules_of_evidence(spark):
     one = spark.createDataFrame([("ÀÉÎõü Ñandú Čaj é 500 GR 2,5 kg varios colores",)], "x string")
     assert one.select(evidence.family_key(F.col("x"))).first()[0] == "aeiou nandu caj e 500 gr"
