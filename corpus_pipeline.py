@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import decontamination, ngram_join, pieces, quality_rules, repeated_spans
 from shelfwise.llm.queries import table, tokenizer_file
-from shelfwise.llm.shared import stored
+from shelfwise.llm.shared import discard, stored, sweep
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A line goes if more of its host's documents than this hold it, however large the host is.
 LINE_MOST = quality_rules.LINE_LEAST
 #: Near duplicates share 80 per cent of their five-word shingles.
 WORDS, PERCENT = 5, 80
+#: Bytes of text that the encoding takes at once, beside what the stages before it left in the executors' memory.
+TEXT_AT_ONCE = 2 << 20
 
 
 def as_documents(docs: DataFrame) -> DataFrame:
@@ -52,7 +54,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids under merge-dropout, and whether they decode to the text."""
-    return pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), ["doc_id", "lang", "source"])
+    return pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), ["doc_id", "lang", "source"], text_at_once=TEXT_AT_ONCE)
 
 
 STAGES = [
@@ -69,7 +71,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, "stage")
+            if k:
+                discard(before)
+            else:
+                sweep(spark)
     return docs

@@ -675,8 +675,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = members.join(blocks.select("block", cuts.alias("cuts")), "block").select("doc_id", "text", "block", "cuts", "node").mapInArrow(set_task(size), "doc_id long, block long, cuts int, tokens binary")
     rows = stored(rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")), "blocks")
     linked = stored(part_links(rows, buckets, percent).select(F.col("a").alias("node"), F.col("b").alias("label")), "links")
+    # their texts and edges are in the blocks now
+    discard(chosen)
+    discard(edges)
     if rows.where("cuts > 1").limit(1).count():
         linked = stored(across_parts(rows, linked, buckets, percent), "links")
+    discard(rows)
     labels = classes.join(linked, F.col("rep") == F.col("node"), "left").select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.coalesce("label", "rep").alias("label"))
     out = sets.join(labels, (F.col("a") == F.col("ca")) & (F.col("b") == F.col("cb")) & (F.col("n_shingles") > 0), "left")
     return out.select(F.col("doc_id").alias(doc_id), "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))

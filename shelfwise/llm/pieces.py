@@ -338,15 +338,15 @@ def equal_rows(a_offsets: np.ndarray, a: np.ndarray, b_offsets: np.ndarray, b: n
     return np.array([np.array_equal(a[p:q], b[r:s]) for p, q, r, s in zip(a_offsets, a_offsets[1:], b_offsets, b_offsets[1:])], bool)
 
 
-def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
-    """Kept columns and ids, n_ids, lossless (whether decoding the ids gives the text's bytes)."""
+def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, dropout: float = DROPOUT, text_at_once: int = TEXT_AT_ONCE) -> DataFrame:
+    """Kept columns and ids, n_ids, lossless (whether decoding the ids gives the text's bytes); text_at_once bounds a task's memory, the ids are the same."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_ids", "lossless")]
     shared = Sent(docs.sparkSession, Model(model_path))
 
     def run(batches):
         model = shared.value
         for batch in batches:
-            for first, raw, raw_offsets in slices(batch.column(text), TEXT_AT_ONCE):
+            for first, raw, raw_offsets in slices(batch.column(text), text_at_once):
                 part = batch.slice(first, len(raw_offsets) - 1)
                 offsets, ids = encode_column(model, part.column(text), part.column("_key").to_numpy(), seed, dropout)
                 same = equal_rows(*decode_arrays(model, offsets, ids), raw_offsets, raw)

@@ -7,6 +7,7 @@ import pytest
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
+from shelfwise.llm import shared  # noqa: E402
 
 from .test_operators import brute_groups, brute_rules, brute_spans, corpus, item_words, split_words  # noqa: E402
 
@@ -69,3 +70,19 @@ def test_run_keeps_stages(spark, tables):
     out = corpus_pipeline.run(spark, tables[0])
     assert out.count() == len({r.doc_id for r in out.collect()}) > 0
     assert collections.Counter(len(s) for s in corpus_pipeline.STAGES) == {2: 5}
+
+
+def test_run_deletes_what_it_will_not_read_again(spark, tables, tmp_path, monkeypatch):
+    """Texts, blocks and edges of the join, and each stage's table once the next one is written."""
+    made = []
+
+    def fresh_dir(session, label):
+        made.append(label)
+        return f"file://{tmp_path}/{label}-{len(made)}"
+
+    monkeypatch.setattr(shared, "fresh_dir", fresh_dir)
+    out = corpus_pipeline.run(spark, tables[0])
+    left = [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()]
+    assert {"chosen", "blocks", "signatures", "wanted"} <= set(made) and not {"chosen", "blocks", "signatures", "wanted"} & set(left)
+    assert made.count("stage") == 4 and left.count("stage") == 1
+    assert out.count() > 0
