@@ -203,7 +203,7 @@ def product_families(spark, sf_dir):
   count(*) FILTER (zh_freshness_status = 'STALE') AS stale, count(*) FILTER (zh_review_status = 'BLOCKED') AS blocked FROM full_rows WHERE status = 'CURRENT'""")
 def dictionary_coverage(spark, sf_dir):
     """Conditional counts and rates in one aggregate."""
-    rows = full_rows(spark, sf_dir).where("status = 'CURRENT'")
+    rows = full_rows(spark, sf_dir, ()).where("status = 'CURRENT'")
     some = lambda c: ~is_blank(F.col(c))
     counted = counts_of(rows, {"rows": F.lit(True), "with_name": F.col("zh_name").isNotNull(), "with_cat2": some("zh_cat2"), "with_spec": some("zh_spec"), "stale": F.col("zh_freshness_status") == "STALE", "blocked": F.col("zh_review_status") == "BLOCKED"})
     return counted.withColumn("spec_rate", F.round(F.try_divide(F.col("with_spec"), F.col("rows")), 6))
@@ -250,7 +250,7 @@ def status_mismatches(spark, sf_dir):
 @query(f"""WITH {FULL} SELECT sha256(p.sku || '|' || substr(sha256(coalesce(es_name, '')), 1, 12)) AS queue_id, p.sku FROM full_rows p WHERE status = 'CURRENT' AND coalesce(trim(zh_cat2), '') = '' AND sku::BIGINT % 5 <> 1""")
 def category_backlog(spark, sf_dir):
     """Current rows without a category enter a backlog once."""
-    rows = full_rows(spark, sf_dir).where("status = 'CURRENT'").where(is_blank(F.col("zh_cat2")))
+    rows = full_rows(spark, sf_dir, ()).where("status = 'CURRENT'").where(is_blank(F.col("zh_cat2")))
     entries = rows.select(issue_id(F.col("sku"), F.substring(F.sha2(F.coalesce("es_name", F.lit("")).cast("binary"), 256), 1, 12)).alias("queue_id"), "sku")
     there = entries.where(F.col("sku").cast("long") % 5 == 1).select("queue_id")
     return entries.dropDuplicates(["queue_id"]).join(there, "queue_id", "left_anti")

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfwise.operators import audits
+from shelfwise.plans import audit_queries
 
 
 def test_longest_alias_wins_and_words_stay_whole(spark):
@@ -66,3 +67,16 @@ def test_gold_counters_of_invalid_rows(spark):
     rows = [("1", "f", "2 cm", "中 2 cm", "中 2 cm"), ("1", "f", "2 cm", None, "x"), (None, "f", "s", "p", "g"), ("2", "f", "s", "p", " ")]
     df = spark.createDataFrame(rows, "key string, field string, source string, prediction string, gold string")
     assert audits.gold_counters(df).first().asDict() == {"rows": 2, "invalid_rows": 2, "field_exact": 1, "number_mismatch": 1, "unit_mismatch": 1, "target_script": 1}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_findings_by_sku_broadcast_no_table_of_parts(spark):
+    """Rows of most SKUs are merged and prices are counted before they meet their parents, however small the files are."""
+    gate = plan_of(audit_queries.master_gate(spark, "/root/testdata/sf0.001"))
+    assert "lineitem" not in gate and "events" not in gate
+    assert gate.count("BroadcastHashJoin") <= 2  # the price review alone
+    found = plan_of(audit_queries.database_findings(spark, "/root/testdata/sf0.001"))
+    assert "LeftAnti" not in found and found.index("Join") < found.index("HashAggregate")
