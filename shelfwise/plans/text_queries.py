@@ -51,11 +51,11 @@ def term_candidates(spark, sf_dir):
 
 
 def term_counts(docs, least: int = 2):
-    """Occurrences and documents of each term in at least so many documents; a first count per document and term combines before the exchange."""
+    """Occurrences and documents of each term in at least so many documents; a first count per document and term combines before the exchange; null identifiers and languages are none."""
     terms = docs.select("doc_id", "lang", F.explode(tokens(F.col("text"))).alias("term"))
     each = terms.groupBy("term", "lang", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    by_language = each.groupBy("term", "lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
-    return by_language.groupBy("term").agg(F.sum("n").alias("occurrences"), F.sum("d").alias("documents"), F.count(F.lit(1)).alias("languages")).where(F.col("documents") >= least)
+    by_language = each.groupBy("term", "lang").agg(F.sum("n").alias("n"), F.count("doc_id").alias("d"))
+    return by_language.groupBy("term").agg(F.sum("n").alias("occurrences"), F.sum("d").alias("documents"), F.count("lang").alias("languages")).where(F.col("documents") >= least)
 
 
 @query(f"""WITH b AS (SELECT item_id, list_distinct({TOKENS.format("text")}) AS w FROM benchmark),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import audits, details, phrases, price_review, records, resolution
 from shelfwise.functions import evidence
-from shelfwise.plans import phrase_queries
+from shelfwise.plans import phrase_queries, text_queries
 from shelfwise.plans.registry import ORACLE_SQL
 from shelfwise.sources import pages
 
@@ -235,3 +235,16 @@ def test_folds_tables_and_rules_of_evidence(spark):
 def test_pages_of_a_small_file_are_walked_by_many_tasks(spark):
     plan = phrase_queries.verified_details(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan[plan.index("MapInArrow") :]
+
+
+def test_term_counts_equal_sql(spark, tmp_path):
+    """Null identifiers and languages are none."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice(["a", "B", "c", "É", "d-e", "9"]) for _ in range(rng.randint(0, 9))), rng.choice(["en", "de", None])) for k in range(80)]
+    rows += [(None, "a z z", "en"), (None, "z", "xx"), (91, None, "en"), (92, "only", None), (93, "only", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = sorted(con.execute(ORACLE_SQL["term_candidates"]).fetchall())
+    assert sorted(tuple(r) for r in text_queries.term_candidates(spark, str(tmp_path)).collect()) == want and ("only", 2, 2, 0) in want
