@@ -42,8 +42,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeated_span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that repeat anywhere go from the texts, at whole characters."""
-    return as_documents(repeated_spans.remove_repeats(docs.select(*COLUMNS), with_text=True))
+    """Byte strings and passages of words that repeat anywhere go from the texts, at whole characters."""
+    return as_documents(repeated_spans.remove_repeats(docs.select(*COLUMNS), with_text=True, words=repeated_spans.WORDS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
