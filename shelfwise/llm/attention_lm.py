@@ -45,7 +45,7 @@ from .textops import LOWER, U, Powers, flat_bytes, gather_lists, mix, ragged, sl
 
 HEAD = 253
 TAIL = 32
-WIDTH, HEADS, KEY = 16, 1, 8
+WIDTH, KEY = 16, 8
 STRIDE, OVERLAP = 32, 16
 TRAIN_ROWS = 4_000
 TRAIN_BYTES = 6 << 20
@@ -54,6 +54,8 @@ STEPS, BATCH = 600, 128
 RATES, ROUND_BATCH = (0.006, 0.0015), 128
 #: Bytes of packed ids whose windows a task holds and mixes at once.
 TRAIN_IDS_AT_ONCE = 3 << 20
+#: Windows that are scored at once: their arrays stay in a core's cache.
+SCORE_BATCH = 128
 #: Weights of tasks are summed in so many groups before they reach the driver.
 GROUPS = 16
 SEED = 7
@@ -76,15 +78,16 @@ def lower_column(column: pa.Array) -> pa.Array:
 def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(row offsets, code of each word, distinct words) of lower-cased texts."""
     parts = pc.ascii_split_whitespace(column)
-    counts = np.diff(parts.offsets.to_numpy()).astype(np.int64)
+    bounds = parts.offsets.to_numpy().astype(np.int64)
+    bounds -= bounds[0]
     coded = parts.flatten().dictionary_encode()
-    codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-    full = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
-    if not full.all():
-        keep = full[codes]
-        counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[keep], minlength=len(counts))
-        codes = codes[keep]
-    return np.concatenate([[0], np.cumsum(counts)]), codes, words
+    codes, words = coded.indices.to_numpy(), coded.dictionary
+    empty = np.flatnonzero(np.diff(flat_bytes(words)[1]) == 0)
+    if len(empty):  # before or behind white space at an end of a text
+        places = np.flatnonzero(codes == empty[0])
+        codes = np.delete(codes, places)
+        bounds -= np.searchsorted(places, bounds)
+    return bounds, codes, words
 
 
 def word_hashes(words: pa.Array, powers: Powers) -> np.ndarray:
@@ -118,7 +121,10 @@ def pieces_of(model: Subwords, words: pa.Array) -> tuple[np.ndarray, np.ndarray]
     """(offsets, ids) of each distinct word."""
     counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
     for at in range(0, len(words), WORDS_AT_ONCE):
-        lists = model.library.encode(words.slice(at, WORDS_AT_ONCE).to_pylist(), num_threads=1)
+        part = words.slice(at, WORDS_AT_ONCE).cast(pa.string())
+        # no word holds a line feed, and one long text becomes Python strings sooner than an array
+        listed = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), "\n")[0].as_py().split("\n")
+        lists = model.library.encode(listed, num_threads=1)
         counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
         ids.append(np.fromiter(chain.from_iterable(lists), np.int32, int(counts[-1].sum())))
     return np.concatenate([[0], np.cumsum(np.concatenate(counts))]), np.concatenate(ids)
@@ -141,11 +147,12 @@ class Heads:
 
     def add(self, table: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> None:
         """Counts what stands before a tail id: head ids, one more for any other, one for a text's start."""
+        own = np.take(self.of, ids)
+        tail = np.flatnonzero(own < 0)
         before = np.full(len(ids), HEAD)
-        before[1:] = np.where(self.of[ids[:-1]] >= 0, self.of[ids[:-1]], HEAD)
+        before[1:] = np.where(own[:-1] < 0, HEAD, own[:-1])
         before[offsets[:-1][np.diff(offsets) > 0]] = HEAD + 1
-        tail = self.of[ids] < 0
-        np.add.at(table, (self.row[ids[tail]], before[tail]), 1)
+        np.add.at(table.ravel(), np.take(self.row, ids[tail]) * table.shape[1] + before[tail], 1)
 
 
 class Classes:
@@ -195,47 +202,57 @@ def cluster(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def sums_by(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of values' rows by row number; there are fewer than 2**15 row numbers."""
-    order = np.argsort(rows.astype(np.int16), kind="stable")
-    return sums_of_runs(rows[order], values[order], size)
-
-
-def sums_of_runs(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of values' rows by row number; equal row numbers stand together."""
-    out = np.zeros((size, *values.shape[1:]), np.float32)
-    if len(rows):
-        first = np.flatnonzero(np.diff(rows, prepend=-1))
-        out[rows[first]] = np.add.reduceat(values, first, 0)
+def sums_by(rows: np.ndarray, values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Sums of values' rows by row number. places: the numbers of a result's cells, in its shape."""
+    out = np.zeros(places.shape, values.dtype)
+    np.add.at(out.ravel(), np.take(places, rows, 0).ravel(), values.ravel())
     return out
 
 
-def shares_of(logits: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Each row's softmax; the largest logit is taken out first only where exponentials leave the range of their type."""
-    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        out = np.exp(logits)
-        total = out @ ones
+def exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials in place, their sums by row, what was taken out of each row first).
+
+    The largest logit is taken out only of rows whose exponentials leave the range of their type.
+    """
+    ones, out = np.ones(logits.shape[1], logits.dtype), np.zeros(len(logits), logits.dtype)
+    with np.errstate(over="ignore", invalid="ignore"):
+        e = np.exp(logits)
+        total = e @ ones
     odd = np.flatnonzero(~(np.isfinite(total) & (total > 1e-30)))
     if len(odd):
-        out[odd] = np.exp(logits[odd] - logits[odd].max(1, keepdims=True))
-        total[odd] = out[odd] @ ones
-    out *= (1 / total)[:, None]
-    return out
+        out[odd] = logits[odd].max(1)
+        e[odd] = np.exp(logits[odd] - out[odd, None])
+        total[odd] = e[odd] @ ones
+    return e, total, out
 
 
 class Adam:
-    """Steps on weights, in place."""
+    """Steps on weights, in place: they become views of one array."""
 
     def __init__(self, w: dict[str, np.ndarray]):
-        self.w, self.t = w, 0
-        self.first, self.second = {k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}
+        self.names, self.t = list(w), 0
+        self.flat = np.concatenate([w[k].ravel() for k in self.names])
+        cuts = np.cumsum([w[k].size for k in self.names])[:-1]
+        w.update({k: own.reshape(w[k].shape) for k, own in zip(self.names, np.split(self.flat, cuts))})
+        self.first, self.second, self.spare = np.zeros_like(self.flat), np.zeros_like(self.flat), np.empty_like(self.flat)
 
     def step(self, g: dict[str, np.ndarray], rate: float) -> None:
         self.t += 1
-        for k, x in self.w.items():
-            self.first[k] += 0.1 * (g[k] - self.first[k])
-            self.second[k] += 0.01 * (g[k] ** 2 - self.second[k])
-            x -= (rate * (self.first[k] / (1 - 0.9**self.t)) / (np.sqrt(self.second[k] / (1 - 0.99**self.t)) + 1e-8)).astype(np.float32)
+        flat = np.concatenate([g[k].ravel() for k in self.names])
+        rate, share = rate / (1 - 0.9**self.t), 1 / (1 - 0.99**self.t)
+        by = np.subtract(flat, self.first, out=self.spare)
+        by *= 0.1
+        self.first += by
+        flat *= flat
+        flat -= self.second
+        flat *= 0.01
+        self.second += flat
+        # rate * first / (sqrt(share * second) + 1e-8)
+        np.multiply(self.second, share / rate**2, out=flat)
+        np.sqrt(flat, out=flat)
+        flat += 1e-8 / rate
+        np.divide(self.first, flat, out=flat)
+        self.flat -= flat
 
 
 class Attention:
@@ -252,122 +269,165 @@ class Attention:
         self.groups = -(-classes.outputs // self.members)
         draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
         self.w = {
-            "emb": rng.normal(0, 0.5, (n_in, WIDTH)).astype(np.float32), "q": draw(WIDTH, HEADS * KEY), "k": draw(WIDTH, HEADS * KEY), "v": draw(WIDTH, HEADS * KEY),
-            "distance": np.zeros((HEADS, OVERLAP + STRIDE), np.float32), "self": draw(WIDTH, WIDTH), "out": draw(HEADS * KEY, WIDTH), "bias": np.zeros(WIDTH, np.float32),
+            "emb": rng.normal(0, 0.5, (n_in, WIDTH)).astype(np.float32), "q": draw(WIDTH, KEY), "k": draw(WIDTH, KEY), "v": draw(WIDTH, KEY),
+            "distance": np.zeros(OVERLAP + STRIDE, np.float32), "self": draw(WIDTH, WIDTH), "out": draw(KEY, WIDTH), "bias": np.zeros(WIDTH, np.float32),
             "group_up": 0.3 * draw(WIDTH, self.groups), "group_next": np.zeros((n_in, self.groups), np.float32), "group_const": np.zeros(self.groups, np.float32),
             "up": 0.05 * rng.normal(0, 1, (self.groups, WIDTH, self.members)).astype(np.float32), "next": np.zeros((self.groups, n_in, self.members), np.float32), "const": np.zeros((self.groups, self.members), np.float32),
         }
         self.w = {k: x.astype(np.float32) for k, x in self.w.items()}
         self.w["const"].ravel()[classes.outputs :] = -30  # places without a class
-        self.w["distance"][0] = -0.5 * np.arange(OVERLAP + STRIDE)
+        self.w["distance"][:] = -0.5 * np.arange(OVERLAP + STRIDE)
         length = OVERLAP + STRIDE
         delta = (np.arange(STRIDE) + OVERLAP)[:, None] - np.arange(length)[None, :]
         self.delta, self.later = np.maximum(delta, 0), delta < 0
+        number = lambda *shape: np.arange(np.prod(shape)).reshape(shape)
+        self.places = {"emb": number(n_in, WIDTH), "group_next": number(n_in, self.groups), "next": number(self.groups * n_in, self.members)}
 
-    def hidden(self, inputs: np.ndarray):
-        """Hidden layer at the last STRIDE of (windows, OVERLAP + STRIDE) classes, with all that a gradient needs."""
-        w, n = self.w, len(inputs)
-        x = w["emb"][inputs]
-        own = np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
-        every = x.reshape(-1, WIDTH)
-        split = lambda y: y.reshape(n, -1, HEADS, KEY).transpose(0, 2, 1, 3)
-        q, k, v = split(own @ w["q"]), split(every @ w["k"]), split(every @ w["v"])
-        scores = (q * np.float32(KEY**-0.5)) @ k.transpose(0, 1, 3, 2)
-        scores += np.where(self.later, np.float32(-1e9), w["distance"][:, self.delta])
+    def ready(self) -> dict[str, np.ndarray]:
+        """The weights joined as the arrays below use them."""
+        w = self.w
+        return {
+            "own": np.concatenate([w["q"] * KEY**-0.5, w["self"]], 1), "kv": np.concatenate([w["k"], w["v"]], 1),
+            "distance": np.where(self.later, np.float32(-1e9), w["distance"][self.delta]),
+            "group": w["group_next"] + w["group_const"], "next": (w["next"] + w["const"][:, None, :]).reshape(-1, self.members),
+        }
+
+    def hidden(self, inputs: np.ndarray, r: dict[str, np.ndarray] | None = None):
+        """Hidden layer at the last STRIDE of (windows, OVERLAP + STRIDE) classes, with all that a gradient needs.
+
+        Attention's weights are left undivided, as a row of eight values is divided
+        sooner than one of forty-eight; a column of ones beside the values gives the divisor.
+        """
+        w, n, r = self.w, len(inputs), r or self.ready()
+        x = np.take(w["emb"], inputs, 0)
+        own = x[:, OVERLAP:].reshape(-1, WIDTH)
+        qs = own @ r["own"]
+        kv = (x.reshape(-1, WIDTH) @ r["kv"]).reshape(n, -1, 2 * KEY)
+        q, k, v = qs[:, :KEY].reshape(n, STRIDE, KEY), kv[:, :, :KEY], np.ones((n, kv.shape[1], KEY + 1), kv.dtype)
+        v[:, :, :KEY] = kv[:, :, KEY:]
         padded = np.flatnonzero((inputs == self.c.pad).any(1))
-        scores[padded] += np.where(inputs[padded] == self.c.pad, np.float32(-1e9), np.float32(0))[:, None, None, :]
-        scores = shares_of(scores.reshape(-1, scores.shape[3]), np.ones(scores.shape[3], np.float32)).reshape(scores.shape)
-        seen = (scores @ v).transpose(0, 2, 1, 3).reshape(n, STRIDE, HEADS * KEY)
-        return np.tanh(own @ w["self"] + seen.reshape(-1, HEADS * KEY) @ w["out"] + w["bias"]).reshape(n, STRIDE, WIDTH), (x, q, k, v, scores, seen)
+        hide = np.where(inputs[padded] == self.c.pad, np.float32(-1e9), np.float32(0))[:, None, :]
+
+        def logits():
+            out = q @ k.transpose(0, 2, 1)
+            out += r["distance"]
+            out[padded] += hide
+            return out
+
+        att = logits()
+        with np.errstate(over="ignore", invalid="ignore"):
+            np.exp(att, out=att)
+            seen = (att @ v).reshape(-1, KEY + 1)
+        total = seen[:, KEY]
+        if not (np.isfinite(total) & (total > 1e-30)).all():  # an exponential left the range of its type: take the largest out first
+            att = logits()
+            att -= att.max(2, keepdims=True)
+            np.exp(att, out=att)
+            seen = (att @ v).reshape(-1, KEY + 1)
+            total = seen[:, KEY]
+        part = 1 / total[:, None]
+        seen = seen[:, :KEY] * part
+        # the hyperbolic tangent by an exponential
+        h = seen @ w["out"]
+        h += qs[:, KEY:]
+        h += w["bias"]
+        h *= 2
+        with np.errstate(over="ignore"):
+            np.exp(h, out=h)
+        h += 1
+        np.divide(-2, h, out=h)
+        h += 1
+        return h.reshape(n, STRIDE, WIDTH), (x, own, q, k, v, att, part, seen)
+
+    def fast_hidden(self, inputs: np.ndarray, r: dict[str, np.ndarray]) -> np.ndarray:
+        """The hidden layer, flat."""
+        return self.hidden(inputs, r)[0].reshape(-1, WIDTH)
 
-    def steps(self, hidden: np.ndarray, last: np.ndarray, targets: np.ndarray):
-        """Logits of the groups of all rows, then for each group (rows with a target in it, its members' logits)."""
+    def logits(self, h: np.ndarray, last: np.ndarray, group: np.ndarray, r: dict[str, np.ndarray]):
+        """Logits of the groups, those of the members of each row's own group, and (group, first row, end) of slices: rows come sorted by group."""
         w = self.w
-        groups = hidden @ w["group_up"] + w["group_next"][last] + w["group_const"]
-        order = np.argsort(targets // self.members, kind="stable")
-        bounds = np.searchsorted((targets // self.members)[order], np.arange(self.groups + 1))
-        parts = []
-        for g in range(self.groups):
-            rows = order[bounds[g] : bounds[g + 1]]
-            if len(rows):
-                parts.append((g, rows, hidden[rows] @ w["up"][g] + w["next"][g][last[rows]] + w["const"][g]))
-        return groups, parts
-
-    def log_probs(self, hidden: np.ndarray, last: np.ndarray, targets: np.ndarray, safe: bool = True) -> np.ndarray:
-        """Natural logarithm of each target's probability; safe: with the largest logit taken out first."""
-        groups, parts = self.steps(hidden, last, targets)
-        if not safe:
-            ones = np.ones(self.members, np.float32)
-            out = groups[np.arange(len(targets)), targets // self.members]
-            out -= np.log(np.exp(groups) @ ones[: self.groups])
-            for _, rows, logits in parts:
-                out[rows] += logits[np.arange(len(rows)), targets[rows] % self.members] - np.log(np.exp(logits) @ ones)
-            return out if np.isfinite(out).all() else self.log_probs(hidden, last, targets)
-        chosen = groups[np.arange(len(targets)), targets // self.members]
-        top = groups.max(1)
-        out = chosen - top - np.log(np.exp(groups - top[:, None]).sum(1))
-        for _, rows, logits in parts:
-            chosen = logits[np.arange(len(rows)), targets[rows] % self.members]
-            top = logits.max(1)
-            out[rows] += chosen - top - np.log(np.exp(logits - top[:, None]).sum(1))
+        bounds = np.searchsorted(group, np.arange(self.groups + 1)).tolist()
+        spans = [(i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+        d = h @ w["group_up"]
+        d += np.take(r["group"], last, 0)
+        e = np.empty((len(h), self.members), h.dtype)
+        for i, a, b in spans:
+            np.matmul(h[a:b], w["up"][i], out=e[a:b])
+        e += np.take(r["next"], group * len(w["emb"]) + last, 0)
+        return d, e, spans
+
+    def log_probs(self, hidden: np.ndarray, last: np.ndarray, targets: np.ndarray, r: dict[str, np.ndarray] | None = None) -> np.ndarray:
+        """Natural logarithm of each target's probability."""
+        order = np.argsort((targets // self.members).astype(np.int16), kind="stable")
+        want, out = targets[order].astype(np.int64), np.empty(len(targets), hidden.dtype)
+        group = want // self.members
+        d, e, _ = self.logits(np.take(hidden, order, 0), last[order], group, r or self.ready())
+        value, at = 0, np.arange(len(want))
+        for logits, chosen in ((d, group), (e, want - group * self.members)):
+            _, total, taken = exponentials(logits)
+            value = value + np.take(logits.ravel(), at * logits.shape[1] + chosen) - taken - np.log(total)
+        out[order] = value
         return out
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, with_loss: bool = True):
         """Mean loss in nats per counted token (or 0 if it isn't asked for), and the gradient; targets of -1 don't count.
 
-        Rows are sorted by the group and member of their target and by the class
-        before them, so that each group is a slice and sums by class are sums of runs.
+        Rows are sorted by the group of their target, so that each group is a slice.
         """
-        w, n, n_in = self.w, len(inputs), len(self.w["emb"])
-        hidden, (x, q, k, v, att, seen) = self.hidden(inputs)
-        use, before, want = np.flatnonzero(targets.ravel() >= 0), inputs[:, OVERLAP:].ravel(), targets.ravel()
+        w, n, n_in, r = self.w, len(inputs), len(self.w["emb"]), self.ready()
+        hidden, (x, own, q, k, v, att, part, seen) = self.hidden(inputs, r)
+        want, before, flat = targets.ravel(), inputs[:, OVERLAP:].ravel(), hidden.reshape(-1, WIDTH)
+        use = np.flatnonzero(want >= 0)
+        # by the class before them as well: neighbours are added to one place
         use = use[np.argsort((want[use] // self.members * n_in + before[use]).astype(np.int16), kind="stable")]
-        flat, want, last = hidden.reshape(-1, WIDTH), want[use], before[use]
-        h, group, member = flat[use], want // self.members, want % self.members
-        many, at = np.float32(max(1, len(use))), np.arange(len(use))
-        bounds = np.searchsorted(group, np.arange(self.groups + 1))
-        spans = [(i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
-        ones = np.ones(max(self.groups, self.members), np.float32)
-        d = shares_of(h @ w["group_up"] + w["group_next"][last] + w["group_const"], ones[: self.groups])
-        e = w["next"][group, last]
+        want, last = want[use].astype(np.int64), before[use].astype(np.int64)
+        h, group = np.take(flat, use, 0), want // self.members
+        many, at = max(1, len(use)), np.arange(len(use))
+        d, e, spans = self.logits(h, last, group, r)
+        loss, shares = 0.0, []
+        for logits, chosen in ((d, group), (e, want - group * self.members)):
+            p, total, taken = exponentials(logits)
+            if with_loss:
+                cells = np.take(logits.ravel(), at * p.shape[1] + chosen)
+                loss -= float((cells - taken - np.log(total)).sum() / many)
+            p *= (1 / (total * many))[:, None]
+            p.ravel()[at * p.shape[1] + chosen] -= 1 / many
+            shares.append(p)
+        d, e = shares
+        g = {"group_up": h.T @ d, "group_next": sums_by(last, d, self.places["group_next"]), "up": np.zeros_like(w["up"])}
+        g["next"] = sums_by(group * n_in + last, e, self.places["next"]).reshape(w["next"].shape)
+        g["group_const"], g["const"] = g["group_next"].sum(0), np.ones(n_in, e.dtype) @ g["next"]
+        back, of_members = np.zeros((len(use) + 1, WIDTH), flat.dtype), np.empty((len(use), WIDTH), flat.dtype)
+        np.matmul(d, w["group_up"].T, out=back[:-1])
         for i, a, b in spans:
-            e[a:b] += h[a:b] @ w["up"][i] + w["const"][i]
-        e = shares_of(e, ones[: self.members])
-        loss = -float((np.log(d[at, group]) + np.log(e[at, member])).sum() / many) if with_loss else 0.0
-        for p, chosen in ((d, group), (e, member)):
-            p[at, chosen] -= 1
-            p /= many
-        key = group * n_in + last
-        g = {
-            "group_const": d.sum(0), "group_up": h.T @ d, "group_next": sums_by(last, d, n_in),
-            "next": sums_of_runs(key, e, self.groups * n_in).reshape(w["next"].shape), "up": np.zeros_like(w["up"]), "const": np.zeros_like(w["const"]),
-        }
-        back = d @ w["group_up"].T
-        for i, a, b in spans:
-            g["const"][i], g["up"][i] = ones[:1].repeat(b - a) @ e[a:b], h[a:b].T @ e[a:b]
-            back[a:b] += e[a:b] @ w["up"][i].T
-        dh = np.zeros_like(flat)
-        dh[use] = back
-        dh *= 1 - flat * flat
-        own = np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
-        every, seen = x.reshape(-1, WIDTH), seen.reshape(-1, HEADS * KEY)
-        g["bias"], g["self"], g["out"] = dh.sum(0), own.T @ dh, seen.T @ dh
+            np.matmul(h[a:b].T, e[a:b], out=g["up"][i])
+            np.matmul(e[a:b], w["up"][i].T, out=of_members[a:b])
+        back[:-1] += of_members
+        place = np.full(len(flat), len(use))
+        place[use] = at
+        dh = flat * flat
+        np.subtract(1, dh, out=dh)
+        dh *= np.take(back, place, 0)
+        of_row = np.ones(len(dh), dh.dtype)
+        g["bias"], g["out"] = of_row @ dh, seen.T @ dh
         dseen = dh @ w["out"].T
-        share = (dseen * seen).reshape(n, STRIDE, HEADS, KEY).sum(3).transpose(0, 2, 1)[..., None]
-        dseen = dseen.reshape(n, STRIDE, HEADS, KEY).transpose(0, 2, 1, 3)
-        dv = att.transpose(0, 1, 3, 2) @ dseen
-        ds = dseen @ v.transpose(0, 1, 3, 2)
-        ds -= share
+        # through the division, then with the sums' column: the gradient of undivided weights
+        wide = np.empty((len(dh), KEY + 1), dh.dtype)
+        np.multiply(dseen, part, out=wide[:, :KEY])
+        wide[:, KEY] = -np.einsum("ij,ij->i", wide[:, :KEY], seen)
+        wide = wide.reshape(n, STRIDE, KEY + 1)
+        ds = wide @ v.transpose(0, 2, 1)
         ds *= att
-        by_place = (np.ones(n, np.float32) @ ds.reshape(n, -1)).reshape(HEADS, STRIDE, -1)
-        g["distance"] = np.stack([np.bincount(self.delta[~self.later], part[~self.later], OVERLAP + STRIDE) for part in by_place]).astype(np.float32)
-        ds *= np.float32(KEY**-0.5)
-        join = lambda y: y.transpose(0, 2, 1, 3).reshape(-1, HEADS * KEY)
-        dq, dk, dv = join(ds @ k), join(ds.transpose(0, 1, 3, 2) @ q), join(dv)
-        g["q"], g["k"], g["v"] = own.T @ dq, every.T @ dk, every.T @ dv
-        dx = (dk @ w["k"].T + dv @ w["v"].T).reshape(x.shape)
-        dx[:, OVERLAP:] += (dq @ w["q"].T + dh @ w["self"].T).reshape(n, STRIDE, WIDTH)
-        g["emb"] = sums_by(inputs.ravel(), dx.reshape(-1, WIDTH), n_in)
+        g["distance"] = np.bincount(self.delta.ravel(), np.ones(n, ds.dtype) @ ds.reshape(n, -1), OVERLAP + STRIDE).astype(ds.dtype)
+        left, right = np.empty((len(dh), KEY + WIDTH), dh.dtype), np.empty((n, x.shape[1], 2 * KEY), dh.dtype)
+        left[:, :KEY], left[:, KEY:] = (ds @ k).reshape(-1, KEY), dh
+        right[:, :, :KEY], right[:, :, KEY:] = ds.transpose(0, 2, 1) @ q, att.transpose(0, 2, 1) @ wide[:, :, :KEY]
+        right = right.reshape(-1, 2 * KEY)
+        of_own, of_every = own.T @ left, x.reshape(-1, WIDTH).T @ right
+        g["q"], g["self"], g["k"], g["v"] = of_own[:, :KEY] * KEY**-0.5, of_own[:, KEY:], of_every[:, :KEY], of_every[:, KEY:]
+        dx = (right @ r["kv"].T).reshape(x.shape)
+        dx[:, OVERLAP:] += (left @ r["own"].T).reshape(n, STRIDE, WIDTH)
+        g["emb"] = sums_by(inputs.ravel(), dx, self.places["emb"])
         return loss, g
 
     def prior(self, shown: np.ndarray) -> None:
@@ -399,31 +459,9 @@ class Attention:
         order = rng.permutation(len(inputs))
         for at in range(0, len(order), batch):
             pick = order[at : at + batch]
-            yield inputs[pick], targets[pick]
-
-    def ready(self) -> dict[str, np.ndarray]:
-        """Weights as scoring uses them: scaled queries, and the distances as factors that are 0 for later places."""
-        w = self.w
-        mask = np.where(self.later, np.float32(0), np.exp(w["distance"][:, self.delta])).astype(np.float32)
-        return {"q": w["q"] * np.float32(KEY**-0.5), "kv": np.concatenate([w["k"], w["v"]], 1), "mask": mask, "ones": np.ones(OVERLAP + STRIDE, np.float32)}
-
-    def fast_hidden(self, inputs: np.ndarray, r: dict[str, np.ndarray]) -> np.ndarray:
-        """The hidden layer, flat, with fewer passes over memory."""
-        w, n = self.w, len(inputs)
-        x = w["emb"][inputs]
-        own = np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
-        q = (own @ r["q"]).reshape(n, STRIDE, HEADS, KEY).transpose(0, 2, 1, 3)
-        kv = (x.reshape(-1, WIDTH) @ r["kv"]).reshape(n, -1, 2 * HEADS, KEY)
-        scores = q @ kv[:, :, :HEADS].transpose(0, 2, 3, 1)
-        np.exp(scores, out=scores)
-        scores *= r["mask"]
-        padded = np.flatnonzero((inputs == self.c.pad).any(1))
-        scores[padded] *= (inputs[padded] != self.c.pad).astype(np.float32)[:, None, None, :]
-        seen = scores @ kv[:, :, HEADS:].transpose(0, 2, 1, 3)
-        seen /= (scores.reshape(-1, scores.shape[3]) @ r["ones"]).reshape(n, HEADS, STRIDE, 1) + np.float32(1e-30)
-        return np.tanh(own @ w["self"] + seen.transpose(0, 2, 1, 3).reshape(-1, HEADS * KEY) @ w["out"] + w["bias"])
+            yield np.take(inputs, pick, 0), np.take(targets, pick, 0)
 
-    def log10(self, offsets: np.ndarray, tokens: np.ndarray, at_once: int = 400) -> np.ndarray:
+    def log10(self, offsets: np.ndarray, tokens: np.ndarray, at_once: int = SCORE_BATCH) -> np.ndarray:
         """log10 probability of each row's class sequence with its end."""
         cuts = np.searchsorted(offsets, np.arange(TOKENS_AT_ONCE, offsets[-1], TOKENS_AT_ONCE))
         edges = np.unique(np.concatenate([[0], cuts, [len(offsets) - 1]])).tolist()
@@ -432,37 +470,33 @@ class Attention:
 
     def log10_group(self, offsets: np.ndarray, tokens: np.ndarray, at_once: int) -> np.ndarray:
         inputs, targets, row = windows_of(self.c, offsets, tokens)
-        out, r = np.zeros(len(offsets) - 1), self.ready()
+        r, sums = self.ready(), np.zeros(len(inputs))
         for lo in range(0, len(inputs), at_once):
             own, want = inputs[lo : lo + at_once], targets[lo : lo + at_once].ravel()
-            hidden = self.fast_hidden(own, r)
-            if not np.isfinite(hidden).all():  # an exponential left the range of its type: take the largest out first
-                hidden = self.hidden(own)[0].reshape(-1, WIDTH)
             use = np.flatnonzero(want >= 0)
             value = np.zeros(len(want))
-            value[use] = self.log_probs(hidden[use], own[:, OVERLAP:].ravel()[use], want[use], False)
-            out += np.bincount(row[lo : lo + at_once], value.reshape(-1, STRIDE).sum(1), len(out))
-        return out / np.log(10)
+            value[use] = self.log_probs(np.take(self.fast_hidden(own, r), use, 0), own[:, OVERLAP:].ravel()[use], want[use], r)
+            sums[lo : lo + at_once] = value.reshape(-1, STRIDE).sum(1)
+        return np.bincount(row, sums, len(offsets) - 1) / np.log(10)
 
 
 def windows_of(c: Classes, offsets: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, row) of the overlapping windows of class sequences; each gets a start and an end."""
     lengths = np.diff(offsets)
-    starts = offsets[:-1] + 2 * np.arange(len(lengths))
-    sequence = np.empty(int(lengths.sum()) + 2 * len(lengths), np.int16)
-    sequence[ragged(starts + 1, lengths)] = tokens
-    sequence[starts] = c.bos
-    sequence[starts + lengths + 1] = c.end
     counts = -(-(lengths + 1) // STRIDE)
-    row = np.repeat(np.arange(len(lengths)), counts)
-    at = ragged(np.zeros(len(counts), np.int64), counts) * STRIDE
-    place = at[:, None] + np.arange(-OVERLAP, STRIDE)[None, :]
-    inside = (place >= 0) & (place <= lengths[row][:, None])
-    inputs = np.where(inside, sequence[np.clip(starts[row][:, None] + place, 0, max(len(sequence) - 1, 0))], c.pad).astype(np.int64)
-    after = place[:, OVERLAP:] + 1
-    valid = after <= lengths[row][:, None] + 1
-    targets = np.where(valid, sequence[np.clip(starts[row][:, None] + after, 0, max(len(sequence) - 1, 0))], -1).astype(np.int64)
-    return inputs, targets, row
+    row, first = np.repeat(np.arange(len(lengths)), counts), np.cumsum(counts) - counts
+    # each text fills windows of its own: after its start in one array, up to its end in the other
+    inputs = np.full((len(row), OVERLAP + STRIDE), c.pad, np.int16)
+    own, targets = np.full(len(row) * STRIDE, c.pad, np.int16), np.full(len(row) * STRIDE, -1, np.int16)
+    at = ragged(first * STRIDE, lengths)
+    own[first * STRIDE] = c.bos
+    own[at + 1], targets[at] = tokens, tokens
+    targets[first * STRIDE + lengths] = c.end
+    own = own.reshape(-1, STRIDE)
+    inputs[:, OVERLAP:] = own
+    inputs[1:, :OVERLAP] = own[:-1, STRIDE - OVERLAP :]
+    inputs[first, :OVERLAP] = c.pad
+    return inputs, targets.reshape(-1, STRIDE), row
 
 
 def ids_of(model: Subwords, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -499,7 +533,7 @@ class Scorer:
         self.loss = self.attention.train(offsets, classes.of[ids])
 
     def log10(self, bounds: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        inside = np.concatenate([[0], np.cumsum(self.classes.inside[ids])])
+        inside = np.concatenate([[0], np.cumsum(np.take(self.classes.inside, ids))])
         return self.attention.log10(bounds, self.classes.of[ids]) + inside[bounds[1:]] - inside[bounds[:-1]]
 
 
@@ -598,8 +632,11 @@ class Table:
     def get(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.counts[at], 0).astype(np.int64)
+        order = np.argsort(hashes)  # neighbours are looked up near each other
+        asked, out = hashes[order], np.empty(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.words, asked), len(self.words) - 1)
+        out[order] = np.where(self.words[at] == asked, self.counts[at], 0)
+        return out
 
 
 RESULT = "n_tokens long, n_known long, base_sum double, score double"

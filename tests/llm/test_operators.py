@@ -565,6 +565,37 @@ def test_windows_score_each_token_once():
     assert np.exp(net.log_probs(np.repeat(one, every, 0), np.repeat(last, every), np.arange(every))).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_scores_equal_a_plain_version():
+    """Place by place in double precision; and windows take two bytes an id."""
+    model = pieces.Model(pieces_file("piece_bpe_32k.model"))
+    rng = np.random.default_rng(3)
+    offsets = np.array([0, 0, 1, 31, 63, 96, 200])
+    ids = rng.integers(300, 900, 200)
+    classes = attention_lm.Classes(offsets, ids, model.size)
+    net = attention_lm.Attention(classes)
+    net.prior(np.append(np.bincount(classes.of[ids], minlength=classes.end), 6))
+    net.w |= {k: (x + rng.normal(0, 0.3, x.shape)).astype(np.float32) for k, x in net.w.items() if k != "const"}
+    w, stride, overlap = {k: x.astype(float) for k, x in net.w.items()}, attention_lm.STRIDE, attention_lm.OVERLAP
+    distance = w["distance"].ravel()
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    for scale in (1, 40):  # with larger keys, exponentials leave the range of their type
+        net.w["k"] = (w["k"] * scale).astype(np.float32)
+        found = net.log10(offsets, classes.of[ids])
+        for row in range(len(offsets) - 1):
+            text = [classes.bos, *classes.of[ids[offsets[row] : offsets[row + 1]]], classes.end]
+            total = 0.0
+            for at in range(len(text) - 1):
+                first = max(0, at // stride * stride - overlap)
+                x = w["emb"][text[first : at + 1]]
+                weights = softmax(x @ w["k"] @ (x[-1] @ w["q"]) * scale / attention_lm.KEY**0.5 + distance[: len(x)][::-1])
+                h = np.tanh(x[-1] @ w["self"] + weights @ (x @ w["v"]) @ w["out"] + w["bias"])
+                group, member = divmod(int(text[at + 1]), net.members)
+                total += np.log10(softmax(h @ w["group_up"] + w["group_next"][text[at]] + w["group_const"])[group])
+                total += np.log10(softmax(h @ w["up"][group] + w["next"][group][text[at]] + w["const"][group])[member])
+            assert found[row] == pytest.approx(total, rel=1e-4, abs=1e-3), (scale, row)
+    assert [x.itemsize for x in attention_lm.windows_of(classes, offsets, classes.of[ids])[:2]] == [2, 2]
+
+
 def test_attention_gradient():
     model = pieces.Model(pieces_file("piece_bpe_32k.model"))
     offsets, ids = np.array([0, 70, 100]), np.arange(100) ** 2 % 11 + 300
