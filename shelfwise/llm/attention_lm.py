@@ -55,7 +55,7 @@ RATES, ROUND_BATCH = (0.006, 0.0015), 128
 #: Bytes of packed ids whose windows a task holds and mixes at once.
 TRAIN_IDS_AT_ONCE = 3 << 20
 #: Windows that are scored at once: their arrays stay in a core's cache.
-SCORE_BATCH = 128
+SCORE_BATCH = 256
 #: Weights of tasks are summed in so many groups before they reach the driver.
 GROUPS = 16
 SEED = 7
@@ -658,7 +658,7 @@ def score_rows(scorer: Scorer, column: pa.Array, packed_ids: pa.Array, counts_of
 
 
 def fit(docs: DataFrame, train: str, model: Subwords, counts: np.ndarray, ends: int, doc_id: str = "doc_id", text: str = "text") -> Scorer:
-    """docs: with packed ids and a boolean column that tells what may be learnt from; counts: of ids in all of that, with ends texts."""
+    """docs: with packed ids, the round that each text is in, and a boolean column that tells what may be learnt from; counts: of ids in all of that, with ends texts."""
     part = docs.where(train)
     send = partial(Sent, docs.sparkSession)
     heads = Heads(counts)
@@ -670,7 +670,7 @@ def fit(docs: DataFrame, train: str, model: Subwords, counts: np.ndarray, ends:
     texts = sampled(part, strata, doc_id, text, TRAIN_ROWS, TRAIN_BYTES, SEED).select(text).toArrow()[text].to_pylist()
     scorer = Scorer(model, classes, counts, ends, sorted(texts))
     for k, rate in enumerate(RATES):
-        share = part.where(F.pmod(F.xxhash64(F.lit(SEED), text), F.lit(len(RATES))) == k).select("_ids")
+        share = part.where(F.col("_round") == k).select("_ids")
         tasks = share.mapInArrow(train_task(send(scorer), rate, ROUND_BATCH), "part int, task int, many long, weights binary")
         rows = sorted(tasks.groupBy("part").applyInArrow(summed_weights, "part int, many long, weights binary").collect())
         if rows:
@@ -687,8 +687,10 @@ def score(docs: DataFrame, train: str, model_path: str, keep: list[str] | None =
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
     model = Subwords(model_path)
     kinds = dict(docs.dtypes)
-    names = list(dict.fromkeys([*keep, doc_id, text, train]))
-    encoded = stored(docs.select(*names).mapInArrow(encode_task(Sent(spark, model), names, text), ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", _ids binary"), "subwords")
+    names = [*dict.fromkeys([*keep, doc_id, text, train]), "_round"]
+    # the round stands in the table, so that training reads no text
+    dealt = docs.withColumn("_round", F.pmod(F.xxhash64(F.lit(SEED), text), F.lit(len(RATES))).cast("int")).select(*names)
+    encoded = stored(dealt.mapInArrow(encode_task(Sent(spark, model), names, text), ", ".join(f"`{c}` {kind}" for c, kind in dealt.dtypes) + ", _ids binary"), "subwords")
     counted = stored(encoded.where(train).select(text, "_ids").mapInArrow(count_task(model.size), "word long, piece int, n long").groupBy("word", "piece").agg(F.sum("n").alias("n")), "counts")
     pieces = counted.where("word IS NULL").select("piece", "n").toArrow().to_pydict()
     totals = counted.where("word IS NOT NULL").agg(F.count(F.lit(1)), F.sum("n")).first()
