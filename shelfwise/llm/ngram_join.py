@@ -32,8 +32,11 @@ Three filters come first; each counts what a set shares with others, whoever the
    many. Connected stars are the blocks.
 
 A block of over BLOCK_TOKENS n-grams is cut into parts. Each part is one task's trie
-join; then the sets outside the block's largest component meet the other parts as well.
-A group of near copies is one component early, so its sets are not copied.
+join. Blocks hold together by single signatures and grow with the input, so sets do not
+meet all parts of theirs: a set is copied to another part only if t * size of its elements
+stand there in sets of earlier components, as those it shares with a partner do. The
+block's largest component is the first one: a group of near copies, however large, is
+not copied, and another set goes about where its partners are.
 
 Equal signatures travel packed as numbers, and so do the counts of shared ones, which
 are no more than a set's signatures. A task keeps at most HOT + 1 sets of a
@@ -57,7 +60,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, shuffle_parts, stored
+from .shared import discard, shuffle_parts, stored, sweep
 from .textops import LOWER, NON_SPACE, U, Powers, mix, ragged, slices, span_hashes, window_hashes, word_spans
 
 SIZE = 4
@@ -73,6 +76,9 @@ PAIRS_AT_ONCE = 300_000
 LEVEL_BITS = 12
 PAIR = np.dtype([("sig", "<u8"), ("node", "<u8")])
 TALLY = np.dtype([("node", "<u8"), ("level", "<i8"), ("k", "<i8"), ("hot", "<i8")])
+#: An element of a set of a cut block, the place of the set's component in the order of the block's, and the elements a partner shares.
+PLACE = np.dtype([("sig", "<u8"), ("node", "<i8"), ("order", "<i8"), ("part", "<i4"), ("need", "<i4")])
+VISIT = np.dtype([("node", "<i8"), ("part", "<i4"), ("need", "<i4"), ("k", "<i8")])
 
 
 def sets_of(column: pa.Array, size: int):
@@ -209,6 +215,14 @@ def packed(pairs: np.ndarray, buckets: int, extra: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(blobs, pa.binary()), *[pa.nulls(n, pa.int64()) for _ in range(extra)]], names=["bucket", "pairs", *NUMBERS[:extra]])
 
 
+def dealt_rows(rows: np.ndarray, bucket: np.ndarray, name: str) -> pa.RecordBatch:
+    """Rows as one binary value for each bucket."""
+    order = np.argsort(bucket, kind="stable")
+    used, at = np.unique(bucket[order], return_index=True)
+    blobs = [x.tobytes() for x in np.split(rows[order], at[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", name])
+
+
 NUMBERS = ("x0", "x1", "x2", "x3")
 
 
@@ -294,12 +308,8 @@ def tally_task(buckets: int):
         rows = np.empty(len(columns[0]), TALLY)
         for name, column in zip(TALLY.names, columns):
             rows[name] = column
-        bucket = (rows["node"] >> U(1)) % U(buckets)
-        order = np.argsort(bucket, kind="stable")
-        used, at = np.unique(bucket[order], return_index=True)
-        if len(used):
-            blobs = [x.tobytes() for x in np.split(rows[order], at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "tallies"])
+        if len(rows):
+            yield dealt_rows(rows, (rows["node"] >> U(1)) % U(buckets), "tallies")
 
     return run
 
@@ -626,25 +636,124 @@ def part_links(rows: DataFrame, buckets: int, percent: int) -> DataFrame:
     return dealt.sortWithinPartitions("block", "part").mapInArrow(block_task(percent), "a long, b long")
 
 
+def place_task(percent: int, buckets: int):
+    """Packed elements of the sets of cut blocks, dealt by element; blocks have elements of their own."""
+
+    def run(batches):
+        for batch in batches:
+            block, part, doc, order = [batch.column(k).to_numpy() for k in range(4)]
+            sets = [np.frombuffer(x, "<u8") for x in batch.column(4).to_pylist()]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            runs = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // PAIRS_AT_ONCE, prepend=-1))
+            for a, b in zip(runs.tolist(), [*runs[1:].tolist(), len(sets)]):
+                at = np.repeat(np.arange(a, b), sizes[a:b])
+                rows = np.empty(len(at), PLACE)
+                rows["sig"] = mix(np.concatenate(sets[a:b]) ^ mix(block.view(U)[at]))
+                rows["node"], rows["order"], rows["part"], rows["need"] = doc[at], order[at], part[at], -(-percent * sizes[at] // 100)
+                yield dealt_rows(rows, rows["sig"] % U(buckets), "places")
+
+    return run
+
+
+def earlier_places(rows: np.ndarray):
+    """(rows, parts) in portions: each row with every other part in which its element has a set of an earlier component."""
+    rows = rows[np.lexsort((rows["order"], rows["part"], rows["sig"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = rows["sig"][1:] != rows["sig"][:-1]
+    group = np.cumsum(new) - 1
+    head = new.copy()
+    head[1:] |= rows["part"][1:] != rows["part"][:-1]
+    heads = np.flatnonzero(head)  # of each element and part the earliest
+    first = np.searchsorted(group[heads], np.arange(int(new.sum())))
+    many = np.diff(np.append(first, len(heads)))
+    least = np.minimum.reduceat(rows["order"], np.flatnonzero(new)) if len(rows) else np.zeros(0, np.int64)
+    live = np.flatnonzero((many[group] > 1) & (rows["order"] > least[group]))
+    total = np.cumsum(many[group[live]])
+    runs = np.flatnonzero(np.diff(total // PAIRS_AT_ONCE, prepend=-1))
+    for a, b in zip(runs.tolist(), [*runs[1:].tolist(), len(live)]):
+        own = np.repeat(live[a:b], many[group[live[a:b]]])
+        there = heads[ragged(first[group[live[a:b]]], many[group[live[a:b]]])]
+        use = (rows["part"][own] != rows["part"][there]) & (rows["order"][there] < rows["order"][own])
+        yield rows[own[use]], rows["part"][there[use]]
+
+
+def summed_visits(rows: np.ndarray) -> np.ndarray:
+    rows = rows[np.lexsort((rows["part"], rows["node"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["node"][1:] != rows["node"][:-1]) | (rows["part"][1:] != rows["part"][:-1])
+    out = rows[new]
+    if len(out):
+        first = np.flatnonzero(new)
+        out["k"], out["need"] = np.add.reduceat(rows["k"], first), np.minimum.reduceat(rows["need"], first)
+    return out
+
+
+def visit_task(buckets: int):
+    """Elements that a set shares with sets of earlier components in each other part, of this partition's elements; packed by the node's bucket."""
+
+    def run(batches):
+        kept = [np.empty(0, PLACE)] + [np.frombuffer(x, PLACE) for batch in batches for x in batch.column(1).to_pylist()]
+        for rows, parts in earlier_places(np.concatenate(kept)):
+            visits = np.empty(len(rows), VISIT)
+            visits["node"], visits["part"], visits["need"], visits["k"] = rows["node"], parts, rows["need"], 1
+            visits = summed_visits(visits)
+            if len(visits):
+                yield dealt_rows(visits, mix(visits["node"].view(U)) % U(buckets), "visits")
+
+    return run
+
+
+def guest_task(batches):
+    """(node, part) of the sets that share enough elements with the part's sets of earlier components."""
+    rows = summed_visits(np.concatenate([np.empty(0, VISIT)] + [np.frombuffer(x, VISIT) for batch in batches for x in batch.column(1).to_pylist()]))
+    rows = rows[rows["k"] >= rows["need"]]
+    if len(rows):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[name])) for name in ("node", "part")], names=["_node", "_to"])
+
+
+def guests_of(cut: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """(_node, _to): the other parts that a set of a cut block has to visit."""
+    placed = cut.select("block", "part", "doc_id", "order", "tokens").mapInArrow(place_task(percent, buckets), "bucket int, places binary")
+    shared = placed.repartition(buckets, "bucket").mapInArrow(visit_task(buckets), "bucket int, visits binary")
+    return shared.repartition(buckets, "bucket").mapInArrow(guest_task, "_node long, _to int")
+
+
+def looked_up(table: DataFrame) -> DataFrame:
+    """For a join: a stored table of few rows as a broadcast."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def across_parts(rows: DataFrame, linked: DataFrame, buckets: int, percent: int) -> DataFrame:
     """(node, label) once the parts of cut blocks are joined with each other as well.
 
-    First one set of each part's largest component meets those of the other parts; then
-    the sets outside the block's largest component meet all sets of all other parts.
-    A pair inside the largest component needs no look: it is connected already.
+    First one set of each part's largest component meets those of the other parts. Components
+    then stand in an order, the block's largest first. Of two linked sets of different
+    components and parts, the one of the later component visits the other's part: there
+    it shares enough elements with sets of earlier components. A pair inside a component
+    needs no look: it is connected already.
     """
-    cut = rows.where("cuts > 1").join(linked.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left").withColumn("group", F.coalesce("label", "doc_id")).drop("_node", "label")
-    local = cut.groupBy("block", "part", "group").agg(F.count(F.lit(1)).alias("many")).groupBy("block", "part").agg(F.max_by("group", F.struct("many", "group")).alias("_head"))
-    heads = cut.join(local.select("_head"), F.col("doc_id") == F.col("_head"), "left_semi")
+    cut = rows.where("cuts > 1")
+    names = cut.select("block", "part", "doc_id")
+    known = names.join(linked.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left").withColumn("group", F.coalesce("label", "doc_id"))
+    local = known.groupBy("block", "part", "group").agg(F.count(F.lit(1)).alias("many")).groupBy("block", "part").agg(F.max_by("group", F.struct("many", "group")).alias("_head"))
+    # a row for each part of a cut block, so one for many n-grams
+    heads = cut.join(F.broadcast(local.select("_head").distinct()), F.col("doc_id") == F.col("_head"), "left_semi")
     found = stored(part_links(heads.withColumn("part", F.lit(0)), buckets, percent), "links")
     ends = linked.select(F.col("node").alias("a"), F.col("label").alias("b"))
     now = stored(components(ends.unionAll(found)), "links")
-    cut = cut.join(now, F.col("doc_id") == F.col("node"), "left").withColumn("group", F.coalesce("label", "doc_id")).drop("node", "label")
-    sizes = cut.groupBy("block", "group").agg(F.count(F.lit(1)).alias("many"))
-    largest = sizes.groupBy("block").agg(F.max_by("group", F.struct("many", "group")).alias("largest"))
-    outside = cut.join(largest, "block").where("group <> largest")
-    guests = outside.withColumn("_to", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("_to <> part")
-    met = cut.select("block", "part", F.lit(False).alias("guest"), "doc_id", "tokens").unionAll(guests.select("block", F.col("_to").alias("part"), F.lit(True).alias("guest"), "doc_id", "tokens"))
+    known = names.join(now, F.col("doc_id") == F.col("node"), "left").withColumn("group", F.coalesce("label", "doc_id"))
+    sizes = known.groupBy("block", "group").agg(F.count(F.lit(1)).alias("many"))
+    ranks = sizes.groupBy("block").agg(F.max_by("group", F.struct("many", "group")).alias("largest"), F.min("group").alias("least"))
+    ranks = F.broadcast(stored(ranks.withColumnRenamed("block", "_block"), "ranks"))  # a row for each cut block
+    group = F.coalesce("label", "doc_id")
+    order = F.when(group == F.col("largest"), F.col("least")).when(group == F.col("least"), F.col("largest")).otherwise(group)
+    ordered = cut.join(looked_up(now), F.col("doc_id") == F.col("node"), "left").join(ranks, F.col("block") == F.col("_block"))
+    visits = stored(guests_of(ordered.withColumn("order", order), buckets, percent), "visits")
+    guests = cut.join(looked_up(visits), F.col("doc_id") == F.col("_node")).where("_to <> part")
+    sweep(rows.sparkSession)
+    visited = F.broadcast(guests.select(F.col("block").alias("_block"), F.col("_to").alias("_part")).distinct())
+    hosts = cut.join(visited, (F.col("block") == F.col("_block")) & (F.col("part") == F.col("_part")), "left_semi")
+    met = hosts.select("block", "part", F.lit(False).alias("guest"), "doc_id", "tokens").unionAll(guests.select("block", F.col("_to").alias("part"), F.lit(True).alias("guest"), "doc_id", "tokens"))
     return components(ends.unionAll(found).unionAll(part_links(met, buckets, percent)))
 
 

@@ -398,6 +398,27 @@ def test_ngram_join(spark, monkeypatch, size, percent, block, hot):
     assert collections.Counter(map(tuple, got)) == brute_groups(rows, size, percent)
 
 
+def test_sets_of_a_cut_block_go_where_their_partners_are(spark, monkeypatch):
+    """Texts with passages in common are one block of many parts; their sets go to no parts without partners."""
+    moved = []
+    real = ngram_join.part_links
+
+    def part_links(rows, *rest):
+        moved.append(rows.count())
+        return real(rows, *rest)
+
+    monkeypatch.setattr(ngram_join, "part_links", part_links)
+    passages = [[f"p{k}x{j}" for j in range(40)] for k in range(6)]
+    rows = []
+    for k in range(60):
+        words = [*passages[k % 6], *passages[(k + 1 + k // 6 % 5) % 6], *(f"q{k}x{j}" for j in range(20))]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:-1], f"new{k}"]))]
+    got = ngram_join.near_duplicates(frame(spark, rows), size=4, percent=85, block_tokens=1_000).collect()
+    assert collections.Counter(map(tuple, got)) == brute_groups(rows, 4, 85)
+    every, _, met = moved
+    assert every >= 100 and met <= 2 * every
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.near_duplicates(frame(spark, [])).count() == 0
     out = ngram_join.near_duplicates(frame(spark, [(1, None), (2, ""), (3, "alone")])).collect()
